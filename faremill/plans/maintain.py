@@ -51,6 +51,8 @@ def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int
     The rewrite is staged next to the table and swapped in at job commit, so lost executors only
     repeat tasks. Each month is rebalanced to about the session's advisory partition size."""
     location = lake.location(layer, table)
+    if not storage.exists(lake.spark, location):  # created, never written
+        return 0, 0
     stats = file_stats(lake, location, target_bytes=target_bytes)
     chosen = needs_compaction(stats, target_bytes, min_small_files).collect()  # one row per month
     if not chosen:

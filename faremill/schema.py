@@ -53,6 +53,3 @@ SILVER_COLUMNS = [name for name, _ in SILVER_FIELDS]
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in TRIP_COLUMNS])
 BRONZE_DDL = _ddl([*TRIP_FIELDS, (MONTH, "string")])
 SILVER_DDL = _ddl([*SILVER_FIELDS, (MONTH, "string")])
-BRONZE = T.StructType.fromDDL(BRONZE_DDL)
-SILVER = T.StructType.fromDDL(SILVER_DDL)
-AREAS = T.StructType.fromDDL("area_no int, area_name string, area_airport boolean")
