@@ -17,6 +17,7 @@ from faremill.schema import BRONZE_DDL, MONTH, SILVER_DDL
 
 TRIPS = "taxi_trips"
 STATE = "mart_state"
+LARGE_MONTH_BYTES = 4 << 30
 VERSIONS_DDL = "table_name string, version_id string, location string, committed_at timestamp_ntz"
 
 
@@ -77,6 +78,13 @@ class Lake:
 
     # month-partitioned tables --------------------------------------------------------------
 
+    def jobs(self, window: Window, root: str, key: str = MONTH) -> list[Window]:
+        """How to load ``window`` from month directories below ``root``: months that are large on
+        average one job each, which then needs no shuffle to gather a month; small ones together."""
+        months = window.months
+        stored = sum(storage.size(self.spark, f"{root}/{key}={month}") for month in months)
+        return window.split() if stored >= len(months) * LARGE_MONTH_BYTES else [window]
+
     def read(self, layer: str, window: Window | None = None) -> DataFrame:
         trips = self.table(layer)
         return trips if window is None else in_window(trips, window)
@@ -90,9 +98,9 @@ class Lake:
                          order: tuple[str, ...] = (), cluster: tuple[str, ...] = (MONTH,)) -> None:
         """Replace exactly the months present in ``df``.
 
-        ``cluster`` gathers a month's rows in few tasks before the write; AQE splits a month (or
-        day) that outgrows the target file size and merges small ones, so no task ever has to
-        take a whole hot month. With ``drop_missing``, months of ``window`` that have no row any
+        ``cluster`` gathers a month's rows in few tasks before the write; AQE splits a month that
+        outgrows the target file size and merges small ones, so no task ever has to take a whole
+        hot month. With ``drop_missing``, months of ``window`` that have no row any
         more are removed as well."""
         target = self.table(layer, table)
         rows = df.select(*target.columns)
@@ -148,15 +156,18 @@ class Lake:
     def staged(self, location: str) -> DataFrame:
         return self.spark.read.parquet(location)
 
-    def promote(self, mart: str, location: str) -> None:
-        """Make a staged version the current one: readers see the old or the new, never a mix."""
-        self._point("gold", mart, location)
-        row = (mart, location.rsplit("version=", 1)[1], location, utc_now())
-        (self.spark.createDataFrame([row], VERSIONS_DDL).coalesce(1)
+    def promote(self, staged: dict[str, str]) -> None:
+        """Make staged versions (mart -> location) the current ones: readers of a mart see the
+        old version or the new one, never a mix."""
+        rows = []
+        for mart, location in staged.items():
+            self._point("gold", mart, location)
+            rows.append((mart, location.rsplit("version=", 1)[1], location, utc_now()))
+        (self.spark.createDataFrame(rows, VERSIONS_DDL).coalesce(1)
          .write.mode("append").parquet(self.versions_path))
 
     def publish(self, df: DataFrame, mart: str) -> None:
-        self.promote(mart, self.stage(df, mart))
+        self.promote({mart: self.stage(df, mart)})
 
     def _point(self, layer: str, table: str, location: str) -> None:
         name = self.name(layer, table)

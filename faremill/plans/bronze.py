@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from faremill.functions import parse
 from faremill.functions.trip import month_label
@@ -22,14 +22,20 @@ class BronzeLoad:
     raw_rows: int = 0
     kept_rows: int = 0
     missing_start: int = 0
-    outside_window: int = 0
+    other_month: int = 0
     bad_cells: dict[str, int] = field(default_factory=dict)
 
+    def add(self, counts: dict[str, int]) -> None:
+        for name in ("raw_rows", "kept_rows", "missing_start", "other_month"):
+            setattr(self, name, getattr(self, name) + counts[name])
+        for name in TYPED:
+            if counts[f"bad_{name}"]:
+                self.bad_cells[name] = self.bad_cells.get(name, 0) + counts[f"bad_{name}"]
+
 
-def typed(raw: DataFrame, count_bad_cells: bool = False) -> DataFrame:
-    """Every raw row with typed columns and its month; optionally a flag per unparsable cell."""
-    flags = [parse.is_bad(name).alias(f"_bad_{name}") for name in TYPED] if count_bad_cells else []
-    rows = raw.select(*[parse.cell(name).alias(name) for name in TRIP_COLUMNS], *flags)
+def typed(raw: DataFrame, *extra: Column) -> DataFrame:
+    """Every raw row with typed columns and its month, plus ``extra`` columns of the raw row."""
+    rows = raw.select(*[parse.cell(name).alias(name) for name in TRIP_COLUMNS], *extra)
     return rows.withColumn(MONTH, month_label(F.col("trip_start_timestamp")))
 
 
@@ -37,39 +43,43 @@ def build(raw: DataFrame) -> DataFrame:
     return typed(raw).filter(F.col("trip_start_timestamp").isNotNull())
 
 
-def load(lake: Lake, window: Window, strict: bool = False, drop_empty: bool = False,
-         raw: DataFrame | None = None) -> BronzeLoad:
+def load(lake: Lake, window: Window, strict: bool = False, drop_empty: bool = False
+         ) -> BronzeLoad:
     """Load the raw months of ``window`` into the bronze table.
 
-    Rows that start outside the window are counted and left out, so a stray row can never replace
-    another month. A window without raw rows keeps its old months unless ``drop_empty`` is set.
+    Rows of another month than their directory's are counted and left out, so a stray row can
+    never replace a month. Months without raw rows keep their old content unless ``drop_empty``.
+
+    One month is written straight from the scan, without any shuffle. Several small months in one
+    job are gathered by month first, since a scan task may hold parts of many."""
+    total = BronzeLoad(window)
+    for job in lake.jobs(window, lake.raw_root, "month"):
+        total.add(_load(lake, job, strict, drop_empty))
+    return total
+
 
-    One month is written straight from the scan, without any shuffle. Several months are gathered
-    by month first, since a scan task may hold parts of many."""
-    raw = raw_csv.scan(lake.spark, lake.raw_root, window) if raw is None else raw
-    rows = typed(raw, count_bad_cells=True)
+def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict[str, int]:
+    flags = [parse.is_bad(name).alias(f"_bad_{name}") for name in TYPED]
+    rows = typed(raw_csv.scan(lake.spark, lake.raw_root, window), F.col("month"), *flags)
     if len(window.months) > 1:
         rows = rows.hint("rebalance", F.col(MONTH))
     start = F.col("trip_start_timestamp")
-    inside = F.coalesce(window.contains(start), F.lit(False))
+    inside = F.coalesce(F.col(MONTH) == F.col("month"), F.lit(False))
     seen = Observation()  # after the shuffle, if any: only there do retried tasks count once
     rows = rows.observe(
         seen,
         F.count("*").alias("raw_rows"),
         F.count_if(inside).alias("kept_rows"),
         F.count_if(start.isNull()).alias("missing_start"),
-        F.count_if(start.isNotNull() & ~inside).alias("outside_window"),
+        F.count_if(start.isNotNull() & ~inside).alias("other_month"),
         *[F.count_if(F.col(f"_bad_{name}")).alias(f"bad_{name}") for name in TYPED])
     if strict:
         broken = F.lit(False)
         for name in TYPED:
             broken = broken | F.col(f"_bad_{name}")
         rows = rows.filter(F.when(broken, F.raise_error(F.concat(
-            F.lit("malformed cell in trip "), F.coalesce("trip_id", F.lit("?"))))).otherwise(F.lit(True)))
+            F.lit("malformed cell in trip "), F.coalesce("trip_id", F.lit("?")))))
+            .otherwise(F.lit(True)))
     lake.overwrite_months(rows.filter(inside), "bronze", window=window, cluster=(),
                           drop_missing=drop_empty)
-    counts = seen.get
-    return BronzeLoad(
-        window, counts["raw_rows"], counts["kept_rows"], counts["missing_start"],
-        counts["outside_window"],
-        {name: counts[f"bad_{name}"] for name in TYPED if counts[f"bad_{name}"]})
+    return seen.get

@@ -74,7 +74,7 @@ def compact_mart(lake: Lake, mart: str, target_bytes: int = TARGET_BYTES,
     if not chosen:
         return 0, 0
     staged = lake.stage(lake.table("gold", mart).hint("rebalance"), mart)
-    lake.promote(mart, staged)
+    lake.promote({mart: staged})
     return chosen[0]["files"], file_stats(lake, staged, ()).first()["files"]
 
 

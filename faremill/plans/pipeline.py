@@ -44,7 +44,7 @@ def load_bronze(lake: Lake, window: Window, ledger: Ledger, limits: Thresholds =
                             F.lit(loaded.raw_rows).cast("bigint").alias("raw_rows"), "*")
     ledger.materialized(checks.BRONZE, window.label, loaded.kept_rows, raw_rows=loaded.raw_rows,
                         missing_start=loaded.missing_start,
-                        outside_window=loaded.outside_window, bad_cells=loaded.bad_cells)
+                        other_month=loaded.other_month, bad_cells=loaded.bad_cells)
     _gate(ledger, checks.bronze(profile, limits))
     return loaded
 
@@ -96,8 +96,7 @@ def rebuild_gold(lake: Lake, areas: DataFrame, ledger: Ledger, limits: Threshold
     if check_first:
         checks.assert_gate(results)
     with ledger.step("gold.publish"):
-        for name, location in staged.items():
-            lake.promote(name, location)
+        lake.promote(staged)
     trips = tables["trips_daily"].agg(F.sum("trips")).first()[0] or 0
     ledger.materialized(checks.GOLD, "all", trips)
     checks.assert_gate(results)

@@ -11,7 +11,7 @@ from faremill.operators.windows import Window
 from faremill.schema import MONTH, SILVER_COLUMNS, TRIP_COLUMNS
 
 # Trips repeat within a month, never across: loads replace whole months.
-KEY = [MONTH, "trip_id"]
+KEY = ["trip_id", MONTH]  # the selective column first: sorts compare its prefix
 SURVIVOR_ORDER = ["trip_start_timestamp"] + [
     name for name in TRIP_COLUMNS if name not in ("trip_id", "trip_start_timestamp")]
 WRITE_ORDER = ("trip_start_timestamp", "pickup_community_area")
@@ -67,12 +67,13 @@ def build(bronze: DataFrame) -> DataFrame:
 def load(lake: Lake, window: Window, drop_empty: bool = False) -> None:
     """Rebuild the window's silver months from bronze.
 
-    A single month is clustered by day, so files cover few days and date filters skip files; a
-    long backfill is clustered by month, which keeps its file count down."""
-    silver = build(lake.read("bronze", window))
-    cluster = (MONTH, "trip_date") if len(window.months) == 1 else (MONTH,)
-    lake.overwrite_months(silver, "silver", window=window, drop_missing=drop_empty,
-                          order=WRITE_ORDER, cluster=cluster)
+    A one-month job has a single shuffle, the dedupe: its partitions hold distinct ids, hence even
+    shares of the month, and are written as they are, sorted within each file so that date filters
+    skip row groups and pages. Several small months in one job are gathered by month as well."""
+    for job in lake.jobs(window, lake.location("bronze")):
+        cluster = () if len(job.months) == 1 else (MONTH,)
+        lake.overwrite_months(build(lake.read("bronze", job)), "silver", window=job,
+                              drop_missing=drop_empty, order=WRITE_ORDER, cluster=cluster)
 
 
 def profile(silver: DataFrame) -> DataFrame:

@@ -152,13 +152,13 @@ def empty_month(spark, folder):
 
 # bronze and silver -----------------------------------------------------------------------------
 
-def _typed_from_text(spark, folder):
-    return bronze.build(feed.as_text(feed.trips(spark, folder)))
+def _typed_from_raw(ws: Workspace) -> DataFrame:
+    return bronze.build(raw_csv.scan(ws.spark, ws.landed().lake.raw_root))
 
 
-@register
-def bronze_typed(spark, folder):
-    return _typed_from_text(spark, folder)
+@on_workspace
+def bronze_typed(ws):
+    return _typed_from_raw(ws)
 
 
 @on_workspace
@@ -196,9 +196,9 @@ def silver_airport(spark, folder):
         "trip_id", "pickup_community_area", "dropoff_community_area", "is_airport")
 
 
-@register
-def silver_trips(spark, folder):
-    return silver.build(_typed_from_text(spark, folder))
+@on_workspace
+def silver_trips(ws):
+    return silver.build(_typed_from_raw(ws))
 
 
 @on_workspace

@@ -60,8 +60,7 @@ class Workspace:
 
     def published(self) -> "Workspace":
         if not self._published:
-            for mart, location in gold.rebuild(self.lake, self.areas).items():
-                self.lake.promote(mart, location)
+            self.lake.promote(gold.rebuild(self.lake, self.areas))
             self._published = True
         return self
 

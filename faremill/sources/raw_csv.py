@@ -19,13 +19,14 @@ _SCHEMA = T.StructType([*RAW.fields, T.StructField("month", T.StringType())])
 
 def scan(spark: SparkSession, root: str, window: Window | None = None) -> DataFrame:
     """All-string trip columns plus ``month``. Headers are verified against the schema, so parts
-    with another column order fail instead of being misread. A missing directory reads as empty."""
-    if not storage.exists(spark, root):
+    with another column order fail instead of being misread. Only the window's month directories
+    are listed; missing ones read as empty."""
+    paths = [root] if window is None else [f"{root}/month={month}" for month in window.months]
+    paths = [path for path in paths if storage.exists(spark, path)]
+    if not paths:
         return spark.createDataFrame([], _SCHEMA)
-    parts = (spark.read.schema(_SCHEMA).options(**_QUOTING, multiLine=True, enforceSchema=False)
-             .csv(root))
-    return parts if window is None else parts.filter(
-        F.col("month").between(window.months[0], window.months[-1]))
+    return (spark.read.schema(_SCHEMA).options(**_QUOTING, multiLine=True, enforceSchema=False,
+                                               basePath=root).csv(paths))
 
 
 def part_counts(raw: DataFrame) -> DataFrame:

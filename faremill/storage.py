@@ -25,11 +25,10 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
-def subdirectories(spark: SparkSession, path: str) -> list[str]:
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored below ``path``, 0 if it does not exist."""
     fs, target = _fs(spark, path)
-    if not fs.exists(target):
-        return []
-    return sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory())
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:
