@@ -1,0 +1,213 @@
+import random
+from collections import Counter, defaultdict
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import final_plan, plan, rows
+from faremill.operators import summaries as S
+from faremill.operators.filters import Filters
+from faremill.operators.windows import Window
+from faremill.plans import bi, gold, silver
+from faremill.sources import areas as area_source
+
+AREAS = [(1, "Loop", False), (76, "O'Hare", True), (2, "", False)]
+
+
+@pytest.fixture(scope="module")
+def areas(spark):
+    return spark.createDataFrame(AREAS, "area_no int, area_name string, area_airport boolean")
+
+
+def records(n=600):
+    """A third of the trips share one company, pickup area and day."""
+    rng = random.Random(7)
+    found = []
+    for i in range(n):
+        hot = i % 3 == 0
+        day = date(2023, 10, 1) if hot else date(2023, 10, 1) + timedelta(rng.randrange(60))
+        found.append({
+            "trip_id": f"t{i}", "trip_start_timestamp": f"{day}T{rng.randrange(24):02d}:00:00",
+            "trip_seconds": rng.choice([None, 0, 600, 1234]), "trip_miles": rng.choice([None, 1.25]),
+            "fare": rng.choice([None, 0.0, 10.05, 7.35]), "tips": rng.choice([None, 1.0]),
+            "trip_total": rng.choice([None, 12.34, 0.1]),
+            "pickup_community_area": 1 if hot else rng.choice([None, 2, 3, 76]),
+            "dropoff_community_area": rng.choice([None, 1, 76, 5]),
+            "payment_type": rng.choice([None, "Cash", "Card"]),
+            "company": "Big" if hot else rng.choice([None, "A", "B"])})
+    return found
+
+
+@pytest.fixture
+def stored(lake, trips):
+    """A lake with bronze and silver loaded for October and November."""
+    lake.overwrite_months(trips(*records()), "bronze")
+    silver.load(lake, Window.of("2023-10", "2023-12"))
+    return lake
+
+
+def test_marts_from_state_equal_direct_marts(stored, areas):
+    trips = stored.table("silver")
+    gold.refresh_state(stored)
+    state = stored.table("gold", "mart_state")
+    for name in gold.MARTS:
+        direct, rolled = gold.mart(trips, name, areas), gold.mart_from_state(state, name, areas)
+        assert direct.columns == rolled.columns
+        assert direct.collect() == rolled.collect(), name
+
+
+def test_marts_against_plain_python(stored, areas):
+    trips = [r.asDict() for r in stored.table("silver").collect()]
+    by_company = Counter(t["company"] or "Unknown" for t in trips)
+    got = gold.trips_by_company(stored.table("silver")).collect()
+    assert [(r["company"], r["trips"]) for r in got] == sorted(
+        by_company.items(), key=lambda kv: (-kv[1], kv[0]))
+    cents = defaultdict(int)
+    for t in trips:
+        cents[t["company"] or "Unknown"] += round((t["trip_total"] or 0) * 100)
+    assert {r["company"]: r["revenue"] for r in got} == {k: v / 100 for k, v in cents.items()}
+    mix = gold.payment_mix(stored.table("silver")).collect()
+    assert {r["payment_type"]: r["pct_of_trips"] for r in mix} == {
+        k: round(v / len(trips), 4) for k, v in Counter(
+            t["payment_type"] or "Unknown" for t in trips).items()}
+    routes = Counter((t["pickup_community_area"], t["dropoff_community_area"]) for t in trips
+                     if None not in (t["pickup_community_area"], t["dropoff_community_area"]))
+    named = {code: name for code, name, _ in AREAS}
+    assert [(r[0], r["pickup_area"], r[2], r["dropoff_area"], r["trips"])
+            for r in gold.top_routes(stored.table("silver"), areas).collect()] == [
+        (p, named.get(p), d, named.get(d), n)
+        for (p, d), n in sorted(routes.items(), key=lambda kv: (-kv[1], kv[0]))[:50]]
+
+
+def test_incremental_rebuild_equals_full(stored, trips, areas):
+    stored.promote(gold.rebuild(stored, areas))
+    changed = [r for r in records(900) if r["trip_start_timestamp"] >= "2023-11"]
+    stored.overwrite_months(trips(*changed), "bronze")
+    november = Window.of("2023-11")
+    silver.load(stored, november)
+    stored.promote(gold.rebuild(stored, areas, november))
+    for name in gold.MARTS:
+        assert stored.table("gold", name).collect() == gold.mart(
+            stored.table("silver"), name, areas).collect(), name
+
+
+def test_a_month_that_vanished_leaves_the_marts(stored, areas):
+    stored.promote(gold.rebuild(stored, areas))
+    stored.drop_month("silver", "2023-11")
+    stored.promote(gold.rebuild(stored, areas, Window.of("2023-11")))
+    assert stored.table("gold", "trips_daily").agg(F.max("day")).first()[0] <= date(2023, 10, 31)
+
+
+def test_state_is_one_scan_and_one_shuffle(stored):
+    text = plan(gold.state(stored.table("silver")))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert "partial_sum" in text and "trip_id" not in text.split("ReadSchema")[1]
+
+
+def test_top_k_ties_are_broken_by_key(trips, areas):
+    df = silver.build(trips(*[
+        {"trip_id": f"t{i}", "trip_start_timestamp": "2023-10-01T00:00:00",
+         "pickup_community_area": i, "dropoff_community_area": 1} for i in range(30)]))
+    for parts in (1, 8):
+        top = bi.pickup_areas(df.repartition(parts), areas).collect()
+        assert [r["pickup_community_area"] for r in top] == list(range(20))
+
+
+def test_limit_runs_before_the_name_joins(stored, areas):
+    text = final_plan(gold.top_routes(stored.table("silver"), areas))
+    assert "TakeOrderedAndProject" in text and "BroadcastHashJoin" in text
+
+
+def test_repeated_area_code_is_an_error(spark, tmp_path):
+    path = tmp_path / "areas.csv"
+    path.write_text("community_area,area_name,is_airport\n1,Loop,0\n76,\"O\"\"Hare\",1\n")
+    loaded = area_source.load(spark, str(path))
+    assert rows(loaded) == [(1, "Loop", False), (76, 'O"Hare', True)]
+    path.write_text("community_area,area_name,is_airport\n1,Loop,0\n1,Again,1\n")
+    with pytest.raises(ValueError, match="area code 1"):
+        area_source.load(spark, str(path))
+
+
+FILTERS = [
+    Filters(), Filters(start="2023-10-05", end="2023-10-20"), Filters(company="Big"),
+    Filters(payment_type="Cash"), Filters(pickup_area=76), Filters(day_type="weekend"),
+    Filters(day_type="weekday", company="A", start="2023-10-10"), Filters(pickup_area=0),
+    Filters(start="", company="", day_type="other"), Filters(company="Unknown")]
+
+
+@pytest.mark.parametrize("f", FILTERS, ids=str)
+def test_filters_against_plain_python(stored, areas, f):
+    def keep(t):
+        return ((not f.start or str(t["trip_date"]) >= f.start)
+                and (not f.end or str(t["trip_date"]) <= f.end)
+                and (not f.company or t["company"] == f.company)
+                and (not f.payment_type or t["payment_type"] == f.payment_type)
+                and (f.pickup_area is None or t["pickup_community_area"] == f.pickup_area)
+                and (f.day_type not in ("weekend", "weekday")
+                     or (t["dow_num"] in (1, 7)) == (f.day_type == "weekend")))
+
+    trips = stored.table("silver")
+    kept = [r.asDict() for r in trips.collect() if keep(r.asDict())]
+    row = bi.summary(trips, f).first()
+    assert row["total_trips"] == len(kept)
+    assert row["days"] == len({t["trip_date"] for t in kept})
+    assert row["total_revenue"] == sum(round((t["trip_total"] or 0) * 100) for t in kept) / 100
+    fares = [round(t["fare"] * 100) for t in kept if t["fare"] is not None]
+    assert row["avg_fare"] == pytest.approx(sum(fares) / 100 / len(fares) if fares else 0, abs=.006)
+    assert sum(r["trips"] for r in bi.trips_daily(trips, f).collect()) == len(kept)
+    shares = [r["pct_of_trips"] for r in bi.payment_mix(trips, f).collect()]
+    assert sum(shares) == pytest.approx(1.0 if kept else 0, abs=.0002)
+    heat = bi.heatmap(trips, f).collect()
+    days = {t["dow_num"] for t in kept}
+    assert len(heat) == 24 * len(days) and sum(r["trips"] for r in heat) == len(kept)
+    assert max([r["intensity"] for r in heat], default=1.0) == 1.0
+
+
+def test_date_filters_prune_months_and_reach_the_scan(stored):
+    text = plan(bi.trips_daily(stored.table("silver"), Filters(start="2023-11-02",
+                                                               end="2023-11-09")))
+    partition = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "trip_month" in partition and ">= 2023-11" in partition
+    assert "GreaterThanOrEqual(trip_date,2023-11-02)" in text
+    assert "taxi_id" not in text and "company" not in text
+
+
+def test_unnamed_areas(stored, areas):
+    trips = stored.table("silver")
+    named = {r["pickup_community_area"]: (r["area_name"], r["is_airport"])
+             for r in bi.pickup_areas(trips, areas).collect()}
+    assert named == {1: ("Loop", False), 2: ("Area 2", False), 3: ("Area 3", False),
+                     76: ("O'Hare", True)}
+    assert {r["code"] for r in bi.area_options(trips, areas).collect()} == {1, 2, 76}
+    assert {r["pickup_area"] for r in bi.top_routes(trips, areas).collect()} == {
+        "Loop", "Area 2", "Area 3", "O'Hare"}
+
+
+def test_options(stored):
+    trips = stored.table("silver")
+    assert [r[0] for r in bi.options(trips, "company").collect()] == ["A", "B", "Big"]
+    assert [r[0] for r in bi.options(trips, "payment_type").collect()] == ["Card", "Cash"]
+    assert bi.date_range(trips).first()["date_min"] == date(2023, 10, 1)
+
+
+def test_queries_on_no_rows(stored, areas):
+    none = stored.table("silver").filter("false")
+    assert tuple(bi.summary(none).first()) == (0, 0.0, 0, 0.0, 0.0, 0.0)
+    assert tuple(bi.date_range(none).first()) == (None, None)
+    for df in (bi.heatmap(none), bi.payment_mix(none), bi.top_routes(none, areas),
+               gold.trips_daily(none)):
+        assert df.collect() == []
+
+
+def test_group_without_amounts_has_null_revenue(trips):
+    df = silver.build(trips({"trip_id": "a", "trip_start_timestamp": "2023-10-01T00:00:00"}))
+    assert tuple(gold.trips_by_company(df).first()) == ("Unknown", 1, None, None)
+
+
+def test_partial_measures_merge(spark):
+    df = spark.createDataFrame([(i % 5, float(i), None if i % 2 else 1.0) for i in range(100)],
+                               "k int, trip_total double, fare double")
+    measures = ("total", "fare")
+    whole = df.agg(*S.partial(measures)).collect()
+    assert df.groupBy("k").agg(*S.partial(measures)).agg(*S.merged(measures)).collect() == whole
