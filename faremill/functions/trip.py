@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 AIRPORT_AREAS = (76, 56)  # fixed values: area codes of the two airports
 WEEKEND = (1, 7)          # fixed values: Sunday and Saturday as dayofweek() numbers
 
 
+def moment(at: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal. ``lit(datetime)`` would pass through the session time zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def seconds_between(first: Column, last: Column) -> Column:
+    """Whole seconds from one TIMESTAMP_NTZ to another, without a time zone."""
+    gap = last - first
+    parts = [F.extract(F.lit(unit), gap) * size
+             for unit, size in (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60), ("SECOND", 1))]
+    return F.floor(parts[0] + parts[1] + parts[2] + parts[3])
+
+
 def month_label(ts: Column) -> Column:
     """"yyyy-MM" of a date or timestamp, without a time-zone dependent formatter."""
     return F.substring(ts.cast("date").cast("string"), 1, 7)

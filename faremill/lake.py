@@ -7,6 +7,7 @@ from the files and the version ledger."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -14,10 +15,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from faremill import storage
 from faremill.operators.windows import Window, in_window
 from faremill.schema import BRONZE_DDL, MONTH, SILVER_DDL
+from faremill.session import sized_shuffles
 
 TRIPS = "taxi_trips"
 STATE = "mart_state"
 LARGE_MONTH_BYTES = 4 << 30
+FILE_ROWS = 4_000_000
 VERSIONS_DDL = "table_name string, version_id string, location string, committed_at timestamp_ntz"
 
 
@@ -51,7 +54,8 @@ class Lake:
 
     def create(self) -> "Lake":
         for layer in ("bronze", "silver", "gold"):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} "
+                           f"LOCATION '{self.root}/{layer}'")
         self.create_monthly("bronze", TRIPS, BRONZE_DDL)
         self.create_monthly("silver", TRIPS, SILVER_DDL)
         if storage.exists(self.spark, self.versions_path):
@@ -63,27 +67,32 @@ class Lake:
         return self
 
     def create_monthly(self, layer: str, table: str, ddl: str) -> None:
-        """A month-partitioned table whose overwrites replace only the months they write: the
-        mode is a table option, so it holds whatever the session setting is."""
+        """A month-partitioned table whose overwrites replace only the months they write and whose
+        files are bounded: both are table options, so they hold whatever the session setting is."""
         if self.exists(layer, table):
             return
         location = self.location(layer, table)
         found = storage.exists(self.spark, location)
         self.spark.sql(
             f"CREATE TABLE {self.name(layer, table)} ({ddl}) USING parquet "
-            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({MONTH}) "
+            f"OPTIONS (partitionOverwriteMode 'dynamic', maxRecordsPerFile '{FILE_ROWS}') "
+            f"PARTITIONED BY ({MONTH}) "
             f"LOCATION '{location}'")
         if found:
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} RECOVER PARTITIONS")
 
     # month-partitioned tables --------------------------------------------------------------
 
-    def jobs(self, window: Window, root: str, key: str = MONTH) -> list[Window]:
+    def jobs(self, window: Window, root: str, key: str = MONTH) -> Iterator[Window]:
         """How to load ``window`` from month directories below ``root``: months that are large on
-        average one job each, which then needs no shuffle to gather a month; small ones together."""
-        months = window.months
-        stored = sum(storage.size(self.spark, f"{root}/{key}={month}") for month in months)
-        return window.split() if stored >= len(months) * LARGE_MONTH_BYTES else [window]
+        average one job each, which then needs no shuffle to gather a month; small ones together.
+        While a job runs, shuffles have enough partitions for the bytes it reads."""
+        sizes = {month: storage.size(self.spark, f"{root}/{key}={month}")
+                 for month in window.months}
+        large = sum(sizes.values()) >= len(sizes) * LARGE_MONTH_BYTES
+        for job in window.split() if large else [window]:
+            with sized_shuffles(self.spark, sum(sizes[month] for month in job.months)):
+                yield job
 
     def read(self, layer: str, window: Window | None = None) -> DataFrame:
         trips = self.table(layer)

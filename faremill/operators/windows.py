@@ -7,9 +7,17 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from faremill.functions.trip import moment
 from faremill.schema import MONTH
 
 
+def _month_start(text: str) -> datetime:
+    day = datetime.fromisoformat(text if len(text) > 7 else f"{text}-01")
+    if day != datetime(day.year, day.month, 1):
+        raise ValueError(f"not the start of a month: {text}")
+    return day
+
+
 def _next_month(day: datetime) -> datetime:
     return datetime(day.year + day.month // 12, day.month % 12 + 1, 1)
 
@@ -24,8 +32,8 @@ class Window:
     @classmethod
     def of(cls, start: str, end: str | None = None) -> "Window":
         """From ISO text, "2023-10" or "2023-10-01T00:00:00"; one month unless ``end`` is given."""
-        first = datetime.strptime(start[:7], "%Y-%m")
-        last = datetime.strptime(end[:7], "%Y-%m") if end else _next_month(first)
+        first = _month_start(start)
+        last = _month_start(end) if end else _next_month(first)
         if last <= first:
             raise ValueError(f"empty window: {start}..{end}")
         return cls(first, last)
@@ -47,8 +55,7 @@ class Window:
         return [Window.of(month) for month in self.months]
 
     def contains(self, ts: Column) -> Column:
-        return (ts >= F.lit(self.start).cast("timestamp_ntz")) & (
-            ts < F.lit(self.end).cast("timestamp_ntz"))
+        return (ts >= moment(self.start)) & (ts < moment(self.end))
 
     def partitions(self) -> Column:
         """The same range on the partition column, which prunes directories."""

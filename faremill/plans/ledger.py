@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from faremill import storage
+from faremill.functions.trip import moment, seconds_between
 from faremill.lake import Lake, utc_now
 from faremill.plans.checks import CHECK_DDL
 
@@ -71,10 +72,10 @@ class Ledger:
         """Stores check rows and returns the stored rows, so checks are evaluated once."""
         at = utc_now()
         (checks.select(F.lit(self.run_id).alias("run_id"), "*",
-                       F.lit(at).cast("timestamp_ntz").alias("recorded_at"))
+                       moment(at).alias("recorded_at"))
          .coalesce(1).write.mode("append").parquet(self._path("check_results")))
         return self.table("check_results").filter(
-            (F.col("run_id") == self.run_id) & (F.col("recorded_at") == F.lit(at)))
+            (F.col("run_id") == self.run_id) & (F.col("recorded_at") == moment(at)))
 
 
 def latest(materializations: DataFrame, tie_break: str = "run_id") -> DataFrame:
@@ -86,9 +87,8 @@ def latest(materializations: DataFrame, tie_break: str = "run_id") -> DataFrame:
 
 def freshness(materializations: DataFrame, now: datetime, hours: int) -> DataFrame:
     """WARN check per asset: was it last rebuilt at most ``hours`` ago?"""
-    at = F.lit(now).cast("timestamp_ntz")
     last = F.col("last_finished")
-    age = F.timestamp_diff("SECOND", last, at)
+    age = seconds_between(last, moment(now))
     return (materializations.groupBy("asset").agg(F.max("finished_at").alias("last_finished"))
             .select("asset", F.lit("all").alias("window"), F.lit("freshness").alias("check_name"),
                     F.lit("WARN").alias("severity"), (age <= hours * 3600).alias("passed"),

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from faremill import storage
+from faremill.functions.trip import moment
 from faremill.lake import STATE, TRIPS, Lake, utc_now
 from faremill.plans import gold, silver
 from faremill.schema import MONTH
@@ -91,8 +92,7 @@ def retention_plan(versions: DataFrame, now: datetime, keep_last: int = KEEP_LAS
                 .filter(F.col("_rank") <= keep_last)
                 .groupBy("table_name")
                 .agg(F.min(F.struct("committed_at", "version_id")).alias("_oldest_kept")))
-    cutoff = F.lit(now - timedelta(days=days)).cast("timestamp_ntz")
-    return (versions.filter(F.col("committed_at") < cutoff)
+    return (versions.filter(F.col("committed_at") < moment(now - timedelta(days=days)))
             .join(boundary, "table_name")
             .filter(F.struct("committed_at", "version_id") < F.col("_oldest_kept"))
             .select(*versions.columns))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,10 @@ DEFAULTS = {
 }
 
 
+SHUFFLED_PER_STORED = 4  # shuffled rows against compressed columnar files, roughly
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 256 << 20) -> int:
     """Initial shuffle partition count for a job that shuffles about ``shuffled_bytes``.
 
@@ -29,6 +34,21 @@ def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 256 << 20) -> in
     return max(8, math.ceil(shuffled_bytes / target_bytes))
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, stored_bytes: int):
+    """Raises (never lowers) the shuffle partition count for jobs over ``stored_bytes`` of files."""
+    before = spark.conf.get(_PARTITIONS)
+    wanted = shuffle_partitions(stored_bytes * SHUFFLED_PER_STORED)
+    if wanted <= int(before):
+        yield
+        return
+    spark.conf.set(_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 def build_spark(app: str, master: str | None = None, shuffled_bytes: int | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -37,7 +57,7 @@ def build_spark(app: str, master: str | None = None, shuffled_bytes: int | None
         builder = builder.master(master)
     settings = dict(DEFAULTS)
     if shuffled_bytes is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))
+        settings[_PARTITIONS] = str(shuffle_partitions(shuffled_bytes))
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 
 from conftest import at, rows
+from faremill.functions.trip import moment, seconds_between
 from faremill.operators import windows
 from faremill.operators.windows import Window
 
@@ -15,6 +16,9 @@ def test_months_and_labels():
     assert [w.label for w in window.split()] == window.months
     with pytest.raises(ValueError):
         Window.of("2024-02", "2024-02")
+    assert Window.of("2023-12-01") == Window.of("2023-12-01T00:00:00") == Window.of("2023-12")
+    with pytest.raises(ValueError):
+        Window.of("2023-12-15")
 
 
 def test_backfill_delta_lookback():
@@ -43,3 +47,16 @@ def test_window_is_half_open(trips):
                {"trip_id": "out", "trip_start_timestamp": "2023-11-01T00:00:00"},
                {"trip_id": "null", "trip_start_timestamp": None})
     assert rows(windows.in_window(df, Window.of("2023-10")), "trip_id") == [("in",), ("last",)]
+
+
+def test_bounds_do_not_depend_on_the_session_zone(spark, trips):
+    df = trips({"trip_id": "in", "trip_start_timestamp": "2023-10-31T23:30:00"},
+               {"trip_id": "out", "trip_start_timestamp": "2023-11-01T00:30:00"})
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        kept = rows(windows.in_window(df, Window.of("2023-10")), "trip_id")
+        gap = df.select(seconds_between(moment(at("2023-03-12T00:00:00")),
+                                        moment(at("2023-03-13T00:00:01")))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert kept == [("in",)] and gap == 86401
