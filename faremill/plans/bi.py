@@ -1,4 +1,7 @@
-"""BI queries over silver, each under an optional filter set."""
+"""BI queries, each under an optional filter set.
+
+``trips`` is the silver table, or the gold state for unfiltered queries: the state holds the same
+aggregates per month, so a dashboard's first page needs no scan of the trips."""
 
 from __future__ import annotations
 
@@ -16,60 +19,92 @@ TOP_ROUTES = 20
 TOP_AREAS = 20
 
 
-def date_range(silver: DataFrame) -> DataFrame:
-    return silver.agg(F.min("trip_date").alias("date_min"), F.max("trip_date").alias("date_max"))
+def _is_state(trips: DataFrame) -> bool:
+    return "mart" in trips.columns
+
+
+def _trips_of(trips: DataFrame, mart: str) -> DataFrame:
+    """Rows that hold the mart's key columns and stand for ``trips`` trips each."""
+    if _is_state(trips):
+        return gold.state_of(trips, mart).withColumnRenamed("day", "trip_date")
+    return trips.withColumn("trips", F.lit(1))
+
+
+def _grouped(trips: DataFrame, mart: str, filters: Filters) -> DataFrame:
+    if not _is_state(trips):
+        return gold.grouped(filters.apply(trips), mart)
+    if filters.conditions():
+        raise ValueError("the mart state answers unfiltered queries only")
+    return gold.grouped_from_state(trips, mart)
+
+
+def date_range(trips: DataFrame) -> DataFrame:
+    return _trips_of(trips, "trips_daily").agg(F.min("trip_date").alias("date_min"),
+                                               F.max("trip_date").alias("date_max"))
+
+
+OPTION_MARTS = {"company": "trips_by_company", "payment_type": "payment_mix"}
 
 
-def options(silver: DataFrame, column: str) -> DataFrame:
+def options(trips: DataFrame, column: str) -> DataFrame:
     """Sorted distinct non-null values of a filter column."""
-    return silver.filter(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+    return (_trips_of(trips, OPTION_MARTS[column]).filter(F.col(column).isNotNull())
+            .select(column).distinct().orderBy(column))
 
 
-def area_options(silver: DataFrame, areas: DataFrame) -> DataFrame:
+def area_options(trips: DataFrame, areas: DataFrame) -> DataFrame:
     """Named pickup areas, busiest first; unnamed ones are left out."""
-    groups = (silver.filter(F.col("pickup_community_area").isNotNull())
+    groups = (_trips_of(trips, "trips_by_pickup_area")
+              .filter(F.col("pickup_community_area").isNotNull())
               .groupBy(F.col("pickup_community_area").alias("code"))
-              .agg(F.count("*").alias("trips")))
+              .agg(F.sum("trips").alias("trips")))
     named = groups.join(areas, F.col("code") == F.col("area_no"), "inner")
     return S.busiest(named, ["code"]).select("code", F.col("area_name").alias("name"))
 
 
-def summary(silver: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def summary(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
     outputs = ["revenue", "avg_fare", "avg_tip_pct", "avg_miles"]
-    row = filters.apply(silver).agg(*S.partial(tuple(S.needed(outputs))),
-                                    F.countDistinct("trip_date").alias("days"))
+    measures = tuple(S.needed(outputs))
+    days = F.countDistinct("trip_date").alias("days")
+    if _is_state(trips) and not filters.conditions():
+        row = _trips_of(trips, "trips_daily").agg(*S.merged(measures), days)
+    else:
+        row = filters.apply(trips).agg(*S.partial(measures), days)
     revenue, fare, tip, miles = [
         F.coalesce(S.final(name), F.lit(0.0)) for name in outputs]
-    return row.select(F.col("trips").alias("total_trips"), revenue.alias("total_revenue"), "days",
-                      fare.alias("avg_fare"), tip.alias("avg_tip_pct"), miles.alias("avg_miles"))
+    return row.select(F.coalesce("trips", F.lit(0).cast("bigint")).alias("total_trips"),
+                      revenue.alias("total_revenue"), "days", fare.alias("avg_fare"),
+                      tip.alias("avg_tip_pct"), miles.alias("avg_miles"))
 
 
-def trips_daily(silver: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
-    return gold.trips_daily(filters.apply(silver))
+def trips_daily(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+    return _grouped(trips, "trips_daily", filters).orderBy("day")
 
 
-def trips_by_hour(silver: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
-    return gold.trips_by_hour(filters.apply(silver)).withColumnRenamed("trip_hour", "hour")
+def trips_by_hour(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+    return (_grouped(trips, "trips_by_hour", filters).orderBy("dow_num", "trip_hour")
+            .withColumnRenamed("trip_hour", "hour"))
 
 
-def heatmap(silver: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
-    return S.heatmap(trips_by_hour(silver, filters))
+def heatmap(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+    return S.heatmap(trips_by_hour(trips, filters))
 
 
-def trips_by_company(silver: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
-    return S.busiest(gold.grouped(filters.apply(silver), "trips_by_company"), ["company"],
-                     TOP_COMPANIES)
+def trips_by_company(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+    return S.busiest(_grouped(trips, "trips_by_company", filters), ["company"], TOP_COMPANIES)
 
 
-def payment_mix(silver: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def payment_mix(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
     """Shares are of the filtered total."""
-    return gold.payment_mix(filters.apply(silver))
+    groups = _grouped(trips, "payment_mix", filters)
+    total = (gold.state_of(trips, "payment_mix").agg(F.sum("trips").alias("trips"))
+             if _is_state(trips) else filters.apply(trips).agg(F.count("*").alias("trips")))
+    return S.busiest(S.with_share(groups, total), ["payment_type"])
 
 
-def top_routes(silver: DataFrame, areas: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def top_routes(trips: DataFrame, areas: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
     pickup, dropoff = gold.MARTS["top_routes"].keys
-    top = S.busiest(gold.grouped(filters.apply(silver), "top_routes"), [pickup, dropoff],
-                    TOP_ROUTES)
+    top = S.busiest(_grouped(trips, "top_routes", filters), [pickup, dropoff], TOP_ROUTES)
     named = S.name_areas(S.name_areas(top, areas, pickup, "_pickup"), areas, dropoff, "_dropoff")
     return S.busiest(named, [pickup, dropoff]).select(
         area_label(F.col("_pickup"), F.col(pickup)).alias("pickup_area"),
@@ -77,9 +112,9 @@ def top_routes(silver: DataFrame, areas: DataFrame, filters: Filters = NO_FILTER
         "trips", "avg_fare", "avg_miles")
 
 
-def pickup_areas(silver: DataFrame, areas: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
+def pickup_areas(trips: DataFrame, areas: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
     code = "pickup_community_area"
-    top = S.busiest(gold.grouped(filters.apply(silver), "trips_by_pickup_area"), [code], TOP_AREAS)
+    top = S.busiest(_grouped(trips, "trips_by_pickup_area", filters), [code], TOP_AREAS)
     named = S.name_areas(top, areas, code, "_name", "_airport")
     return S.busiest(named, [code]).select(
         code, area_label(F.col("_name"), F.col(code)).alias("area_name"),

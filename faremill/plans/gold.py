@@ -122,8 +122,7 @@ def trips_by_pickup_area(silver: DataFrame, areas: DataFrame) -> DataFrame:
 def state(silver: DataFrame) -> DataFrame:
     """Mergeable aggregates of all marts, per month, from one scan and one shuffle."""
     columns = [MONTH, *KEY_TYPES]
-    rows = silver.select(F.col(MONTH), *[key_column(name).alias(name) for name in KEY_TYPES],
-                         *S.MEASURES.values())
+    rows = silver.withColumnRenamed("trip_date", "day").select(*columns, *S.MEASURES.values())
     sets = [[F.col(MONTH), *[F.col(key) for key in spec.keys]] for spec in MARTS.values()]
     # grouping_id has one bit per column, set where the column is not part of the grouping set
     label = F.lit(None)
@@ -135,15 +134,25 @@ def state(silver: DataFrame) -> DataFrame:
             .withColumn("mart", label).drop("_set"))
 
 
-def mart_from_state(stored: DataFrame, name: str, areas: DataFrame | None = None) -> DataFrame:
-    spec = MARTS[name]
-    rows = stored.filter(F.col("mart") == name)
+def state_of(stored: DataFrame, mart: str) -> DataFrame:
+    """The state rows of one mart: its keys (NULL as in silver), trips and measures."""
+    return stored.filter(F.col("mart") == mart)
+
+
+def grouped_from_state(stored: DataFrame, mart: str) -> DataFrame:
+    """The same as ``grouped``, from the state."""
+    spec = MARTS[mart]
+    rows = state_of(stored, mart).withColumnRenamed("day", "trip_date")
     if spec.known_only:
         rows = rows.dropna(subset=list(spec.keys))
-    groups = (rows.groupBy(*spec.keys).agg(*S.merged(tuple(S.needed(spec.outputs))))
-              .select(*spec.keys, *[S.final(output) for output in spec.outputs]))
-    total = stored.filter(F.col("mart") == "trips_daily").agg(F.sum("trips").alias("trips"))
-    return _finish(name, groups, areas, total)
+    return (rows.groupBy(*[key_column(name).alias(name) for name in spec.keys])
+            .agg(*S.merged(tuple(S.needed(spec.outputs))))
+            .select(*spec.keys, *[S.final(output) for output in spec.outputs]))
+
+
+def mart_from_state(stored: DataFrame, name: str, areas: DataFrame | None = None) -> DataFrame:
+    total = state_of(stored, "trips_daily").agg(F.sum("trips").alias("trips"))
+    return _finish(name, grouped_from_state(stored, name), areas, total)
 
 
 def refresh_state(lake: Lake, window: Window | None = None) -> None:

@@ -211,3 +211,31 @@ def test_partial_measures_merge(spark):
     measures = ("total", "fare")
     whole = df.agg(*S.partial(measures)).collect()
     assert df.groupBy("k").agg(*S.partial(measures)).agg(*S.merged(measures)).collect() == whole
+
+
+def test_unfiltered_queries_are_answered_by_the_state(stored, areas):
+    gold.refresh_state(stored)
+    trips, state = stored.table("silver"), stored.table("gold", "mart_state")
+    for query in (bi.date_range, bi.summary, bi.trips_daily, bi.trips_by_hour, bi.heatmap,
+                  bi.trips_by_company, bi.payment_mix):
+        assert query(state).collect() == query(trips).collect(), query.__name__
+        assert "silver" not in plan(query(state))
+    for column in ("company", "payment_type"):
+        assert bi.options(state, column).collect() == bi.options(trips, column).collect()
+    for query in (bi.area_options, bi.top_routes, bi.pickup_areas):
+        assert query(state, areas).collect() == query(trips, areas).collect(), query.__name__
+    with pytest.raises(ValueError):
+        bi.trips_daily(state, Filters(company="A"))
+    none = state.filter("false")
+    assert tuple(bi.summary(none).first()) == (0, 0.0, 0, 0.0, 0.0, 0.0)
+
+
+def test_a_company_named_unknown_joins_the_null_bucket(lake, trips):
+    lake.overwrite_months(silver.build(trips(*[
+        {"trip_id": f"t{i}", "trip_start_timestamp": "2023-10-01T00:00:00", "company": name}
+        for i, name in enumerate(["Unknown", None, "A"])])), "silver")
+    gold.refresh_state(lake)
+    state = lake.table("gold", "mart_state")
+    for df in (bi.trips_by_company(lake.table("silver")), bi.trips_by_company(state)):
+        assert [tuple(r)[:2] for r in df.collect()] == [("Unknown", 2), ("A", 1)]
+    assert [r[0] for r in bi.options(state, "company").collect()] == ["A", "Unknown"]

@@ -183,3 +183,53 @@ def test_working_folder_follows_the_session(spark):
         assert folder.startswith(shared)
 
 
+
+
+def test_jobs_from_the_command_line(spark, raw_text, tmp_path, capsys):
+    from faremill.__main__ import main
+    from faremill.sources import raw_csv
+
+    pages, root = str(tmp_path / "pages"), str(tmp_path / "lake")
+    raw_csv.land(raw_text(*[
+        {"trip_id": f"t{m}{i}", "trip_start_timestamp": f"2023-{m}-0{i}T00:00:00", "fare": "2",
+         "trip_total": "3", "pickup_community_area": "1", "dropoff_community_area": "2"}
+        for m in (10, 11) for i in range(1, 9)]), pages, Window.of("2023-10", "2023-12"))
+    areas = tmp_path / "areas.csv"
+    areas.write_text("community_area,area_name,is_airport\n1,Loop,0\n")
+    try:
+        for job in ("extract --source " + pages, "bronze", "silver"):
+            main([*job.split(), "--root", root, "--start", "2023-10"])
+        assert spark.table("silver.taxi_trips").count() == 8
+        main(["backfill", "--root", root, "--start", "2023-10", "--end", "2023-12",
+              "--source", pages])
+        main(["lookback", "--root", root, "--start", "2023-10", "--end", "2023-12"])
+        main(["post", "--root", root, "--areas", str(areas)])
+        main(["gold", "--root", root, "--areas", str(areas), "--changed", "2023-11"])
+        script = tmp_path / "q.sql"
+        script.write_text("select sum(trips) as n from gold.trips_daily; "
+                          "select area_name, is_airport from areas")
+        main(["sql", "--root", root, "--areas", str(areas), "--file", str(script)])
+        shown = capsys.readouterr().out
+        assert "|16 |" in shown and "|Loop     |false     |" in shown and "maintained" in shown
+    finally:
+        for layer in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+
+
+def test_hot_month_is_split_over_tasks(lake, spark, trips):
+    """A third and more of the rows in one month: AQE cuts that month into many writes."""
+    many = [trip(i, f"2023-10-{i % 28 + 1:02d}T00:00:00", company=f"company {i * 7919 % 10007}")
+            for i in range(20000)]
+    few = [trip(20000 + i, f"2023-{i % 9 + 1:02d}-01T00:00:00") for i in range(9)]
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        lake.overwrite_months(trips(*many, *few).repartition(16), "bronze",
+                              order=("trip_start_timestamp",))
+    finally:
+        spark.conf.set(key, before)
+    files = {r["trip_month"]: r["files"] for r in maintain.file_stats(
+        lake, lake.location("bronze")).collect()}
+    assert files["2023-10"] >= 3 and all(files[f"2023-0{m}"] == 1 for m in range(1, 10))
+    assert lake.table("bronze").count() == 20009
