@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from faremill.config import Thresholds
 from faremill.lake import Lake
@@ -19,12 +19,20 @@ def _gate(ledger: Ledger, results: DataFrame) -> None:
     checks.assert_gate(ledger.record(results))
 
 
+def _evaluated(profile: DataFrame) -> tuple[DataFrame, list[Row]]:
+    """A profile computed once: as rows for the run record, and as a frame for the checks. It has
+    one row per month of the run."""
+    found = profile.collect()
+    return profile.sparkSession.createDataFrame(found, profile.schema), found
+
+
 def land(lake: Lake, source: DataFrame, window: Window, ledger: Ledger,
          limits: Thresholds = Thresholds()) -> dict:
     with ledger.step("raw.land", window.label) as info:
         landed = raw_csv.land(source, lake.raw_root, window)
         info.update(landed)
-    ledger.materialized(checks.RAW, window.label, landed["rows"])
+    ledger.materialized(checks.RAW, window.label, landed["rows"], location=lake.raw_root,
+                        months=",".join(landed["months"]))
     profile = lake.spark.createDataFrame([(window.label, landed["rows"])],
                                          "window string, rows bigint")
     _gate(ledger, checks.raw(profile, limits))
@@ -54,11 +62,17 @@ def load_silver(lake: Lake, window: Window, ledger: Ledger, limits: Thresholds =
     with ledger.step("silver.load", window.label):
         silver.load(lake, window, drop_empty=drop_empty)
     months = lake.spark.createDataFrame([(m,) for m in window.months], f"{MONTH} string")
-    profile = checks.silver_profile(
+    profile, found = _evaluated(checks.silver_profile(
         months, lake.month_counts("bronze", window),
-        silver.profile(lake.read_partitions("silver", window)))
-    stored = lake.month_counts("silver", window).agg(F.sum("rows")).first()[0] or 0
-    ledger.materialized(checks.SILVER, window.label, stored)
+        silver.profile(lake.read_partitions("silver", window))))
+    rows = sum(row["rows"] for row in found)
+    ledger.materialized(
+        checks.SILVER, window.label, rows,
+        bronze_rows=sum(row["bronze_rows"] for row in found),
+        distinct_trip_ids=sum(row["distinct_ids"] for row in found),
+        null_pickup_area_rate=round(sum(row["null_pickup"] for row in found) / max(rows, 1), 4),
+        max_speed_mph=max((row["max_speed"] or 0.0 for row in found), default=0.0),
+        max_tip_pct=max((row["max_tip_pct"] or 0.0 for row in found), default=0.0))
     _gate(ledger, checks.silver(profile, limits))
 
 
@@ -91,14 +105,14 @@ def rebuild_gold(lake: Lake, areas: DataFrame, ledger: Ledger, limits: Threshold
     with ledger.step("gold.rebuild"):
         staged = gold.rebuild(lake, areas, window)
     tables = {name: lake.staged(location) for name, location in staged.items()}
-    results = ledger.record(
-        checks.gold(checks.gold_profile(tables, lake.table("silver")), limits))
+    profile, found = _evaluated(checks.gold_profile(tables, lake.table("silver")))
+    results = ledger.record(checks.gold(profile, limits))
     if check_first:
         checks.assert_gate(results)
     with ledger.step("gold.publish"):
         lake.promote(staged)
-    trips = tables["trips_daily"].agg(F.sum("trips")).first()[0] or 0
-    ledger.materialized(checks.GOLD, "all", trips)
+    figures = found[0].asDict()
+    ledger.materialized(checks.GOLD, figures.pop("window"), figures["gold_trips"], **figures)
     checks.assert_gate(results)
 
 

@@ -88,7 +88,7 @@ def create_tables(spark, folder):
     lake = new_lake(spark)
     trips = typed_trips(spark, folder)
     lake.overwrite_months(trips, "bronze")
-    lake.overwrite_months(silver.build(trips), "silver", order=silver.WRITE_ORDER)
+    silver.load(lake, workspace(spark, folder).span)
     described = [
         lake.table(layer).agg(F.count("*").alias("rows")).select(
             F.lit(layer).alias("layer"),

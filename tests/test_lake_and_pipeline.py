@@ -7,8 +7,9 @@ from conftest import SF, counts, rows
 from faremill import storage
 from faremill.lake import Lake
 from faremill.operators.windows import Window
-from faremill.plans import adhoc, gold, maintain, pipeline, silver
+from faremill.plans import adhoc, gold, ledger, maintain, pipeline, silver
 from faremill.plans.checks import GateError
+from faremill.plans.ledger import Ledger
 from faremill.registry.workspace import typed_trips
 from faremill.sources import feed
 
@@ -136,6 +137,13 @@ def test_pipeline_end_to_end_is_idempotent(lake, spark):
     for name in gold.MARTS:
         assert lake.table("gold", name).collect() == gold.mart(
             lake.table("silver"), name, areas).collect()
+    records = {r["asset"]: r["metadata"] for r in ledger.latest(
+        Ledger(lake).table("materializations")).collect()}
+    assert records["gold/taxi_marts"]["silver_trips"] == str(len(want))
+    assert records["gold/taxi_marts"]["rows_trips_daily"] == str(
+        lake.table("gold", "trips_daily").count())
+    assert records["silver/taxi_trips"]["max_speed_mph"] != "0.0"
+    assert Ledger(lake).table("step_runs").filter("status <> 'DONE'").count() == 0
     pipeline.post(lake, areas, window=windows[-1], check_first=True)
     assert lake.table("gold", "trips_daily").agg({"trips": "sum"}).first()[0] == len(want)
 
@@ -233,3 +241,18 @@ def test_hot_month_is_split_over_tasks(lake, spark, trips):
         lake, lake.location("bronze")).collect()}
     assert files["2023-10"] >= 3 and all(files[f"2023-0{m}"] == 1 for m in range(1, 10))
     assert lake.table("bronze").count() == 20009
+
+
+def test_shuffle_partitions_follow_the_stored_bytes(spark):
+    from faremill.session import shuffle_partitions, sized_shuffles
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    assert shuffle_partitions(0) == 8 and shuffle_partitions(1 << 40) == 4096
+    with sized_shuffles(spark, 0):
+        assert spark.conf.get(key) == (before if int(before) >= 8 else "8")
+    with pytest.raises(ValueError):
+        with sized_shuffles(spark, 1 << 40):
+            assert spark.conf.get(key) == "16384"
+            raise ValueError
+    assert spark.conf.get(key) == before
