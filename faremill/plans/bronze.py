@@ -19,14 +19,15 @@ TYPED = [name for name in TRIP_COLUMNS if TRIP_TYPES[name] != "string"]
 @dataclass
 class BronzeLoad:
     window: Window
-    raw_rows: int = 0
+    raw_rows: dict[str, int] = field(default_factory=dict)  # per raw month
     kept_rows: int = 0
     missing_start: int = 0
     other_month: int = 0
     bad_cells: dict[str, int] = field(default_factory=dict)
 
     def add(self, counts: dict[str, int]) -> None:
-        for name in ("raw_rows", "kept_rows", "missing_start", "other_month"):
+        self.raw_rows.update({m: counts[m] for m in self.window.months if m in counts})
+        for name in ("kept_rows", "missing_start", "other_month"):
             setattr(self, name, getattr(self, name) + counts[name])
         for name in TYPED:
             if counts[f"bad_{name}"]:
@@ -68,7 +69,7 @@ def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict[st
     seen = Observation()  # after the shuffle, if any: only there do retried tasks count once
     rows = rows.observe(
         seen,
-        F.count("*").alias("raw_rows"),
+        *raw_csv.month_counts(window),
         F.count_if(inside).alias("kept_rows"),
         F.count_if(start.isNull()).alias("missing_start"),
         F.count_if(start.isNotNull() & ~inside).alias("other_month"),

@@ -138,6 +138,11 @@ def month_bounds(profile: DataFrame) -> DataFrame:
         "window_end": F.add_months(day, 1).cast("timestamp_ntz")})
 
 
+def bronze_profile(raw_counts: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row per raw window, also where nothing was stored."""
+    return raw_counts.join(stored, "window", "left").fillna(0, ["rows", "null_starts"])
+
+
 def silver_profile(months: DataFrame, bronze_counts: DataFrame, silver: DataFrame) -> DataFrame:
     """One row per month of ``months`` (column trip_month), also for months without rows."""
     counted = bronze_counts.withColumnRenamed("rows", "bronze_rows")

@@ -27,14 +27,12 @@ def _evaluated(profile: DataFrame) -> tuple[DataFrame, list[Row]]:
 
 
 def land(lake: Lake, source: DataFrame, window: Window, ledger: Ledger,
-         limits: Thresholds = Thresholds()) -> dict:
+         limits: Thresholds = Thresholds()) -> dict[str, int]:
     with ledger.step("raw.land", window.label) as info:
         landed = raw_csv.land(source, lake.raw_root, window)
-        info.update(landed)
-    ledger.materialized(checks.RAW, window.label, landed["rows"], location=lake.raw_root,
-                        months=",".join(landed["months"]))
-    profile = lake.spark.createDataFrame([(window.label, landed["rows"])],
-                                         "window string, rows bigint")
+        info["rows"] = sum(landed.values())
+    ledger.materialized(checks.RAW, window.label, sum(landed.values()), location=lake.raw_root)
+    profile = lake.spark.createDataFrame(list(landed.items()), "window string, rows bigint")
     _gate(ledger, checks.raw(profile, limits))
     return landed
 
@@ -44,14 +42,14 @@ def load_bronze(lake: Lake, window: Window, ledger: Ledger, limits: Thresholds =
     """Typed load of the raw window. Stored rows and null starts are counted from the table."""
     with ledger.step("bronze.load", window.label) as info:
         loaded = bronze.load(lake, window, strict=strict, drop_empty=drop_empty)
-        info.update(raw_rows=loaded.raw_rows, kept_rows=loaded.kept_rows)
-    stored = lake.read_partitions("bronze", window).agg(
+        info.update(raw_rows=sum(loaded.raw_rows.values()), kept_rows=loaded.kept_rows)
+    stored = lake.read_partitions("bronze", window).groupBy(F.col(MONTH).alias("window")).agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("trip_start_timestamp").isNull()).alias("null_starts"))
-    profile = stored.select(F.lit(window.label).alias("window"),
-                            F.lit(loaded.raw_rows).cast("bigint").alias("raw_rows"), "*")
-    ledger.materialized(checks.BRONZE, window.label, loaded.kept_rows, raw_rows=loaded.raw_rows,
-                        missing_start=loaded.missing_start,
+    profile = checks.bronze_profile(lake.spark.createDataFrame(
+        list(loaded.raw_rows.items()), "window string, raw_rows bigint"), stored)
+    ledger.materialized(checks.BRONZE, window.label, loaded.kept_rows,
+                        raw_rows=sum(loaded.raw_rows.values()), missing_start=loaded.missing_start,
                         other_month=loaded.other_month, bad_cells=loaded.bad_cells)
     _gate(ledger, checks.bronze(profile, limits))
     return loaded

@@ -423,8 +423,7 @@ def dq_bronze(ws):
         F.count("*").alias("rows"),
         F.count_if(F.col("trip_start_timestamp").isNull()).alias("null_starts"))
     raw = _raw_profile(ws).withColumnRenamed("rows", "raw_rows")
-    profile = raw.join(stored, "window", "left").fillna(0, ["rows", "null_starts"])
-    return checks.bronze(profile).select(*CHECK_COLUMNS)
+    return checks.bronze(checks.bronze_profile(raw, stored)).select(*CHECK_COLUMNS)
 
 
 @on_workspace

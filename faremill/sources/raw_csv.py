@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from faremill import storage
 from faremill.operators.windows import Window
@@ -29,14 +29,21 @@ def scan(spark: SparkSession, root: str, window: Window | None = None) -> DataFr
                                                basePath=root).csv(paths))
 
 
+def month_counts(window: Window) -> list[Column]:
+    """Rows per raw month, as metrics for ``observe``."""
+    return [F.count_if(F.col("month") == month).alias(month) for month in window.months]
+
+
 def part_counts(raw: DataFrame) -> DataFrame:
     """Data rows per raw part file; quoted line breaks do not count as rows."""
     return raw.groupBy("month", F.col("_metadata.file_path").alias("part")).agg(
         F.count("*").alias("rows"))
 
 
-def land(source: DataFrame, root: str, window: Window, page_rows: int = PAGE_ROWS) -> dict:
-    """Replace the raw parts of every month of ``window`` with the source rows in it.
+def land(source: DataFrame, root: str, window: Window, page_rows: int = PAGE_ROWS
+         ) -> dict[str, int]:
+    """Replace the raw parts of every month of ``window`` with the source rows in it; returns the
+    rows per month.
 
     Rows are clustered by month and ordered inside each part. The rebalance lets AQE split a
     month that is far larger than the others over several tasks and merge small ones."""
@@ -49,12 +56,12 @@ def land(source: DataFrame, root: str, window: Window, page_rows: int = PAGE_ROW
     # observed after the last shuffle: only there do retried tasks count once
     (rows.hint("rebalance", F.col("month"))
      .sortWithinPartitions("month", "trip_start_timestamp", "trip_id")
-     .observe(landed, F.count("*").alias("rows"), F.collect_set("month").alias("months"))
+     .observe(landed, *month_counts(window))
      .write.partitionBy("month").mode("overwrite")
      .options(**_QUOTING, maxRecordsPerFile=page_rows, partitionOverwriteMode="dynamic")
      .csv(root))
-    months = set(landed.get["months"])
-    for month in window.months:
-        if month not in months:
+    counts = landed.get
+    for month, found in counts.items():
+        if not found:
             storage.delete(spark, f"{root}/month={month}")
-    return {"rows": landed.get["rows"], "months": sorted(months)}
+    return counts

@@ -159,6 +159,12 @@ def test_gate_stops_before_the_next_layer(lake, raw_text):
         pipeline.ingest(lake, window, negative)
 
 
+def test_every_month_of_a_wide_run_is_gated(lake, raw_text):
+    source = raw_text({"trip_id": "a", "trip_start_timestamp": "2023-10-01T00:00:00"})
+    with pytest.raises(GateError, match="raw/taxi_trips 2023-11: rows_landed_positive"):
+        pipeline.backfill(lake, Window.of("2023-10", "2023-12").split(), source)
+
+
 def test_check_first_keeps_bad_marts_unpublished(lake, spark, trips):
     areas = feed.areas(spark, SF)
     lake.overwrite_months(trips(trip(1, "2023-10-01T00:00:00")), "bronze")

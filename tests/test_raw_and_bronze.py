@@ -34,7 +34,7 @@ def test_landing_pages_orders_and_replaces_months(raw_text, tmp_path):
     november = [trip(f"n{i}", "2023-11-05T00:00:00.000") for i in range(3)]
     outside = [trip("x", "2023-12-01T00:00:00.000"), trip("y", None)]
     landed = raw_csv.land(raw_text(*october(25), *november, *outside), root, BOTH, page_rows=10)
-    assert landed == {"rows": 28, "months": ["2023-10", "2023-11"]}
+    assert landed == {"2023-10": 25, "2023-11": 3}
     for path in parts_of(root, "2023-10"):
         with open(path, newline="") as f:
             lines = list(csv.DictReader(f))
@@ -45,7 +45,7 @@ def test_landing_pages_orders_and_replaces_months(raw_text, tmp_path):
     raw_csv.land(raw_text(*october(4)), root, OCT)
     scanned = raw_csv.scan(raw_text().sparkSession, root)
     assert dict(rows(scanned.groupBy("month").count())) == {"2023-10": 4, "2023-11": 3}
-    assert raw_csv.land(raw_text(), root, NOV) == {"rows": 0, "months": []}
+    assert raw_csv.land(raw_text(), root, NOV) == {"2023-11": 0}
     assert parts_of(root, "2023-11") == []
 
 
@@ -94,8 +94,8 @@ def test_load_counts_and_drops(lake, monkeypatch, large_month):
               trip(5, ""))
     write_raw(lake, "2023-11", trip(6, "2023-11-01T00:00:00"))
     loaded = bronze.load(lake, BOTH)
-    assert (loaded.raw_rows, loaded.kept_rows, loaded.missing_start, loaded.other_month) == (
-        6, 3, 2, 1)
+    assert loaded.raw_rows == {"2023-10": 5, "2023-11": 1}
+    assert (loaded.kept_rows, loaded.missing_start, loaded.other_month) == (3, 2, 1)
     assert loaded.bad_cells == {"trip_start_timestamp": 1, "trip_seconds": 1, "fare": 1}
     assert rows(lake.table("bronze"), "trip_id", "trip_seconds", "fare", "trip_month") == [
         ("t1", 60, 1.5, "2023-10"), ("t4", None, None, "2023-10"), ("t6", None, 1.5, "2023-11")]
@@ -122,7 +122,7 @@ def test_empty_month_keeps_or_drops(lake, trips):
     lake.overwrite_months(trips({"trip_id": "a", "trip_start_timestamp": "2023-10-05T00:00:00"},
                                 {"trip_id": "b", "trip_start_timestamp": "2023-11-05T00:00:00"}),
                           "bronze")
-    assert bronze.load(lake, NOV).raw_rows == 0
+    assert bronze.load(lake, NOV).raw_rows == {"2023-11": 0}
     assert counts(lake.table("bronze")) == {"2023-10": 1, "2023-11": 1}
     bronze.load(lake, NOV, drop_empty=True)
     assert counts(lake.table("bronze")) == {"2023-10": 1}
