@@ -14,6 +14,7 @@ from faremill.schema import MONTH
 
 CHECK_DDL = ("asset string, window string, check_name string, severity string, passed boolean, "
              "observed double, metadata map<string,string>")
+# Asset names here, and names and severities of the checks below.
 RAW, BRONZE, SILVER, GOLD = ("raw/taxi_trips", "bronze/taxi_trips", "silver/taxi_trips",
                              "gold/taxi_marts")
 

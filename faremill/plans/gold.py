@@ -29,6 +29,7 @@ class Mart:
     known_only: bool = False  # drop groups with a NULL key
 
 
+# Marts with their grouping columns and measures.
 MARTS = {
     "trips_daily": Mart(("day",), ("trips", "revenue", "avg_fare", "avg_tip_pct", "avg_miles",
                                    "avg_duration_min")),

@@ -35,18 +35,20 @@ def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 256 << 20) -> in
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, stored_bytes: int):
-    """Raises (never lowers) the shuffle partition count for jobs over ``stored_bytes`` of files."""
-    before = spark.conf.get(_PARTITIONS)
-    wanted = shuffle_partitions(stored_bytes * SHUFFLED_PER_STORED)
-    if wanted <= int(before):
-        yield
-        return
-    spark.conf.set(_PARTITIONS, str(wanted))
+def setting(spark: SparkSession, key: str, value: str):
+    """Sets a session option for the jobs of a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_PARTITIONS, before)
+        spark.conf.set(key, before)
+
+
+def sized_shuffles(spark: SparkSession, stored_bytes: int):
+    """Raises (never lowers) the shuffle partition count for jobs over ``stored_bytes`` of files."""
+    wanted = shuffle_partitions(stored_bytes * SHUFFLED_PER_STORED)
+    return setting(spark, _PARTITIONS, str(max(wanted, int(spark.conf.get(_PARTITIONS)))))
 
 
 def build_spark(app: str, master: str | None = None, shuffled_bytes: int | None = None,

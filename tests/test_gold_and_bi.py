@@ -12,7 +12,7 @@ from faremill.operators.windows import Window
 from faremill.plans import bi, gold, silver
 from faremill.sources import areas as area_source
 
-AREAS = [(1, "Loop", False), (76, "O'Hare", True), (2, "", False)]
+AREAS = [(1, "Centre", False), (76, "Airfield", True), (2, "", False)]
 
 
 @pytest.fixture(scope="module")
@@ -121,10 +121,10 @@ def test_limit_runs_before_the_name_joins(stored, areas):
 
 def test_repeated_area_code_is_an_error(spark, tmp_path):
     path = tmp_path / "areas.csv"
-    path.write_text("community_area,area_name,is_airport\n1,Loop,0\n76,\"O\"\"Hare\",1\n")
+    path.write_text("community_area,area_name,is_airport\n1,Centre,0\n76,\"Air\"\"field\",1\n")
     loaded = area_source.load(spark, str(path))
-    assert rows(loaded) == [(1, "Loop", False), (76, 'O"Hare', True)]
-    path.write_text("community_area,area_name,is_airport\n1,Loop,0\n1,Again,1\n")
+    assert rows(loaded) == [(1, "Centre", False), (76, 'Air"field', True)]
+    path.write_text("community_area,area_name,is_airport\n1,Centre,0\n1,Again,1\n")
     with pytest.raises(ValueError, match="area code 1"):
         area_source.load(spark, str(path))
 
@@ -177,11 +177,11 @@ def test_unnamed_areas(stored, areas):
     trips = stored.table("silver")
     named = {r["pickup_community_area"]: (r["area_name"], r["is_airport"])
              for r in bi.pickup_areas(trips, areas).collect()}
-    assert named == {1: ("Loop", False), 2: ("Area 2", False), 3: ("Area 3", False),
-                     76: ("O'Hare", True)}
+    assert named == {1: ("Centre", False), 2: ("Area 2", False), 3: ("Area 3", False),
+                     76: ("Airfield", True)}
     assert {r["code"] for r in bi.area_options(trips, areas).collect()} == {1, 2, 76}
     assert {r["pickup_area"] for r in bi.top_routes(trips, areas).collect()} == {
-        "Loop", "Area 2", "Area 3", "O'Hare"}
+        "Centre", "Area 2", "Area 3", "Airfield"}
 
 
 def test_options(stored):

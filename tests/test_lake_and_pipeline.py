@@ -209,7 +209,7 @@ def test_jobs_from_the_command_line(spark, raw_text, tmp_path, capsys):
          "trip_total": "3", "pickup_community_area": "1", "dropoff_community_area": "2"}
         for m in (10, 11) for i in range(1, 9)]), pages, Window.of("2023-10", "2023-12"))
     areas = tmp_path / "areas.csv"
-    areas.write_text("community_area,area_name,is_airport\n1,Loop,0\n")
+    areas.write_text("community_area,area_name,is_airport\n1,Centre,0\n")
     try:
         for job in ("extract --source " + pages, "bronze", "silver"):
             main([*job.split(), "--root", root, "--start", "2023-10"])
@@ -224,7 +224,7 @@ def test_jobs_from_the_command_line(spark, raw_text, tmp_path, capsys):
                           "select area_name, is_airport from areas")
         main(["sql", "--root", root, "--areas", str(areas), "--file", str(script)])
         shown = capsys.readouterr().out
-        assert "|16 |" in shown and "|Loop     |false     |" in shown and "maintained" in shown
+        assert "|16 |" in shown and "|Centre   |false     |" in shown and "maintained" in shown
     finally:
         for layer in ("bronze", "silver", "gold"):
             spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
