@@ -126,12 +126,14 @@ class Lake:
         with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "2" if plain else "0"):
             rows.write.insertInto(self.name(layer, table), overwrite=True)
         if drop_missing:
-            kept = set(written.get["months"])
-            stored = [row[0].split("=", 1)[1] for row in
-                      self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}").collect()]
-            for month in stored:
-                if month not in kept and (window is None or month in window.months):
-                    self.drop_month(layer, month, table)
+            gone = self.stored_months(layer, table) - set(written.get["months"])
+            for month in gone if window is None else gone & set(window.months):
+                self.drop_month(layer, month, table)
+
+    def stored_months(self, layer: str, table: str = TRIPS) -> set[str]:
+        """Month labels known to the catalog; reads no data."""
+        found = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}").collect()
+        return {row[0].split("=", 1)[1] for row in found}
 
     def drop_month(self, layer: str, month: str, table: str = TRIPS) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(layer, table)} "

@@ -156,9 +156,18 @@ def mart_from_state(stored: DataFrame, name: str, areas: DataFrame | None = None
     return _finish(name, grouped_from_state(stored, name), areas, total)
 
 
-def refresh_state(lake: Lake, window: Window | None = None) -> None:
-    """Recompute the state of the window's months, or of all months."""
+def state_table(lake: Lake) -> DataFrame:
     lake.create_monthly("gold", STATE, STATE_DDL)
+    return lake.table("gold", STATE)
+
+
+def refresh_state(lake: Lake, window: Window | None = None) -> None:
+    """Recompute the state of the window's months, or of all months. All months also when another
+    silver month has no state yet, as in a first run."""
+    state_table(lake)
+    if window is not None and (lake.stored_months("silver") - set(window.months)
+                               - lake.stored_months("gold", STATE)):
+        window = None
     lake.overwrite_months(state(lake.read("silver", window)), "gold", STATE, window=window,
                           drop_missing=True)
 
@@ -168,7 +177,7 @@ def rebuild(lake: Lake, areas: DataFrame, window: Window | None = None) -> dict[
 
     ``window`` limits the silver scan to changed months; the other months come from the state."""
     refresh_state(lake, window)
-    stored = lake.table("gold", STATE)
+    stored = state_table(lake)
     return {name: lake.stage(mart_from_state(stored, name, areas), name) for name in MARTS}
 
 

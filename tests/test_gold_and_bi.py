@@ -92,6 +92,12 @@ def test_incremental_rebuild_equals_full(stored, trips, areas):
             stored.table("silver"), name, areas).collect(), name
 
 
+def test_a_first_rebuild_covers_all_months(stored, areas):
+    stored.promote(gold.rebuild(stored, areas, Window.of("2023-11")))
+    assert stored.table("gold", "trips_daily").collect() == gold.trips_daily(
+        stored.table("silver")).collect()
+
+
 def test_a_month_that_vanished_leaves_the_marts(stored, areas):
     stored.promote(gold.rebuild(stored, areas))
     stored.drop_month("silver", "2023-11")
