@@ -25,8 +25,8 @@ class BronzeLoad:
     other_month: int = 0
     bad_cells: dict[str, int] = field(default_factory=dict)
 
-    def add(self, counts: dict[str, int]) -> None:
-        self.raw_rows.update({m: counts[m] for m in self.window.months if m in counts})
+    def add(self, counts: dict) -> None:
+        self.raw_rows.update(counts["raw_rows"])
         for name in ("kept_rows", "missing_start", "other_month"):
             setattr(self, name, getattr(self, name) + counts[name])
         for name in TYPED:
@@ -59,7 +59,7 @@ def load(lake: Lake, window: Window, strict: bool = False, drop_empty: bool = Fa
     return total
 
 
-def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict[str, int]:
+def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict:
     flags = [parse.is_bad(name).alias(f"_bad_{name}") for name in TYPED]
     rows = typed(raw_csv.scan(lake.spark, lake.raw_root, window), F.col("month"), *flags)
     if len(window.months) > 1:
@@ -69,7 +69,7 @@ def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict[st
     seen = Observation()  # after the shuffle, if any: only there do retried tasks count once
     rows = rows.observe(
         seen,
-        *raw_csv.month_counts(window),
+        F.count("*").alias("raw_rows"),
         F.count_if(inside).alias("kept_rows"),
         F.count_if(start.isNull()).alias("missing_start"),
         F.count_if(start.isNotNull() & ~inside).alias("other_month"),
@@ -83,4 +83,6 @@ def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict[st
             .otherwise(F.lit(True)))
     lake.overwrite_months(rows.filter(inside), "bronze", window=window, cluster=(),
                           drop_missing=drop_empty)
-    return seen.get
+    counts = seen.get
+    return {**counts, "raw_rows": raw_csv.rows_per_month(lake.spark, lake.raw_root, window,
+                                                         counts["raw_rows"])}

@@ -14,7 +14,7 @@ from faremill.operators import windows
 from faremill.operators.filters import Filters
 from faremill.operators.windows import Window
 from faremill.plans import adhoc, bi, bronze, checks, gold, ledger, maintain, pipeline, silver
-from faremill.registry.workspace import Workspace, new_lake, typed_trips, workspace
+from faremill.registry.workspace import Workspace, new_lake, workspace
 from faremill.schema import MONTH, SILVER_COLUMNS, TRIP_COLUMNS
 from faremill.sources import areas as area_source
 from faremill.sources import extract, feed, raw_csv
@@ -85,10 +85,9 @@ def dim_areas(ws):
 
 @register
 def create_tables(spark, folder):
-    lake = new_lake(spark)
-    trips = typed_trips(spark, folder)
-    lake.overwrite_months(trips, "bronze")
-    silver.load(lake, workspace(spark, folder).span)
+    lake, ws = new_lake(spark), workspace(spark, folder)
+    lake.overwrite_months(ws.bronze, "bronze")
+    silver.load(lake, ws.span)
     described = [
         lake.table(layer).agg(F.count("*").alias("rows")).select(
             F.lit(layer).alias("layer"),
@@ -117,7 +116,7 @@ def silver_layout(ws):
 @register
 def month_overwrite(spark, folder):
     lake = new_lake(spark)
-    trips = typed_trips(spark, folder)
+    trips = workspace(spark, folder).bronze
     lake.overwrite_months(trips, "bronze")
     corrected = windows.in_window(trips, RELOADED).filter(F.col("payment_type").isNotNull())
     for _ in range(2):  # a repeated load changes nothing
@@ -142,9 +141,9 @@ def month_row_counts(ws):
 @register
 def empty_month(spark, folder):
     """Without raw files a month is kept by default, and removed on request."""
-    lake = new_lake(spark)
-    lake.overwrite_months(typed_trips(spark, folder), "bronze")
-    months = workspace(spark, folder).span.split()
+    lake, ws = new_lake(spark), workspace(spark, folder)
+    lake.overwrite_months(ws.bronze, "bronze")
+    months = ws.span.split()
     bronze.load(lake, months[0])
     bronze.load(lake, months[-1], drop_empty=True)
     return lake.month_counts("bronze")
@@ -166,33 +165,33 @@ def window_filter(ws):
     return ws.lake.read("bronze", WINDOW).select("trip_id", "trip_start_timestamp", MONTH)
 
 
-@register
-def silver_clean(spark, folder):
-    return silver.guard(silver.with_key(typed_trips(spark, folder))).select(
+@on_workspace
+def silver_clean(ws):
+    return silver.guard(silver.with_key(ws.bronze)).select(
         "trip_id", "taxi_id", "trip_start_timestamp", "trip_seconds", "trip_miles")
 
 
-@register
-def silver_dedupe(spark, folder):
-    return silver.dedupe(silver.with_key(typed_trips(spark, folder)))
+@on_workspace
+def silver_dedupe(ws):
+    return silver.dedupe(silver.with_key(ws.bronze))
 
 
-@register
-def silver_time(spark, folder):
-    return silver.time_fields(typed_trips(spark, folder)).select(
+@on_workspace
+def silver_time(ws):
+    return silver.time_fields(ws.bronze).select(
         "trip_id", "trip_start_timestamp", "trip_date", "trip_hour", "dow_num", "day_name")
 
 
-@register
-def silver_metrics(spark, folder):
-    return silver.metrics(silver.guard(typed_trips(spark, folder))).select(
+@on_workspace
+def silver_metrics(ws):
+    return silver.metrics(silver.guard(ws.bronze)).select(
         "trip_id", "trip_seconds", "trip_miles", "fare", "tips",
         "duration_min", "speed_mph", "tip_pct")
 
 
-@register
-def silver_airport(spark, folder):
-    return silver.airport(typed_trips(spark, folder)).select(
+@on_workspace
+def silver_airport(ws):
+    return silver.airport(ws.bronze).select(
         "trip_id", "pickup_community_area", "dropoff_community_area", "is_airport")
 
 
