@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from faremill import storage
 from faremill.operators.windows import Window, in_window
 from faremill.schema import BRONZE_DDL, MONTH, SILVER_DDL
-from faremill.session import setting, sized_shuffles
+from faremill.session import SHUFFLED_PER_STORED, setting, sized_shuffles
 
 TRIPS = "taxi_trips"
 STATE = "mart_state"
 LARGE_MONTH_BYTES = 4 << 30
-FILE_ROWS = 4_000_000
+FILE_BYTES = 128 << 20  # intended size of table files
+FILE_ROWS = 4_000_000   # and their most rows
 VERSIONS_DDL = "table_name string, version_id string, location string, committed_at timestamp_ntz"
 
 
@@ -123,7 +124,12 @@ class Lake:
             rows = rows.observe(written, F.collect_set(MONTH).alias("months"))
         # Spark sorts by month before a partitioned write; one unordered month needs no such sort
         plain = window is not None and len(window.months) == 1 and not order
-        with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "2" if plain else "0"):
+        writers = setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters",
+                          "2" if plain else "0")
+        # merged and split shuffle partitions, and with them files, follow the file size
+        sizes = setting(self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                        str(FILE_BYTES * SHUFFLED_PER_STORED))
+        with writers, sizes:
             rows.write.insertInto(self.name(layer, table), overwrite=True)
         if drop_missing:
             gone = self.stored_months(layer, table) - set(written.get["months"])

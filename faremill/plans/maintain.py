@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from faremill import storage
 from faremill.functions.trip import moment
-from faremill.lake import STATE, TRIPS, Lake, utc_now
+from faremill.lake import FILE_BYTES, LARGE_MONTH_BYTES, STATE, TRIPS, Lake, utc_now
 from faremill.plans import gold, silver
 from faremill.schema import MONTH
+from faremill.session import sized_shuffles
 
 # Version retention.
 KEEP_LAST = 5
 EXPIRE_AFTER_DAYS = 7
 
-TARGET_BYTES = 256 << 20
 MIN_SMALL_FILES = 5
 MONTHLY = {("bronze", TRIPS): ("trip_start_timestamp",),
            ("silver", TRIPS): silver.WRITE_ORDER,
@@ -26,7 +26,7 @@ SUMMARY_DDL = ("table_name string, status string, rewritten int, added int, expi
 
 
 def file_stats(lake: Lake, location: str, keys: tuple[str, ...] = (MONTH,),
-               target_bytes: int = TARGET_BYTES) -> DataFrame:
+               target_bytes: int = FILE_BYTES) -> DataFrame:
     """Files, bytes and small files per partition. Lists names and sizes only: without the
     content column the binary source opens no file."""
     listed = (lake.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
@@ -36,7 +36,7 @@ def file_stats(lake: Lake, location: str, keys: tuple[str, ...] = (MONTH,),
         F.count_if(F.col("length") < int(target_bytes * 0.75)).alias("small_files"))
 
 
-def needs_compaction(stats: DataFrame, target_bytes: int = TARGET_BYTES,
+def needs_compaction(stats: DataFrame, target_bytes: int = FILE_BYTES,
                      min_small_files: int = MIN_SMALL_FILES) -> DataFrame:
     """Partitions whose file count a rewrite would at least halve. Plain Parquet can only swap a
     whole partition, so a few small files next to many good ones are left alone."""
@@ -45,12 +45,12 @@ def needs_compaction(stats: DataFrame, target_bytes: int = TARGET_BYTES,
                         & (F.col("files") >= 2 * ideal))
 
 
-def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int = TARGET_BYTES,
+def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int = FILE_BYTES,
                    min_small_files: int = MIN_SMALL_FILES) -> tuple[int, int]:
     """Rewrite fragmented months in place; returns (files rewritten, files added).
 
     The rewrite is staged next to the table and swapped in at job commit, so lost executors only
-    repeat tasks. Each month is rebalanced to about the session's advisory partition size."""
+    repeat tasks. Large silver months are gathered by day, so that date filters skip files."""
     location = lake.location(layer, table)
     if not storage.exists(lake.spark, location):  # created, never written
         return 0, 0
@@ -59,14 +59,22 @@ def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int
     if not chosen:
         return 0, 0
     months = [row[MONTH] for row in chosen]
-    rows = lake.table(layer, table).filter(F.col(MONTH).isin(months))
-    lake.overwrite_months(rows, layer, table, order=MONTHLY[(layer, table)])
+    stored = lake.table(layer, table)
+    by_day = [row[MONTH] for row in chosen
+              if row["bytes"] >= LARGE_MONTH_BYTES and "trip_date" in stored.columns]
+    for group, cluster in ((by_day, (MONTH, "trip_date")),
+                           ([month for month in months if month not in by_day], (MONTH,))):
+        if group:
+            with sized_shuffles(lake.spark, sum(row["bytes"] for row in chosen
+                                                if row[MONTH] in group)):
+                lake.overwrite_months(stored.filter(F.col(MONTH).isin(group)), layer, table,
+                                      order=MONTHLY[(layer, table)], cluster=cluster)
     lake.spark.catalog.refreshTable(lake.name(layer, table))
     after = file_stats(lake, location).filter(F.col(MONTH).isin(months)).agg(F.sum("files"))
     return sum(row["files"] for row in chosen), after.first()[0]
 
 
-def compact_mart(lake: Lake, mart: str, target_bytes: int = TARGET_BYTES,
+def compact_mart(lake: Lake, mart: str, target_bytes: int = FILE_BYTES,
                  min_small_files: int = MIN_SMALL_FILES) -> tuple[int, int]:
     """Republish a mart whose current version is fragmented."""
     location = lake.current_location(mart)
@@ -105,7 +113,7 @@ def expire_versions(lake: Lake, mart: str, now: datetime | None = None) -> int:
                for row in plan.select("location").toLocalIterator())
 
 
-def run(lake: Lake, now: datetime | None = None, target_bytes: int = TARGET_BYTES,
+def run(lake: Lake, now: datetime | None = None, target_bytes: int = FILE_BYTES,
         min_small_files: int = MIN_SMALL_FILES) -> DataFrame:
     """Maintain every table; a failure is reported and the next table still runs."""
     rows = []

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from conftest import SF, counts, rows
+from faremill import lake as lake_module
 from faremill import storage
 from faremill.lake import Lake
 from faremill.operators.windows import Window
@@ -79,8 +80,19 @@ def test_compaction_keeps_rows_and_other_months(lake, spark, trips):
     assert maintain.compact_months(lake, "silver") == (0, 0)
 
 
+def test_large_months_are_compacted_by_day(lake, trips, monkeypatch):
+    monkeypatch.setattr(maintain, "LARGE_MONTH_BYTES", 0)
+    monkeypatch.setattr(lake_module, "FILE_BYTES", 1)
+    many = [trip(i, f"2023-10-{i % 28 + 1:02d}T00:00:00") for i in range(200)]
+    lake.overwrite_months(silver.build(trips(*many)).repartition(12), "silver", cluster=())
+    maintain.compact_months(lake, "silver")
+    by_file = lake.table("silver").selectExpr("_metadata.file_path as f", "trip_date").distinct()
+    spread = by_file.groupBy("f").count().agg({"count": "max"}).first()[0]
+    assert spread <= 28 / 4 + 7 and lake.table("silver").count() == 200
+
+
 def test_a_few_small_files_beside_good_ones_are_left_alone(spark):
-    stats = spark.createDataFrame([("a", 100, 99 * 256 << 20, 5), ("b", 6, 6 << 20, 6)],
+    stats = spark.createDataFrame([("a", 100, 99 * 128 << 20, 5), ("b", 6, 6 << 20, 6)],
                                   "trip_month string, files bigint, bytes bigint, small_files int")
     assert rows(maintain.needs_compaction(stats), "trip_month") == [("b",)]
 
@@ -230,19 +242,14 @@ def test_jobs_from_the_command_line(spark, raw_text, tmp_path, capsys):
             spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
 
 
-def test_hot_month_is_split_over_tasks(lake, spark, trips):
+def test_hot_month_is_split_over_tasks(lake, trips, monkeypatch):
     """A third and more of the rows in one month: AQE cuts that month into many writes."""
     many = [trip(i, f"2023-10-{i % 28 + 1:02d}T00:00:00", company=f"company {i * 7919 % 10007}")
             for i in range(20000)]
     few = [trip(20000 + i, f"2023-{i % 9 + 1:02d}-01T00:00:00") for i in range(9)]
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "64k")
-    try:
-        lake.overwrite_months(trips(*many, *few).repartition(16), "bronze",
-                              order=("trip_start_timestamp",))
-    finally:
-        spark.conf.set(key, before)
+    monkeypatch.setattr(lake_module, "FILE_BYTES", 16 << 10)
+    lake.overwrite_months(trips(*many, *few).repartition(16), "bronze",
+                          order=("trip_start_timestamp",))
     files = {r["trip_month"]: r["files"] for r in maintain.file_stats(
         lake, lake.location("bronze")).collect()}
     assert files["2023-10"] >= 3 and all(files[f"2023-0{m}"] == 1 for m in range(1, 10))
