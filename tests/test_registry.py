@@ -11,8 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from compare import compare, connect  # noqa: E402
 from conftest import SF  # noqa: E402
+from faremill.registry import oracle  # noqa: E402
+from faremill.registry.queries import REGISTRY  # noqa: E402
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = dict(REGISTRY), oracle.sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
