@@ -62,7 +62,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, share_percent: int = 150, most:
             .select("stratum", "source_size", "weight", "target"))
 
 
-def sampled(rows: DataFrame, seed: int = 11, bucket_rows: int = 50_000, **shares) -> DataFrame:
+def sampled(rows: DataFrame, seed: int = 11, bucket_rows: int = 4_000, **shares) -> DataFrame:
     """Adds source_size, target and copies to stored rows (key, stratum, size, h)."""
     rows = rows.withColumn("class", size_class(F.col("size")))
     classes = common.stored(rows.groupBy("stratum", "class").agg(
@@ -93,7 +93,7 @@ def sampled(rows: DataFrame, seed: int = 11, bucket_rows: int = 50_000, **shares
 
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        seed: int = 11, bucket_rows: int = 50_000, **shares) -> DataFrame:
+        seed: int = 11, bucket_rows: int = 4_000, **shares) -> DataFrame:
     """(key, size, source_size, target, taken, copies) for every row of ``df``."""
     rows = common.stored(df.select(
         F.col(key).alias("key"), common.source_key(F.col(source)).alias("stratum"),
@@ -105,7 +105,7 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
 
 
 def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-          seed: int = 11, bucket_rows: int = 50_000, **shares) -> DataFrame:
+          seed: int = 11, bucket_rows: int = 4_000, **shares) -> DataFrame:
     """The mix itself: the rows of ``df``, each as often as its copies say.
 
     Rows that agree in id, source and text share their copies: all are given to one of them."""

@@ -29,7 +29,7 @@ def _offsets(counts: DataFrame, order: str, *within: str) -> DataFrame:
 
 
 def shard(df: DataFrame, shards: int = 24, seed: int = 7, key: str = "doc_id",
-          text: str = "text", source: str = "source", bucket_rows: int = 50_000) -> DataFrame:
+          text: str = "text", source: str = "source", bucket_rows: int = 4_000) -> DataFrame:
     """(key, source, size, text_crc32, shard, slot) for every row of ``df``."""
     body = F.coalesce(F.col(text), F.lit(""))
     crc = F.crc32(body)
