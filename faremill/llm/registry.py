@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from faremill.llm import mixing, sharding
+from faremill.llm import mixing, pii, sharding, url_rules
 
 QUERIES = {
     "op2_sharding": sharding.query,
+    "op7_url_filters": url_rules.query,
     "op8_mixing": mixing.query,
+    "op9_pii": pii.query,
 }
 ORACLE = {
     "op2_sharding": sharding.SQL,
