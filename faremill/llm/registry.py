@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from faremill.llm import mixing, pii, sharding, url_rules
+from faremill.llm import language, line_crf, mixing, pii, sharding, url_rules
 
 QUERIES = {
     "op2_sharding": sharding.query,
+    "op6_quality_rules": line_crf.query,
     "op7_url_filters": url_rules.query,
     "op8_mixing": mixing.query,
     "op9_pii": pii.query,
+    "op10_language_id": language.query,
 }
 ORACLE = {
     "op2_sharding": sharding.SQL,
