@@ -193,10 +193,10 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     part = F.pmod(F.xxhash64("key"), F.lit(half))
     share = F.when(F.col("label") == 1, half * max_docs // 2 / counts[1]).otherwise(
         half * max_docs // 2 / counts[0])
-    chosen = known.filter(part < share)
+    chosen = known.filter(part < share).orderBy(part, "key").limit(max_docs)  # bounds the broadcast
     lines = F.slice(F.split(F.col(text), "\n"), 1, max_lines)
     rows = (df.select(F.col(key).alias("key"), F.array_join(lines, "\n").alias("text"))
-            .join(chosen, "key").orderBy("key", "text").collect())
+            .join(F.broadcast(chosen), "key").orderBy("key", "text").collect())
     made = [(line_features(row.text)[0], row.label) for row in rows if row.text]
     return fit([(x, y) for x, y in made if len(x)])
 
