@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from faremill.llm import language, line_crf, mixing, pii, sharding, url_rules
+from faremill.llm import (language, line_crf, mixing, pii, sharding, simhash, toxicity, url_rules,
+                          vector_search)
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op2_sharding": sharding.query,
+    "op4_topk_search": vector_search.query,
+    "op5_simhash": simhash.query,
     "op6_quality_rules": line_crf.query,
     "op7_url_filters": url_rules.query,
     "op8_mixing": mixing.query,
@@ -14,5 +18,6 @@ QUERIES = {
 }
 ORACLE = {
     "op2_sharding": sharding.SQL,
+    "op4_topk_search": vector_search.SQL,
     "op8_mixing": mixing.SQL,
 }
