@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from faremill.llm import (language, line_crf, mixing, pii, sharding, simhash, toxicity, url_rules,
-                          vector_search)
+from faremill.llm import (bpe, language, line_crf, mixing, pii, sharding, simhash, toxicity,
+                          url_rules, vector_search)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_sharding": sharding.query,
+    "op3_bpe": bpe.query,
     "op4_topk_search": vector_search.query,
     "op5_simhash": simhash.query,
     "op6_quality_rules": line_crf.query,
