@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from faremill.llm import (bpe, language, line_crf, mixing, pii, sharding, simhash, toxicity,
                           url_rules, vector_search)
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_toxicity": toxicity.query,
     "op2_sharding": sharding.query,
     "op3_bpe": bpe.query,
@@ -22,3 +24,5 @@ ORACLE = {
     "op4_topk_search": vector_search.SQL,
     "op8_mixing": mixing.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
