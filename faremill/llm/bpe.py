@@ -201,10 +201,9 @@ def _body(text: str):
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select(F.col(key).alias("key"),
-                     F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("name"),
-                     F.xxhash64(F.col(text).cast("string")).alias("print"),
-                     _body(text).alias("body"))
+    return common.bounded_batches(df).select(
+        F.col(key).alias("key"), F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("name"),
+        F.xxhash64(F.col(text).cast("string")).alias("print"), _body(text).alias("body"))
 
 
 def _batch(fields, *columns):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from faremill import storage
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 SMALL_ROWS = 100_000  # a table with at most this many narrow rows may be broadcast
 
 
@@ -32,6 +33,19 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Lowers the session's Arrow batches to a size of which a Python task holds several copies
+    without harm. Rows longer than that still pass, one to a batch. Plans run after the call that
+    made them, so the setting stays."""
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(conf.get(key).removesuffix("b"))
+        if not 0 < now <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -69,7 +83,7 @@ def map_texts(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str)
                 [pa.array(values, type=field.type) for values, field in zip(columns, arrow)],
                 schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return bounded_batches(df).mapInArrow(run, schema)
 
 
 def finite(value: Column) -> Column:

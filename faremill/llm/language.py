@@ -153,7 +153,7 @@ def classify(samples, texts: list[str]) -> list[tuple[str, float]]:
     size, start = 0, 0
     for i, text in enumerate(texts):  # batches of bounded size, long texts on their own
         size += len(text)
-        if size >= 1 << 23 or i == len(texts) - 1:
+        if size >= 1 << 21 or i == len(texts) - 1:
             for counts in model.phrases(texts[start:i + 1]).tolist():
                 order = sorted(range(len(counts)), key=lambda k: (counts[k], model.names[k]))
                 score = 1.0 if len(order) < 2 else 1 - counts[order[0]] / counts[order[1]]
@@ -217,7 +217,7 @@ def accepted(df: DataFrame, samples, text: str = "text", min_score: float = 0.0)
         return texts.map(lambda t: bool(samples) and has_letter(t)
                          and next(found)[1] >= min_score)
 
-    return df.filter(good(F.col(text)))
+    return common.bounded_batches(df).filter(good(F.col(text)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

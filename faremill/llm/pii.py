@@ -173,7 +173,7 @@ def redacted(df: DataFrame, text: str = "text") -> DataFrame:
     def hide(texts):
         return texts.map(lambda t: None if t is None else redact(t))
 
-    return df.select(*(hide(F.col(c)).alias(c) if c == text else F.col(c) for c in df.columns))
+    return common.bounded_batches(df).select(*(hide(F.col(c)).alias(c) if c == text else F.col(c) for c in df.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
