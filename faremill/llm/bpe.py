@@ -302,41 +302,47 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: s
                .join(chunks, "chunk")
                .groupBy("name", "print").agg(F.collect_list(F.struct("at", "ids")).alias("known")))
 
-    @F.pandas_udf("boolean")
-    def shares(bodies):
-        import pandas as pd
-        texts = bodies.tolist()
-        return pd.Series([
-            any(_may_share(bitmap.value, chunk_key(t[a:b])) for a, b in zip(bounds, bounds[1:]))
-            for t, bounds in zip(texts, chunk_bounds(texts))], dtype=bool)
+    def may_meet(bodies):
+        return [any(_may_share(bitmap.value, chunk_key(t[a:b])) for a, b in zip(bounds, bounds[1:]))
+                for t, bounds in zip(bodies, chunk_bounds(bodies))]
+
+    def sharing(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(may_meet(batch.column("body").to_pylist()), pa.bool_()))
+
+    fields = [pa.field("key", key_type), *(pa.field(n, t) for n, t, _ in columns)]
 
     def finished(batches):
+        """Ids of texts with what is known of them, or of those that share nothing."""
         model = codec(path)
-        types = [pa.field("key", key_type), *(pa.field(n, t) for n, t, _ in columns)]
         for batch in batches:
-            keys, bodies, known = (c.to_pylist() for c in batch.columns)
-            made: list[list] = [[] for _ in types]
+            if "known" not in batch.schema.names:
+                alone = [not x for x in may_meet(batch.column("body").to_pylist())]
+                batch = batch.filter(pa.array(alone, pa.bool_()))
+            keys, bodies = (batch.column(n).to_pylist() for n in ("key", "body"))
+            known = (batch.column("known").to_pylist() if "known" in batch.schema.names
+                     else [None] * len(keys))
+            made: list[list] = [[] for _ in fields]
             size = 0
-            for k, t, bounds, some in zip(keys, bodies, chunk_bounds(bodies), known):
+            for k, t, some in zip(keys, bodies, known):
                 ready = {p["at"]: np.frombuffer(p["ids"], "<u4") for p in some or ()}
-                ids = assemble(t, bounds, ready, model)
+                ids = assemble(t, chunk_bounds([t])[0] if ready else [], ready, model)
                 for column, value in zip(made, (k, *emit(ids, model))):
                     column.append(value)
                 size += len(ids)
-                if size > 1 << 21:  # bounds what a batch of ids holds
+                if size > 1 << 20:  # bounds what a batch of ids holds
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(made, types)], schema=pa.schema(types))
-                    made, size = [[] for _ in types], 0
+                        [pa.array(c, f.type) for c, f in zip(made, fields)], schema=pa.schema(fields))
+                    made, size = [[] for _ in fields], 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(made, types)], schema=pa.schema(types))
+                [pa.array(c, f.type) for c, f in zip(made, fields)], schema=pa.schema(fields))
 
-    alone = rows.filter(~shares("body")).select("key", "body", F.lit(None).cast(
-        "array<struct<at:int,ids:binary>>").alias("known"))
-    met = (rows.filter(shares("body")).join(brought, ["name", "print"], "left")
-           .select("key", "body", "known"))
     schema = f"key {kind}, " + ", ".join(f"{n} {t}" for n, _, t in columns)
-    made = alone.mapInArrow(finished, schema).unionAll(met.mapInArrow(finished, schema))
-    return made.withColumnRenamed("key", key)
+    alone = rows.select("key", "body").mapInArrow(finished, schema)
+    met = (rows.mapInArrow(sharing, f"key {kind}, name string, print long, body binary")
+           .join(brought, ["name", "print"], "left").select("key", "body", "known")
+           .mapInArrow(finished, schema))
+    return alone.unionAll(met).withColumnRenamed("key", key)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
