@@ -105,9 +105,11 @@ class Model:
         tables, starts, rows = [], [], 0
         for text in texts:
             steps = automaton(self.codes[text].tolist())
+            steps.append({})  # after a symbol that the sample lacks: a phrase of its own
+            start = [steps[0].get(c, len(steps) - 1) for c in range(SYMBOLS)]
             table = np.empty((len(steps), SYMBOLS), np.int32)
-            start = [steps[0].get(c, 0) for c in range(SYMBOLS)]
             table[:] = [((rows + to) * SYMBOLS) << 1 | 1 for to in start]
+            table[0] &= ~1  # only a window's first symbol leaves the start state
             for state, moves in enumerate(steps):
                 for c, to in moves.items():
                     table[state, c] = ((rows + to) * SYMBOLS) << 1
@@ -148,8 +150,10 @@ def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
 
 def classify(samples, texts: list[str]) -> list[tuple[str, float]]:
     """(language, score) of texts that have a letter."""
+    out: list[tuple[str, float]] = []
+    if not samples or not texts:
+        return out
     model = model_of(samples)
-    out = []
     size, start = 0, 0
     for i, text in enumerate(texts):  # batches of bounded size, long texts on their own
         size += len(text)
