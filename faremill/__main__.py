@@ -8,14 +8,23 @@ from datetime import datetime, timezone
 from faremill.config import Thresholds
 from faremill.lake import Lake
 from faremill.operators import windows
+from faremill.operators.filters import Filters
 from faremill.operators.windows import Window
-from faremill.plans import adhoc, maintain, pipeline
+from faremill.plans import adhoc, bi, pipeline
 from faremill.plans.ledger import Ledger
 from faremill.session import build_spark
 from faremill.sources import areas
 from faremill.sources.extract import extract
 
 
+BI_QUERIES = {
+    "summary": bi.summary, "trips-daily": bi.trips_daily, "trips-by-hour": bi.trips_by_hour,
+    "trips-by-company": bi.trips_by_company, "payment-mix": bi.payment_mix,
+    "top-routes": bi.top_routes, "pickup-areas": bi.pickup_areas, "heatmap": bi.heatmap,
+}
+NAMED = ("top-routes", "pickup-areas")  # queries that name areas
+
+
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="faremill")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -29,6 +38,9 @@ def _arguments() -> argparse.ArgumentParser:
         "gold": "rebuild all marts",
         "maintenance": "compact tables and expire old mart versions",
         "post": "gold, then maintenance",
+        "freshness": "check and record when each asset was last rebuilt",
+        "alarms": "show what made runs fail",
+        "bi": "show a BI query under the given filters",
         "sql": "run ';'-separated statements and show the results",
     }
     for name, text in about.items():
@@ -42,8 +54,17 @@ def _arguments() -> argparse.ArgumentParser:
                              help="dataset URL or folder of pages")
         if name == "backfill":
             job.add_argument("--by-month", action="store_true", help="gate each month on its own")
-        if name in ("gold", "post", "sql"):
-            job.add_argument("--areas", required=name != "sql", help="area dimension CSV")
+        if name in ("gold", "post", "sql", "bi"):
+            job.add_argument("--areas", required=name in ("gold", "post"),
+                             help="area dimension CSV")
+        if name == "bi":
+            job.add_argument("query", choices=sorted(BI_QUERIES))
+            job.add_argument("--start", help="first day")
+            job.add_argument("--end", help="last day")
+            job.add_argument("--company")
+            job.add_argument("--payment-type")
+            job.add_argument("--pickup-area", type=int)
+            job.add_argument("--day-type", choices=("weekday", "weekend"))
         if name in ("gold", "post"):
             job.add_argument("--changed", help="only this month's silver changed")
             job.add_argument("--check-first", action="store_true",
@@ -83,7 +104,21 @@ def main(argv: list[str] | None = None) -> None:
         else:
             pipeline.post(lake, dimension, limits, changed, args.check_first).show(truncate=False)
     elif args.job == "maintenance":
-        maintain.run(lake).show(truncate=False)
+        pipeline.maintenance(lake, Ledger(lake)).show(truncate=False)
+    elif args.job == "freshness":
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        pipeline.freshness(lake, Ledger(lake), now, limits).show(truncate=False)
+    elif args.job == "alarms":
+        pipeline.alarms(Ledger(lake)).show(adhoc.SHOWN_ROWS, truncate=False)
+    elif args.job == "bi":
+        if args.query in NAMED and not args.areas:
+            raise SystemExit(f"{args.query} needs --areas")
+        filters = Filters(start=args.start, end=args.end, company=args.company,
+                          payment_type=args.payment_type, pickup_area=args.pickup_area,
+                          day_type=args.day_type)
+        dimension = [areas.load(spark, args.areas)] if args.query in NAMED else []
+        BI_QUERIES[args.query](lake.table("silver"), *dimension, filters).show(
+            adhoc.SHOWN_ROWS, truncate=False)
     else:
         if args.areas:
             lake.register_areas(areas.load(spark, args.areas))

@@ -179,12 +179,13 @@ class Lake:
     def promote(self, staged: dict[str, str]) -> None:
         """Make staged versions (mart -> location) the current ones: readers of a mart see the
         old version or the new one, never a mix."""
-        rows = []
-        for mart, location in staged.items():
-            self._point("gold", mart, location)
-            rows.append((mart, location.rsplit("version=", 1)[1], location, utc_now()))
+        rows = [(mart, location.rsplit("version=", 1)[1], location, utc_now())
+                for mart, location in staged.items()]
+        # recorded first: a fresh catalog then finds what another one already serves
         (self.spark.createDataFrame(rows, VERSIONS_DDL).coalesce(1)
          .write.mode("append").parquet(self.versions_path))
+        for mart, location in staged.items():
+            self._point("gold", mart, location)
 
     def publish(self, df: DataFrame, mart: str) -> None:
         self.promote({mart: self.stage(df, mart)})

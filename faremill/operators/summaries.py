@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from faremill.functions.fixed_point import amount, mean, sum_units
 
-# measure prefix -> silver column; each is kept as a BIGINT sum and a non-null count
+# measure prefix -> silver column; each is kept as an exact sum and a non-null count
 MEASURES = {
     "total": "trip_total",
     "fare": "fare",
@@ -70,9 +70,10 @@ def busiest(df: DataFrame, ties: list[str], k: int | None = None) -> DataFrame:
     return ordered if k is None else ordered.limit(k)
 
 
-def with_share(groups: DataFrame, total: DataFrame) -> DataFrame:
-    """``trips`` as a fraction of the one-row ``total``, read as a scalar subquery."""
-    whole = total.select(F.greatest("trips", F.lit(1))).scalar()
+def with_share(groups: DataFrame) -> DataFrame:
+    """``trips`` as a fraction of all groups' trips. The window sees one row per group, after the
+    aggregation, so the trips are scanned once."""
+    whole = F.greatest(F.sum("trips").over(W.partitionBy()), F.lit(1))
     return groups.withColumn("pct_of_trips", F.round(F.col("trips") / whole, 4))
 
 

@@ -97,9 +97,7 @@ def trips_by_company(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFram
 def payment_mix(trips: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:
     """Shares are of the filtered total."""
     groups = _grouped(trips, "payment_mix", filters)
-    total = (gold.state_of(trips, "payment_mix").agg(F.sum("trips").alias("trips"))
-             if _is_state(trips) else filters.apply(trips).agg(F.count("*").alias("trips")))
-    return S.busiest(S.with_share(groups, total), ["payment_type"])
+    return S.busiest(S.with_share(groups), ["payment_type"])
 
 
 def top_routes(trips: DataFrame, areas: DataFrame, filters: Filters = NO_FILTER) -> DataFrame:

@@ -20,6 +20,7 @@ TYPED = [name for name in TRIP_COLUMNS if TRIP_TYPES[name] != "string"]
 class BronzeLoad:
     window: Window
     raw_rows: dict[str, int] = field(default_factory=dict)  # per raw month
+    kept: dict[str, int] = field(default_factory=dict)      # and what of them this load stored
     kept_rows: int = 0
     missing_start: int = 0
     other_month: int = 0
@@ -27,6 +28,7 @@ class BronzeLoad:
 
     def add(self, counts: dict) -> None:
         self.raw_rows.update(counts["raw_rows"])
+        self.kept.update(counts["kept"])
         for name in ("kept_rows", "missing_start", "other_month"):
             setattr(self, name, getattr(self, name) + counts[name])
         for name in TYPED:
@@ -50,16 +52,30 @@ def load(lake: Lake, window: Window, strict: bool = False, drop_empty: bool = Fa
 
     Rows of another month than their directory's are counted and left out, so a stray row can
     never replace a month. Months without raw rows keep their old content unless ``drop_empty``.
+    With ``strict`` a malformed cell anywhere in the window fails the load before it stores a month.
 
     One month is written straight from the scan, without any shuffle. Several small months in one
     job are gathered by month first, since a scan task may hold parts of many."""
     total = BronzeLoad(window)
+    if strict:
+        _refuse_malformed(lake, window)
     for job in lake.jobs(window, lake.raw_root, "month"):
-        total.add(_load(lake, job, strict, drop_empty))
+        total.add(_load(lake, job, drop_empty))
     return total
 
 
-def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict:
+def _refuse_malformed(lake: Lake, window: Window) -> None:
+    broken = F.lit(False)
+    for name in TYPED:
+        broken = broken | parse.is_bad(name)
+    raw = raw_csv.scan(lake.spark, lake.raw_root, window)
+    found = raw.filter(broken).agg(F.count("*").alias("rows"), F.min("trip_id").alias("id")).first()
+    if found["rows"]:
+        raise ValueError(f"malformed cell in trip {found['id'] or '?'} "
+                         f"({found['rows']} such rows in {window.label})")
+
+
+def _load(lake: Lake, window: Window, drop_empty: bool) -> dict:
     flags = [parse.is_bad(name).alias(f"_bad_{name}") for name in TYPED]
     rows = typed(raw_csv.scan(lake.spark, lake.raw_root, window), F.col("month"), *flags)
     if len(window.months) > 1:
@@ -69,20 +85,13 @@ def _load(lake: Lake, window: Window, strict: bool, drop_empty: bool) -> dict:
     seen = Observation()  # after the shuffle, if any: only there do retried tasks count once
     rows = rows.observe(
         seen,
-        F.count("*").alias("raw_rows"),
+        *raw_csv.per_month(window, "raw"), *raw_csv.per_month(window, "kept", inside),
         F.count_if(inside).alias("kept_rows"),
         F.count_if(start.isNull()).alias("missing_start"),
         F.count_if(start.isNotNull() & ~inside).alias("other_month"),
         *[F.count_if(F.col(f"_bad_{name}")).alias(f"bad_{name}") for name in TYPED])
-    if strict:
-        broken = F.lit(False)
-        for name in TYPED:
-            broken = broken | F.col(f"_bad_{name}")
-        rows = rows.filter(F.when(broken, F.raise_error(F.concat(
-            F.lit("malformed cell in trip "), F.coalesce("trip_id", F.lit("?")))))
-            .otherwise(F.lit(True)))
     lake.overwrite_months(rows.filter(inside), "bronze", window=window, cluster=(),
                           drop_missing=drop_empty)
     counts = seen.get
-    return {**counts, "raw_rows": raw_csv.rows_per_month(lake.spark, lake.raw_root, window,
-                                                         counts["raw_rows"])}
+    return {**counts, "raw_rows": raw_csv.of_months(window, "raw", counts),
+            "kept": raw_csv.of_months(window, "kept", counts)}

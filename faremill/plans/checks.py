@@ -20,7 +20,11 @@ RAW, BRONZE, SILVER, GOLD = ("raw/taxi_trips", "bronze/taxi_trips", "silver/taxi
 
 
 class GateError(RuntimeError):
-    """A blocking check failed."""
+    """Blocking checks failed; ``windows`` are the months concerned."""
+
+    def __init__(self, message: str, windows=()):
+        super().__init__(message)
+        self.windows = set(windows)
 
 
 @dataclass(frozen=True)
@@ -139,11 +143,6 @@ def month_bounds(profile: DataFrame) -> DataFrame:
         "window_end": F.add_months(day, 1).cast("timestamp_ntz")})
 
 
-def bronze_profile(raw_counts: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row per raw window, also where nothing was stored."""
-    return raw_counts.join(stored, "window", "left").fillna(0, ["rows", "null_starts"])
-
-
 def silver_profile(months: DataFrame, bronze_counts: DataFrame, silver: DataFrame) -> DataFrame:
     """One row per month of ``months`` (column trip_month), also for months without rows."""
     counted = bronze_counts.withColumnRenamed("rows", "bronze_rows")
@@ -167,11 +166,12 @@ def blocking_failures(checks: DataFrame) -> DataFrame:
 
 
 def assert_gate(checks: DataFrame) -> None:
-    failed = blocking_failures(checks).limit(20).collect()
+    """Raises with every blocking failure; a run has a few checks per month."""
+    failed = blocking_failures(checks).orderBy("asset", "window", "check_name").collect()
     if failed:
         raise GateError("; ".join(
             f"{row['asset']} {row['window']}: {row['check_name']} {row['metadata']}"
-            for row in failed))
+            for row in failed), [row["window"] for row in failed])
 
 
 def gate_status(checks: DataFrame) -> DataFrame:

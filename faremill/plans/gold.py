@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from faremill.functions.fixed_point import amount, sum_units
+from faremill.functions.fixed_point import UNITS_TYPE, amount, sum_units
 from faremill.functions.trip import or_unknown
 from faremill.lake import STATE, Lake
 from faremill.operators import summaries as S
@@ -48,7 +48,7 @@ KEY_TYPES = {
 }
 STATE_DDL = ", ".join([
     "mart string", *[f"{name} {kind}" for name, kind in KEY_TYPES.items()], "trips bigint",
-    *[f"{m}_units bigint" + ("" if m == "total" else f", {m}_count bigint") for m in S.MEASURES],
+    *[f"{m}_units {UNITS_TYPE}" + ("" if m == "total" else f", {m}_count bigint") for m in S.MEASURES],
     f"{MONTH} string"])
 
 
@@ -68,13 +68,18 @@ def grouped(silver: DataFrame, mart: str) -> DataFrame:
 
 # the marts, each from its grouped rows -----------------------------------------------------
 
-def _finish(mart: str, groups: DataFrame, areas: DataFrame | None, total: DataFrame) -> DataFrame:
+def ordered(rows: DataFrame, mart: str) -> DataFrame:
+    """Rows of a mart in the order it is published in."""
     if mart == "trips_daily":
-        return groups.orderBy("day")
+        return rows.orderBy("day")
     if mart == "trips_by_hour":
-        return groups.orderBy("dow_num", "trip_hour")
-    if mart == "payment_mix":
-        return S.busiest(S.with_share(groups, total), ["payment_type"])
+        return rows.orderBy("dow_num", "trip_hour")
+    return S.busiest(rows, list(MARTS[mart].keys))
+
+
+def _finish(mart: str, groups: DataFrame, areas: DataFrame | None) -> DataFrame:
+    if mart == "payment_mix":  # every trip is in a group, so the groups hold the total
+        return ordered(S.with_share(groups), mart)
     if mart == "top_routes":
         keys = list(MARTS[mart].keys)
         top = S.busiest(groups, keys, TOP_ROUTES)  # before the joins: they see 50 rows
@@ -86,12 +91,11 @@ def _finish(mart: str, groups: DataFrame, areas: DataFrame | None, total: DataFr
         named = S.name_areas(groups, areas, "pickup_community_area", "area_name", "is_airport")
         return S.busiest(named.select("pickup_community_area", "area_name", "is_airport", "trips",
                                       "revenue", "avg_fare"), ["pickup_community_area"])
-    return S.busiest(groups, list(MARTS[mart].keys))
+    return ordered(groups, mart)
 
 
 def mart(silver: DataFrame, name: str, areas: DataFrame | None = None) -> DataFrame:
-    total = silver.agg(F.count("*").alias("trips"))
-    return _finish(name, grouped(silver, name), areas, total)
+    return _finish(name, grouped(silver, name), areas)
 
 
 def trips_daily(silver: DataFrame) -> DataFrame:
@@ -152,8 +156,7 @@ def grouped_from_state(stored: DataFrame, mart: str) -> DataFrame:
 
 
 def mart_from_state(stored: DataFrame, name: str, areas: DataFrame | None = None) -> DataFrame:
-    total = state_of(stored, "trips_daily").agg(F.sum("trips").alias("trips"))
-    return _finish(name, grouped_from_state(stored, name), areas, total)
+    return _finish(name, grouped_from_state(stored, name), areas)
 
 
 def state_table(lake: Lake) -> DataFrame:
@@ -163,8 +166,11 @@ def state_table(lake: Lake) -> DataFrame:
 
 def refresh_state(lake: Lake, window: Window | None = None) -> None:
     """Recompute the state of the window's months, or of all months. All months also when another
-    silver month has no state yet, as in a first run."""
+    silver month has no state yet, as in a first run. State of months that silver has no more is
+    dropped."""
     state_table(lake)
+    for month in lake.stored_months("gold", STATE) - lake.stored_months("silver"):
+        lake.drop_month("gold", month, STATE)
     if window is not None and (lake.stored_months("silver") - set(window.months)
                                - lake.stored_months("gold", STATE)):
         window = None

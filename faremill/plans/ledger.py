@@ -102,7 +102,8 @@ def alarms(checks: DataFrame, steps: DataFrame) -> DataFrame:
     blocking = checks.filter((F.col("severity") == "ERROR") & ~F.col("passed")).select(
         "run_id", "window", F.lit("check").alias("kind"),
         F.concat_ws(":", "asset", "check_name").alias("name"),
-        F.lit("blocking check failed").alias("detail"))
+        F.when(F.size("metadata") > 0, F.to_json("metadata"))
+        .otherwise(F.lit("blocking check failed")).alias("detail"))
     failed = steps.filter(F.col("status") == "FAILED").select(
         "run_id", "window", F.lit("step").alias("kind"), F.col("step").alias("name"),
         F.coalesce("error", F.lit("step failed")).alias("detail"))

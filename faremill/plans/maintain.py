@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from faremill import storage
 from faremill.functions.trip import moment
-from faremill.lake import FILE_BYTES, LARGE_MONTH_BYTES, STATE, TRIPS, Lake, utc_now
+from faremill.lake import FILE_BYTES, STATE, TRIPS, Lake, utc_now
 from faremill.plans import gold, silver
 from faremill.schema import MONTH
 from faremill.session import sized_shuffles
@@ -50,7 +50,8 @@ def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int
     """Rewrite fragmented months in place; returns (files rewritten, files added).
 
     The rewrite is staged next to the table and swapped in at job commit, so lost executors only
-    repeat tasks. Large silver months are gathered by day, so that date filters skip files."""
+    repeat tasks. Silver months are gathered by day, so that date filters skip files of large ones;
+    AQE merges the days of small ones."""
     location = lake.location(layer, table)
     if not storage.exists(lake.spark, location):  # created, never written
         return 0, 0
@@ -60,15 +61,10 @@ def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int
         return 0, 0
     months = [row[MONTH] for row in chosen]
     stored = lake.table(layer, table)
-    by_day = [row[MONTH] for row in chosen
-              if row["bytes"] >= LARGE_MONTH_BYTES and "trip_date" in stored.columns]
-    for group, cluster in ((by_day, (MONTH, "trip_date")),
-                           ([month for month in months if month not in by_day], (MONTH,))):
-        if group:
-            with sized_shuffles(lake.spark, sum(row["bytes"] for row in chosen
-                                                if row[MONTH] in group)):
-                lake.overwrite_months(stored.filter(F.col(MONTH).isin(group)), layer, table,
-                                      order=MONTHLY[(layer, table)], cluster=cluster)
+    cluster = (MONTH, "trip_date") if "trip_date" in stored.columns else (MONTH,)
+    with sized_shuffles(lake.spark, sum(row["bytes"] for row in chosen)):
+        lake.overwrite_months(stored.filter(F.col(MONTH).isin(months)), layer, table,
+                              order=MONTHLY[(layer, table)], cluster=cluster)
     lake.spark.catalog.refreshTable(lake.name(layer, table))
     after = file_stats(lake, location).filter(F.col(MONTH).isin(months)).agg(F.sum("files"))
     return sum(row["files"] for row in chosen), after.first()[0]
@@ -82,7 +78,7 @@ def compact_mart(lake: Lake, mart: str, target_bytes: int = FILE_BYTES,
                               min_small_files).collect()
     if not chosen:
         return 0, 0
-    staged = lake.stage(lake.table("gold", mart).hint("rebalance"), mart)
+    staged = lake.stage(gold.ordered(lake.table("gold", mart), mart), mart)
     lake.promote({mart: staged})
     return chosen[0]["files"], file_stats(lake, staged, ()).first()["files"]
 
@@ -107,10 +103,22 @@ def retention_plan(versions: DataFrame, now: datetime, keep_last: int = KEEP_LAS
 
 
 def expire_versions(lake: Lake, mart: str, now: datetime | None = None) -> int:
-    """Delete the expired version directories of a mart; returns how many were there."""
-    plan = retention_plan(lake.versions().filter(F.col("table_name") == mart), now or utc_now())
-    return sum(storage.delete(lake.spark, row["location"])
-               for row in plan.select("location").toLocalIterator())
+    """Delete the expired version directories of a mart; returns how many.
+
+    Starts from the directories that are there, so its work does not grow with the history. One
+    that was staged but never promoted is in no ledger and expires by the time in its name."""
+    now = now or utc_now()
+    root = lake.location("gold", mart)
+    there = {name.removeprefix("version="): f"{root}/{name}"
+             for name in storage.children(lake.spark, root) if name.startswith("version=")}
+    versions = lake.versions().filter(F.col("table_name") == mart)
+    known = {row["version_id"] for row in versions.filter(F.col("version_id").isin(list(there)))
+             .select("version_id").collect()}
+    gone = {row["version_id"] for row in retention_plan(versions, now)
+            .filter(F.col("version_id").isin(list(there))).select("version_id").collect()}
+    oldest = f"{now - timedelta(days=EXPIRE_AFTER_DAYS):%Y%m%dT%H%M%S}"
+    gone |= {version for version in set(there) - known if version < oldest}
+    return sum(storage.delete(lake.spark, there[version]) for version in gone)
 
 
 def run(lake: Lake, now: datetime | None = None, target_bytes: int = FILE_BYTES,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row
 
+from faremill import storage
 from faremill.config import Thresholds
 from faremill.lake import Lake
 from faremill.operators.windows import Window
-from faremill.plans import bronze, checks, gold, maintain, silver
+from faremill.plans import bronze, checks, gold, ledger as run_ledgers, maintain, silver
 from faremill.plans.ledger import Ledger
 from faremill.schema import MONTH
 from faremill.sources import raw_csv
@@ -39,15 +40,15 @@ def land(lake: Lake, source: DataFrame, window: Window, ledger: Ledger,
 
 def load_bronze(lake: Lake, window: Window, ledger: Ledger, limits: Thresholds = Thresholds(),
                 strict: bool = False, drop_empty: bool = False) -> bronze.BronzeLoad:
-    """Typed load of the raw window. Stored rows and null starts are counted from the table."""
+    """Typed load of the raw window. The checks see the rows of this load, so a month whose raw
+    files are gone fails whatever the table still holds of it."""
     with ledger.step("bronze.load", window.label) as info:
         loaded = bronze.load(lake, window, strict=strict, drop_empty=drop_empty)
         info.update(raw_rows=sum(loaded.raw_rows.values()), kept_rows=loaded.kept_rows)
-    stored = lake.read_partitions("bronze", window).groupBy(F.col(MONTH).alias("window")).agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("trip_start_timestamp").isNull()).alias("null_starts"))
-    profile = checks.bronze_profile(lake.spark.createDataFrame(
-        list(loaded.raw_rows.items()), "window string, raw_rows bigint"), stored)
+    # a kept row's month is that of its start, so none of them lacks one
+    profile = lake.spark.createDataFrame(
+        [(month, raw, loaded.kept[month], 0) for month, raw in loaded.raw_rows.items()],
+        "window string, raw_rows bigint, rows bigint, null_starts bigint")
     ledger.materialized(checks.BRONZE, window.label, loaded.kept_rows,
                         raw_rows=sum(loaded.raw_rows.values()), missing_start=loaded.missing_start,
                         other_month=loaded.other_month, bad_cells=loaded.bad_cells)
@@ -86,14 +87,57 @@ def ingest(lake: Lake, window: Window, source: DataFrame | None = None,
     return ledger
 
 
+def _spans(months: list[Window]) -> list[Window]:
+    """Runs of months that follow each other without a gap."""
+    spans: list[Window] = []
+    for month in months:
+        if spans and spans[-1].end == month.start:
+            spans[-1] = Window(spans[-1].start, month.end)
+        else:
+            spans.append(month)
+    return spans
+
+
+def _tried(stage, window: Window, problems: list[Exception]) -> set[str]:
+    """Runs a stage; returns the months that failed it. When a job of several months breaks, each
+    of them is tried on its own."""
+    try:
+        stage(window)
+        return set()
+    except checks.GateError as problem:
+        problems.append(problem)
+        return problem.windows
+    except Exception as problem:
+        if len(window.months) == 1:
+            problems.append(problem)
+            return set(window.months)
+        return set().union(*[_tried(stage, month, problems) for month in window.split()])
+
+
 def backfill(lake: Lake, windows: list[Window], source: DataFrame | None = None,
              limits: Thresholds = Thresholds(), by_month: bool = False) -> list[Ledger]:
-    """Load many months, by default as one run that processes them in parallel. ``by_month``
-    runs and gates each month on its own, like a scheduled history load."""
-    if not windows:
-        return []
-    runs = windows if by_month else [Window(windows[0].start, windows[-1].end)]
-    return [ingest(lake, window, source, limits) for window in runs]
+    """Load exactly the given months. Each is gated on its own: one that fails a blocking check
+    stops there, the others go on, and the run ends with an error that names all that failed.
+
+    Adjacent months share their jobs, unless ``by_month``."""
+    ledger, problems = Ledger(lake), []
+    months = sorted({month.start: month for w in windows for month in w.split()}.items())
+    good = [month for _, month in months]
+    stages = [lambda w: load_bronze(lake, w, ledger, limits),
+              lambda w: load_silver(lake, w, ledger, limits)]
+    if source is not None:
+        stages.insert(0, lambda w: land(lake, source, w, ledger, limits))
+    for stage in stages:
+        failed: set[str] = set()
+        for window in good if by_month else _spans(good):
+            failed |= _tried(stage, window, problems)
+        good = [month for month in good if month.label not in failed]
+    if problems:
+        done = {month.label for month in good}
+        raise checks.GateError(
+            "; ".join(str(problem) for problem in problems),
+            [month.label for _, month in months if month.label not in done])
+    return [ledger] if months else []
 
 
 def rebuild_gold(lake: Lake, areas: DataFrame, ledger: Ledger, limits: Thresholds = Thresholds(),
@@ -106,7 +150,12 @@ def rebuild_gold(lake: Lake, areas: DataFrame, ledger: Ledger, limits: Threshold
     profile, found = _evaluated(checks.gold_profile(tables, lake.table("silver")))
     results = ledger.record(checks.gold(profile, limits))
     if check_first:
-        checks.assert_gate(results)
+        try:
+            checks.assert_gate(results)
+        except checks.GateError:
+            for location in staged.values():
+                storage.delete(lake.spark, location)
+            raise
     with ledger.step("gold.publish"):
         lake.promote(staged)
     figures = found[0].asDict()
@@ -120,5 +169,29 @@ def post(lake: Lake, areas: DataFrame, limits: Thresholds = Thresholds(),
     """Gold rebuild, then maintenance; returns the maintenance summary."""
     ledger = Ledger(lake)
     rebuild_gold(lake, areas, ledger, limits, window, check_first)
-    with ledger.step("maintenance"):
-        return maintain.run(lake, now)
+    return maintenance(lake, ledger, now)
+
+
+def maintenance(lake: Lake, ledger: Ledger, now: datetime | None = None) -> DataFrame:
+    """Maintains every table and records what was done; failed tables are in the record."""
+    with ledger.step("maintenance") as info:
+        summary = maintain.run(lake, now)
+        found = summary.collect()  # one row per table
+        failed = {row["table_name"]: row["error"] for row in found if row["status"] == "failed"}
+        info.update(tables=len(found), failed=len(failed))
+    ledger.materialized("maintenance", "all", len(found), failed=len(failed), **{
+        name: sum(row[name] for row in found) for name in ("rewritten", "added", "expired")},
+        **{f"error {table}": error for table, error in failed.items()})
+    return summary
+
+
+def freshness(lake: Lake, ledger: Ledger, now: datetime, limits: Thresholds = Thresholds()
+              ) -> DataFrame:
+    """Checks every asset's age and records the result."""
+    records = ledger.table("materializations")
+    return ledger.record(run_ledgers.freshness(records, now, limits.stale_after_hours))
+
+
+def alarms(ledger: Ledger) -> DataFrame:
+    """What made runs fail so far."""
+    return run_ledgers.alarms(ledger.table("check_results"), ledger.table("step_runs"))

@@ -60,16 +60,16 @@ def rounded(value: str, digits: int) -> str:
 
 
 def units(column: str) -> str:
-    return f"sum(cast(floor({column} * 10000 + 0.5) as bigint))"
+    """The sum in units of 1e-12, so that an average is one division of exact numbers."""
+    return f"cast(sum(cast(round({column} * 1000000000000.0) as hugeint)) as double)"
 
 
 def money(column: str) -> str:
-    return rounded(f"(cast({units(column)} as double) / 10000.0)", 2)
+    return rounded(f"({units(column)} / 1000000000000.0)", 2)
 
 
 def average(column: str, digits: int) -> str:
-    return rounded(f"(cast({units(column)} as double) / nullif(count({column}) * 10000.0, 0))",
-                   digits)
+    return rounded(f"({units(column)} / nullif(count({column}) * 1000000000000.0, 0))", digits)
 
 
 KEYED = """
@@ -427,11 +427,17 @@ def sql() -> dict[str, str]:
             = 1""",
         "alarm_report": """select event_id as run_id, strftime(ts, '%Y-%m') as "window",
             'check' as kind, event_type || ':value_in_range' as name,
-            'blocking check failed' as detail
+            '{"value":"' || event_id || '"}' as detail
           from events where event_id % 3 <> 0 and value >= 100
           union all
           select event_id, strftime(ts, '%Y-%m'), 'step', event_type, 'step failed'
           from events where value < 1""",
+        "exact_sums": """select l_returnflag, l_linenumber,
+            cast(round(sum(cast(l_discount * l_tax / 1000 as decimal(38, 12))), 7) as double)
+              as charges,
+            cast(round(sum(cast(l_discount * l_tax / 1000 as decimal(38, 12)))::double
+              / count(*), 10) as double) as avg_charge
+          from lineitem group by all""",
         "retention_plan": f"""select table_name, version_id, committed_at from (
             select event_type as table_name, event_id as version_id, ts as committed_at,
               row_number() over (partition by event_type order by ts desc, event_id desc) as rn
@@ -443,7 +449,8 @@ def sql() -> dict[str, str]:
         "plan_lookback": on_bronze("select * from months order by month desc limit 2", MONTHS),
         "backfill_months": on_silver(
             f"select trip_month, count(*) as trips, {money('trip_total')} as revenue "
-            "from silver group by 1"),
+            "from silver where trip_month <> (select distinct trip_month from silver "
+            "order by 1 limit 1 offset 2) group by 1"),
         "compact_table": on_silver("select * exclude (trip_month) from silver"),
         "maintenance_summary": on_silver(
             "select t.table_name, t.status, t.compacted, case t.table_name "

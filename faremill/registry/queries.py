@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from faremill import storage
 from faremill.config import Thresholds
-from faremill.functions.fixed_point import amount, sum_units
+from faremill.functions.fixed_point import amount, mean, sum_units
 from faremill.operators import windows
 from faremill.operators.filters import Filters
 from faremill.operators.windows import Window
@@ -113,6 +113,16 @@ def silver_layout(ws):
                                       F.count_if("misplaced").alias("misplaced"))
 
 
+@register
+def exact_sums(spark, folder):
+    """Sums and averages of amounts far below a cent."""
+    small = spark.read.parquet(f"{folder}/lineitem.parquet").withColumn(
+        "charge", F.col("l_discount") * F.col("l_tax") / 1000)
+    return small.groupBy("l_returnflag", "l_linenumber").agg(
+        amount(sum_units("charge"), 7).alias("charges"),
+        mean(sum_units("charge"), F.count("charge"), 10).alias("avg_charge"))
+
+
 @register
 def month_overwrite(spark, folder):
     lake = new_lake(spark)
@@ -422,7 +432,8 @@ def dq_bronze(ws):
         F.count("*").alias("rows"),
         F.count_if(F.col("trip_start_timestamp").isNull()).alias("null_starts"))
     raw = _raw_profile(ws).withColumnRenamed("rows", "raw_rows")
-    return checks.bronze(checks.bronze_profile(raw, stored)).select(*CHECK_COLUMNS)
+    profile = raw.join(stored, "window", "left").fillna(0, ["rows", "null_starts"])
+    return checks.bronze(profile).select(*CHECK_COLUMNS)
 
 
 @on_workspace
@@ -465,7 +476,7 @@ def alarm_report(spark, folder):
         "event_id as run_id", "event_type as asset", "substring(cast(ts as string), 1, 7) as window",
         "'value_in_range' as check_name",
         "case when event_id % 3 = 0 then 'WARN' else 'ERROR' end as severity",
-        "value < 100 as passed")
+        "value < 100 as passed", "map('value', cast(event_id as string)) as metadata")
     steps = events.selectExpr(
         "event_id as run_id", "event_type as step", "substring(cast(ts as string), 1, 7) as window",
         "case when value < 1 then 'FAILED' else 'DONE' end as status",
@@ -499,11 +510,17 @@ def plan_lookback(ws):
 
 @register
 def backfill_months(spark, folder):
-    """Raw text through all layers, then the last two months once more."""
+    """Raw text through all layers for every month but the third and one that has no rows, which
+    fails alone; then the last two months once more."""
     lake = new_lake(spark)
     source = feed.as_text(feed.trips(spark, folder))
     planned = workspace(spark, folder).span.split()
-    pipeline.backfill(lake, planned, source)
+    empty = Window.of("2030-01")
+    try:
+        pipeline.backfill(lake, [*planned[:2], *planned[3:], empty], source)
+    except checks.GateError as problem:
+        if problem.windows != {empty.label}:
+            raise
     pipeline.backfill(lake, windows.lookback(planned), source)
     return lake.table("silver").groupBy(MONTH).agg(
         F.count("*").alias("trips"), amount(sum_units("trip_total")).alias("revenue"))

@@ -26,16 +26,6 @@ TRIP_FIELDS = [
     ("dropoff_centroid_latitude", "double"),
     ("dropoff_centroid_longitude", "double"),
 ]
-# Each derived column and the trip column it is placed after.
-DERIVED_FIELDS = {
-    "trip_end_timestamp": [
-        ("trip_date", "date"), ("trip_hour", "int"), ("dow_num", "int"), ("day_name", "string"),
-    ],
-    "trip_seconds": [("duration_min", "double")],
-    "trip_miles": [("speed_mph", "double")],
-    "trip_total": [("tip_pct", "double")],
-    "dropoff_centroid_longitude": [("is_airport", "boolean")],
-}
 MONTH = "trip_month"  # partition column of both trip tables, "yyyy-MM"
 
 
@@ -45,8 +35,35 @@ def _ddl(fields) -> str:
 
 TRIP_COLUMNS = [name for name, _ in TRIP_FIELDS]
 TRIP_TYPES = dict(TRIP_FIELDS)
+# Columns of silver, in order.
 SILVER_FIELDS = [
-    field for trip in TRIP_FIELDS for field in (trip, *DERIVED_FIELDS.get(trip[0], ()))
+    ("trip_id", "string"),
+    ("taxi_id", "string"),
+    ("trip_start_timestamp", "timestamp_ntz"),
+    ("trip_end_timestamp", "timestamp_ntz"),
+    ("trip_date", "date"),
+    ("trip_hour", "int"),
+    ("dow_num", "int"),
+    ("day_name", "string"),
+    ("trip_seconds", "int"),
+    ("duration_min", "double"),
+    ("trip_miles", "double"),
+    ("speed_mph", "double"),
+    ("pickup_community_area", "int"),
+    ("dropoff_community_area", "int"),
+    ("fare", "double"),
+    ("tips", "double"),
+    ("tolls", "double"),
+    ("extras", "double"),
+    ("trip_total", "double"),
+    ("tip_pct", "double"),
+    ("payment_type", "string"),
+    ("company", "string"),
+    ("pickup_centroid_latitude", "double"),
+    ("pickup_centroid_longitude", "double"),
+    ("dropoff_centroid_latitude", "double"),
+    ("dropoff_centroid_longitude", "double"),
+    ("is_airport", "boolean"),
 ]
 SILVER_COLUMNS = [name for name, _ in SILVER_FIELDS]
 

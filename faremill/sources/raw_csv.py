@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from faremill import storage
 from faremill.operators.windows import Window
@@ -29,13 +29,15 @@ def scan(spark: SparkSession, root: str, window: Window | None = None) -> DataFr
                                                basePath=root).csv(paths))
 
 
-def rows_per_month(spark: SparkSession, root: str, window: Window, total: int) -> dict[str, int]:
-    """Raw rows of every month of ``window``, which holds ``total`` rows. Only a window of several
-    months has to be counted, by a scan that parses no column."""
-    if len(window.months) == 1:
-        return {window.label: total}
-    found = dict(scan(spark, root, window).groupBy("month").count().collect())
-    return {month: found.get(month, 0) for month in window.months}
+def per_month(window: Window, name: str, counted: Column | None = None) -> list[Column]:
+    """Observed counts of each month's rows; a window has a bounded number of months."""
+    counted = F.lit(True) if counted is None else counted
+    return [F.count_if((F.col("month") == month) & counted).alias(f"{name}_{month}")
+            for month in window.months]
+
+
+def of_months(window: Window, name: str, seen: dict) -> dict[str, int]:
+    return {month: seen[f"{name}_{month}"] for month in window.months}
 
 
 def part_counts(raw: DataFrame) -> DataFrame:
@@ -60,10 +62,12 @@ def land(source: DataFrame, root: str, window: Window, page_rows: int = PAGE_ROW
     # observed after the last shuffle: only there do retried tasks count once
     (rows.hint("rebalance", F.col("month"))
      .sortWithinPartitions("month", "trip_start_timestamp", "trip_id")
-     .observe(landed, F.count("*").alias("rows"), F.collect_set("month").alias("months"))
+     .observe(landed, *per_month(window, "rows"))
      .write.partitionBy("month").mode("overwrite")
      .options(**_QUOTING, maxRecordsPerFile=page_rows, partitionOverwriteMode="dynamic")
      .csv(root))
-    for month in set(window.months) - set(landed.get["months"]):
-        storage.delete(spark, f"{root}/month={month}")
-    return rows_per_month(spark, root, window, landed.get["rows"])
+    found = of_months(window, "rows", landed.get)
+    for month, rows in found.items():
+        if not rows:
+            storage.delete(spark, f"{root}/month={month}")
+    return found

@@ -25,6 +25,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``, none if it does not exist."""
+    fs, target = _fs(spark, path)
+    return [found.getPath().getName() for found in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes stored below ``path``, 0 if it does not exist."""
     fs, target = _fs(spark, path)

@@ -99,6 +99,14 @@ def test_sums_are_exact_in_any_order(spark):
     assert tuple(empty) == (None, None)
 
 
+def test_small_amounts_are_not_cut_off(spark):
+    df = spark.range(100_000).selectExpr("0.00004D as x", "id")
+    for parts in (1, 8):
+        row = df.repartition(parts).agg(amount(sum_units("x"), 6).alias("s"),
+                                        mean(sum_units("x"), F.count("x"), 8).alias("m")).first()
+        assert (row["s"], row["m"]) == (4.0, 0.00004)
+
+
 def test_overflow_raises_instead_of_wrapping(spark):
     df = spark.createDataFrame([(9e14,), (9e14,)], "x double")
     with pytest.raises(Exception, match="OVERFLOW"):

@@ -81,7 +81,6 @@ def test_compaction_keeps_rows_and_other_months(lake, spark, trips):
 
 
 def test_large_months_are_compacted_by_day(lake, trips, monkeypatch):
-    monkeypatch.setattr(maintain, "LARGE_MONTH_BYTES", 0)
     monkeypatch.setattr(lake_module, "FILE_BYTES", 1)
     many = [trip(i, f"2023-10-{i % 28 + 1:02d}T00:00:00") for i in range(200)]
     lake.overwrite_months(silver.build(trips(*many)).repartition(12), "silver", cluster=())
@@ -177,6 +176,70 @@ def test_every_month_of_a_wide_run_is_gated(lake, raw_text):
         pipeline.backfill(lake, Window.of("2023-10", "2023-12").split(), source)
 
 
+def test_backfill_touches_the_given_months_only_and_gates_each(lake, raw_text):
+    def rows_of(*months):
+        return raw_text(*[{"trip_id": f"t{m}", "trip_start_timestamp": f"2023-{m:02d}-05T00:00:00",
+                           "fare": "-1" if m == 8 else "1", "trip_total": "1"} for m in months])
+
+    year = Window.of("2023-01", "2024-01").split()
+    pipeline.backfill(lake, year[:5], rows_of(*range(1, 13)))
+    pipeline.backfill(lake, [year[0], year[4]], rows_of(1, 5))  # months between stay
+    assert len(rows(lake.table("silver"), "trip_id")) == 5
+    with pytest.raises(GateError, match="fare_non_negative") as failed:
+        pipeline.backfill(lake, year[5:9], rows_of(6, 8, 9))
+    assert failed.value.windows == {"2023-07", "2023-08"}
+    assert "raw/taxi_trips 2023-07: rows_landed_positive" in str(failed.value)
+    assert lake.stored_months("silver") >= {"2023-06", "2023-09"}
+
+
+def test_a_month_without_raw_files_is_blocked(lake, spark, raw_text):
+    window = Window.of("2023-10")
+    source = raw_text({"trip_id": "a", "trip_start_timestamp": "2023-10-01T00:00:00"})
+    pipeline.ingest(lake, window, source)
+    storage.delete(spark, f"{lake.raw_root}/month=2023-10")
+    with pytest.raises(GateError, match="bronze/taxi_trips 2023-10: row_count_positive"):
+        pipeline.load_bronze(lake, window, Ledger(lake))
+
+
+def test_every_failure_is_named(spark):
+    from faremill.plans import checks
+    profile = spark.createDataFrame([(f"{m:04d}", 0) for m in range(60)], "window string, rows bigint")
+    with pytest.raises(GateError) as failed:
+        checks.assert_gate(checks.raw(profile))
+    assert len(failed.value.windows) == 60 and str(failed.value).count("rows_landed_positive") == 60
+
+
+def test_state_of_lost_months_is_dropped_and_stray_versions_expire(lake, spark, trips):
+    areas = feed.areas(spark, SF)
+    lake.overwrite_months(trips(trip(1, "2023-10-01T00:00:00"), trip(2, "2023-11-01T00:00:00")),
+                          "bronze")
+    silver.load(lake, Window.of("2023-10", "2023-12"))
+    pipeline.post(lake, areas)
+    lake.drop_month("silver", "2023-10")
+    pipeline.rebuild_gold(lake, areas, Ledger(lake), window=Window.of("2023-11"))
+    assert lake.table("gold", "trips_daily").agg({"trips": "sum"}).first()[0] == 1
+    stray = lake.stage(lake.table("gold", "trips_daily"), "trips_daily")
+    assert maintain.expire_versions(lake, "trips_daily") == 0 and storage.exists(spark, stray)
+    assert maintain.expire_versions(lake, "trips_daily", datetime(2100, 1, 1)) == 1
+    assert not storage.exists(spark, stray) and lake.table("gold", "trips_daily").count() == 1
+    assert ledger.latest(Ledger(lake).table("materializations")).filter(
+        "asset = 'maintenance'").first()["metadata"]["failed"] == "0"
+
+
+def test_payment_shares_scan_the_trips_once(lake, trips):
+    from faremill.plans import bi
+    lake.overwrite_months(trips(trip(1, "2023-10-01T00:00:00"), trip(2, "2023-10-02T00:00:00")), "bronze")
+    silver.load(lake, Window.of("2023-10"))
+    for shares in (bi.payment_mix(lake.table("silver")), gold.payment_mix(lake.table("silver"))):
+        text = shares._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("Relation ") == 1 and shares.first()["pct_of_trips"] == 1.0
+
+
+def test_semicolons_in_quotes_and_comments():
+    assert adhoc.statements("select ';' as x; -- a; b\nselect \"a;b\" /* ; */ from t;; -- end") == [
+        "select ';' as x", "-- a; b\nselect \"a;b\" /* ; */ from t"]
+
+
 def test_check_first_keeps_bad_marts_unpublished(lake, spark, trips):
     areas = feed.areas(spark, SF)
     lake.overwrite_months(trips(trip(1, "2023-10-01T00:00:00")), "bronze")
@@ -230,6 +293,10 @@ def test_jobs_from_the_command_line(spark, raw_text, tmp_path, capsys):
               "--source", pages])
         main(["lookback", "--root", root, "--start", "2023-10", "--end", "2023-12"])
         main(["post", "--root", root, "--areas", str(areas)])
+        for job in ("freshness", "alarms", "maintenance"):
+            main([job, "--root", root])
+        main(["bi", "summary", "--root", root, "--start", "2023-10-02", "--day-type", "weekday"])
+        main(["bi", "top-routes", "--root", root, "--areas", str(areas)])
         main(["gold", "--root", root, "--areas", str(areas), "--changed", "2023-11"])
         script = tmp_path / "q.sql"
         script.write_text("select sum(trips) as n from gold.trips_daily; "

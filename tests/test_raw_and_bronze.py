@@ -101,11 +101,15 @@ def test_load_counts_and_drops(lake, monkeypatch, large_month):
         ("t1", 60, 1.5, "2023-10"), ("t4", None, None, "2023-10"), ("t6", None, 1.5, "2023-11")]
 
 
-def test_strict_load_fails_on_a_malformed_cell(lake):
-    write_raw(lake, "2023-10", trip(1, "2023-10-05T00:00:00", fare="abc"))
-    with pytest.raises(Exception, match="malformed cell in trip t1"):
-        bronze.load(lake, OCT, strict=True)
+@pytest.mark.parametrize("large_month", [0, 1 << 40])
+def test_strict_load_fails_before_it_stores_anything(lake, monkeypatch, large_month):
+    monkeypatch.setattr(lake_module, "LARGE_MONTH_BYTES", large_month)
+    write_raw(lake, "2023-10", trip(1, "2023-10-05T00:00:00"))
+    write_raw(lake, "2023-11", trip(2, "2023-11-05T00:00:00", fare="abc"))
+    with pytest.raises(Exception, match="malformed cell in trip t2"):
+        bronze.load(lake, BOTH, strict=True)
     assert lake.table("bronze").count() == 0
+    assert bronze.load(lake, OCT, strict=True).kept == {"2023-10": 1}
 
 
 def test_reload_is_idempotent_and_leaves_neighbours(lake):
@@ -143,12 +147,67 @@ def test_paged_extract(spark, raw_text, tmp_path):
     assert pages.columns == TRIP_COLUMNS
     assert rows(pages, "trip_id", "company", "fare", "tips") == [
         (f"tn{i}", 'a "b",\nc', "1.5", None) for i in range(3)]
-    assert extract.extract(spark, root, OCT).rdd.getNumPartitions() == len(
-        parts_of(root, "2023-10")) >= 3
+    one_each = extract.extract(spark, root, OCT, pages_per_task=1)
+    assert one_each.rdd.getNumPartitions() == len(parts_of(root, "2023-10")) >= 3
+    assert extract.extract(spark, root, OCT).rdd.getNumPartitions() == 1
+    assert one_each.count() == extract.extract(spark, root, OCT).count() == 25
     assert extract.extract(spark, root, Window.of("2022-01")).count() == 0
     assert extract.extract(spark, str(tmp_path / "nothing"), OCT).count() == 0
 
 
+def test_a_page_without_a_column_is_an_error(spark, tmp_path):
+    os.makedirs(tmp_path / "raw" / "month=2023-10")
+    (tmp_path / "raw" / "month=2023-10" / "p.csv").write_text(
+        ",".join("fare_amount" if c == "fare" else c for c in TRIP_COLUMNS) + "\n"
+        + ",".join("2023-10-05T00:00:00" if c == "trip_start_timestamp" else "1"
+                   for c in TRIP_COLUMNS) + "\n")
+    with pytest.raises(Exception, match="fare"):
+        extract.extract(spark, str(tmp_path / "raw"), OCT).collect()
+
+
+def test_offset_pages_are_read_in_runs_and_tried_again():
+    import io
+    import json
+    from urllib.error import HTTPError, URLError
+    from urllib.parse import parse_qs, urlparse
+    from faremill.sources import pages as source
+
+    rows_there, asked, pauses = 45, [], []
+    trouble = [HTTPError("u", 429, "busy", None, None), URLError("down"),
+               HTTPError("u", 503, "later", None, None)]
+
+    def opener(request, timeout):
+        asked.append(request)
+        if trouble:
+            raise trouble.pop()
+        query = {k: v[0] for k, v in parse_qs(urlparse(request.full_url).query).items()}
+        if "count" in query["$select"]:
+            return io.BytesIO(json.dumps([{"rows": str(rows_there)}]).encode())
+        first = int(query["$offset"])
+        numbers = range(first, min(first + int(query["$limit"]), rows_there))
+        return io.BytesIO(("trip_id,trip_start_timestamp\n" + "".join(
+            f"t{i},2023-10-05T00:00:00\n" for i in numbers)).encode())
+
+    def get(url, token):
+        return source.fetch(url, token, opener, pauses.append)
+
+    reader = source.PageReader(["trip_id", "trip_start_timestamp"], {
+        "base": "https://example.org/trips", "start": "2023-10-01T00:00:00",
+        "end": "2023-11-01T00:00:00", "pagesize": "10", "pagespertask": "2", "apptoken": "key"})
+    reader.pages.get = get
+    planned = reader.partitions()
+    assert [(p.start, p.stop) for p in planned] == [(0, 2), (2, 4), (4, 5)] and pauses == [1, 2, 4]
+    found = [x for p in planned for batch in reader.read(p) for x in batch.column(0).to_pylist()]
+    assert found == [f"t{i}" for i in range(rows_there)]
+    assert all(r.get_header("X-app-token") == "key" for r in asked)
+    with pytest.raises(HTTPError):
+        trouble.append(HTTPError("u", 404, "none", None, None))
+        get("https://example.org/trips", "")
+    trouble.extend(URLError("down") for _ in range(source.TRIES))
+    with pytest.raises(URLError):
+        get("https://example.org/trips", "")
+
+
 def test_page_urls_are_stable_and_projected():
     pages = UrlPages("https://example.org/resource/trips", ["trip_id", "fare"],
                      "2023-10-01T00:00:00", "2023-11-01T00:00:00", 50000)
