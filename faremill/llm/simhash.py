@@ -287,7 +287,9 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         turned = rows.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         near = turned.unionAll(turned.select(F.col("b").alias("a"), F.col("a").alias("b"))) \
             if both else turned
-        low = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        # stored, so that both sides of the join are plain shuffles, and AQE can split a hot centre
+        low = common.stored(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")),
+                            "simhash-low")
         tied = near.join(low, "a")
         if both:
             made = tied.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
@@ -329,9 +331,10 @@ def grouped(prints: DataFrame, linked) -> DataFrame:
     """Adds root, the name of the component, and component_id, its smallest key."""
     nodes = common.stored(prints.groupBy("fp").agg(F.min("key").alias("low")), "simhash-nodes")
     roots = components(linked(nodes))
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    rooted = common.stored(nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    lows = common.stored(rooted.groupBy("root").agg(F.min("low").alias("component_id")),
+                         "simhash-lows")
     named = common.stored(rooted.join(lows, "root").select("fp", "root", "component_id"),
                           "simhash-named")
     return prints.join(named, "fp")
