@@ -143,7 +143,7 @@ class Model:
         return np.add.reduceat(made, first[:-1], axis=0)
 
 
-@lru_cache(2)
+@lru_cache(1)  # a task works with one model; more would stay in the worker
 def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(samples)
 
