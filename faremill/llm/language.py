@@ -11,8 +11,9 @@ automata over all windows of a batch in step; a phrase ends at its window's end.
 parsed.
 
 Learning takes rows with a remainder other than 2 of crc32(id) mod 4 and a language. Per language,
-those with the smallest text hashes are taken up to ``sample_docs``, and their first characters up
-to ``sample_chars`` in all; these bounds are all that reaches the driver and the tasks.
+those texts with the smallest hashes are taken up to ``sample_docs``, a text with many copies once,
+and their first characters up to ``sample_chars`` in all; these bounds are all that reaches the
+driver and the tasks. Hashes are made distinct before they are ranked, so no text is shuffled.
 
 Defined cases: null text or text without a letter is ``und`` with score 0, as is every text if there
 is nothing to learn from; with one learned language the score is 1; a row with null id is neither
@@ -176,15 +177,16 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """(language, sample) by name; the sample sizes are shared if languages are many."""
     known = df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")
                       & (remainder(key) != 2))
-    best = Window.partitionBy("lang").orderBy("h", "sample")
-    rows = (known.select(F.col(lang).cast("string").alias("lang"),
-                         F.xxhash64(F.col(text)).alias("h"),
+    known = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"),
                          F.substring(F.col(text), 1, 1000).alias("sample"))
-            .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= sample_docs))
-    top = (known.groupBy(F.col(lang).cast("string").alias("lang")).count()
-           .orderBy(F.desc("count"), "lang").limit(max_languages))
+    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    best = Window.partitionBy("lang").orderBy("h")
+    chosen = (known.select("lang", "h").distinct().join(F.broadcast(top.select("lang")), "lang")
+              .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= sample_docs))
+    rows = (known.join(F.broadcast(chosen), ["lang", "h"])  # at most both limits' product
+            .groupBy("lang", "at").agg(F.min("sample").alias("sample")))
     samples: dict[str, list[str]] = {}
-    for row in rows.join(F.broadcast(top.select("lang")), "lang").orderBy("lang", "at").collect():
+    for row in rows.orderBy("lang", "at").collect():
         samples.setdefault(row.lang, []).append(row["sample"])
     each = min(sample_chars, 4 * sample_chars // max(1, len(samples)))
     return tuple((name, "\n".join(dict.fromkeys(texts))[:each])

@@ -195,10 +195,19 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         half * max_docs // 2 / counts[0])
     chosen = known.filter(part < share).orderBy(part, "key").limit(max_docs)  # bounds the broadcast
     lines = F.slice(F.split(F.col(text), "\n"), 1, max_lines)
-    rows = (df.select(F.col(key).alias("key"), F.array_join(lines, "\n").alias("text"))
-            .join(F.broadcast(chosen), "key").orderBy("key", "text").collect())
-    made = [(line_features(row.text)[0], row.label) for row in rows if row.text]
-    return fit([(x, y) for x, y in made if len(x)])
+    texts = (df.select(F.col(key).alias("key"), F.array_join(lines, "\n").alias("text"))
+             .join(F.broadcast(chosen), "key"))
+
+    def listed(found, labels_):
+        for text_, y in zip(found, labels_):
+            yield line_features(text_ or "")[0].ravel().tolist(), y
+
+    # lines may be of any length, so only their features are collected
+    made = common.map_texts(texts.select("text", "label"), listed,
+                            "x array<double>, label int").collect()
+    made.sort(key=lambda row: (row.x, row.label))
+    return fit([(np.array(row.x).reshape(-1, len(FEATURES)), row.label)
+                for row in made if row.x])
 
 
 def judge(df: DataFrame, model, key: str = "doc_id", text: str = "text") -> DataFrame:

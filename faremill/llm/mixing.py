@@ -108,8 +108,10 @@ def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
           seed: int = 11, bucket_rows: int = 4_000, **shares) -> DataFrame:
     """The mix itself: the rows of ``df``, each as often as its copies say.
 
-    Rows that agree in id, source and text share their copies: all are given to one of them."""
-    identity = F.xxhash64(F.col(key), F.col(source), F.col(text))
+    Rows that agree in id, source and text share their copies: all are given to one of them. The id
+    itself is part of the name, so texts whose hashes collide stay apart."""
+    identity = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")),
+                           F.xxhash64(F.col(source), F.col(text)).cast("string"))
     rows = common.stored(df.select(
         F.col(key).alias("key"), identity.alias("identity"),
         common.source_key(F.col(source)).alias("stratum"),
@@ -133,7 +135,8 @@ SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce('0' || source, '1') AS stratum,
     CASE WHEN text IS NULL THEN 0
-      ELSE len(regexp_extract_all(text, '[^ 	-]+')) END::BIGINT AS size FROM documents),
+      ELSE len(regexp_extract_all(text, '[^ 	-
+]+')) END::BIGINT AS size FROM documents),
 sources AS (
   SELECT stratum, sum(size)::BIGINT AS source_size,
     [5, 2, 1][(row_number() OVER (ORDER BY stratum) - 1) % 3 + 1]::BIGINT AS weight

@@ -54,6 +54,8 @@ def test_added_spans_need_checksums_and_context():
 
     assert kinds("account DE89 3704 0044 0532 0130 00.") == ["iban"]
     assert "iban" not in kinds("account DE88 3704 0044 0532 0130 00.")
+    text = "GB82 WEST 1234 5698 7654 32 AND MORE"  # capitals after the number are not part of it
+    assert [text[s:e] for s, e, _ in pii.spans(text)[1]] == ["GB82 WEST 1234 5698 7654 32"]
     assert kinds("call 555 123 4567 now") == ["phone"] and kinds("sum 555 123 4567 now") == []
     assert pii.redact("mail a@b.co or +1 578 555 6437!") == "mail [EMAIL] or [PHONE]!"
     assert pii.luhn("4539148803436467") and not pii.luhn("4539148803436468")
@@ -114,6 +116,18 @@ def test_field_separates_labelled_documents(spark):
     assert sum(r.kept == bool(r.quality) for r in got) >= 0.97 * len(got)
 
 
+def test_training_collects_features_not_lines(spark):
+    """Long lines are bounded by their features; both labels are learned from."""
+    docs = spark.createDataFrame(
+        [(k, ("Some long line of words here. " * 2000) if k % 2 else "| a | b |\n| c | d |")
+         for k in range(40)] + [(None, "x"), (100, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(100, 1), (None, 0)],
+                                   "doc_id long, quality int")
+    model = line_crf.train(docs, labels)
+    assert line_crf.content_share("Some long line of words here. " * 50, model) == 1
+    assert line_crf.content_share("| a | b |\n| c | d |", model) == 0
+
+
 def test_quality_of_edge_rows(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = line_crf.train(edge_docs, none)
@@ -189,6 +203,16 @@ def test_language_on_held_out_documents(spark):
     assert len(got) > 150 and sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got)
 
 
+def test_copies_do_not_fill_a_language_sample(spark):
+    """A text with many copies counts once, wherever its hash stands."""
+    texts = [f"{w} wort nummer" for w in "alpha beta gamma delta epsilon zeta eta theta".split()]
+    rows = [(k, t, "de", "s", 1) for k, t in enumerate(
+        [t for t in texts for _ in range(40)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n int")
+    (_, sample), = language.learn(docs, sample_docs=8)
+    assert sorted(sample.split("\n")) == sorted(texts)
+
+
 def test_language_of_edge_rows(edge_docs, no_docs):
     got = {r.doc_id: r for r in language.identify(edge_docs).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (100, 101, 102, 106))
