@@ -179,10 +179,17 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
                       & (remainder(key) != 2))
     known = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"),
                          F.substring(F.col(text), 1, 1000).alias("sample"))
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    best = Window.partitionBy("lang").orderBy("h")
-    chosen = (known.select("lang", "h").distinct().join(F.broadcast(top.select("lang")), "lang")
-              .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= sample_docs))
+    texts = common.stored(known.groupBy("lang", "h").agg(F.count("*").alias("copies")),
+                          "language-texts")
+    top = (texts.groupBy("lang").agg(F.sum("copies").alias("docs"), F.count("*").alias("texts"))
+           .orderBy(F.desc("docs"), "lang").limit(max_languages))
+    # hashes are uniform, so those below twice the wanted share hold the smallest, and few others
+    place = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))
+    best = Window.partitionBy("lang").orderBy("place", "h")
+    chosen = (texts.withColumn("place", place).join(F.broadcast(top), "lang")
+              .filter(F.col("place") < 2.0 * sample_docs / F.col("texts"))
+              .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= sample_docs)
+              .select("lang", "h", "at"))
     rows = (known.join(F.broadcast(chosen), ["lang", "h"])  # at most both limits' product
             .groupBy("lang", "at").agg(F.min("sample").alias("sample")))
     samples: dict[str, list[str]] = {}
