@@ -3,7 +3,8 @@
 Per language, a suffix automaton of a bounded sample of labelled text recognises every substring of
 the sample. A text is parsed greedily against it: each phrase is the longest match that starts where
 the last phrase ended. The language that needs the fewest phrases per character wins (ties: the
-smaller name by code point); the score is 1 - fewest / second fewest.
+smaller name by code point); the score is 1 - fewest / second fewest. A text that needs many phrases
+even in its best language is in none of them: ``accepted`` rejects it.
 
 Text is lower-cased, letters that the samples lack become one sign, and each run of other characters
 becomes one space. The result is parsed in windows of ``WINDOW`` characters, so that numpy walks the
@@ -33,6 +34,9 @@ from faremill.llm import common
 
 WINDOW = 512
 SYMBOLS = 64  # padding, unknown letter, space, and the most common letters
+# Text of a learned language takes 0.1 to 0.45 phrases a character, random letters and other scripts
+# 0.7 to 1; a few phrases more are allowed, as short texts tell little.
+MAX_RATE, SPARE_PHRASES = 0.6, 8
 PAD, OTHER, SPACE = 0, 1, 2
 UNKNOWN = "und"
 
@@ -149,9 +153,9 @@ def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(samples)
 
 
-def classify(samples, texts: list[str]) -> list[tuple[str, float]]:
-    """(language, score) of texts that have a letter."""
-    out: list[tuple[str, float]] = []
+def classify(samples, texts: list[str]) -> list[tuple[str, float, int]]:
+    """(language, score, fewest phrases) of texts that have a letter."""
+    out: list[tuple[str, float, int]] = []
     if not samples or not texts:
         return out
     model = model_of(samples)
@@ -162,7 +166,7 @@ def classify(samples, texts: list[str]) -> list[tuple[str, float]]:
             for counts in model.phrases(texts[start:i + 1]).tolist():
                 order = sorted(range(len(counts)), key=lambda k: (counts[k], model.names[k]))
                 score = 1.0 if len(order) < 2 else 1 - counts[order[0]] / counts[order[1]]
-                out.append((model.names[order[0]], score))
+                out.append((model.names[order[0]], score, counts[order[0]]))
             size, start = 0, i + 1
     return out
 
@@ -206,7 +210,7 @@ def predict(df: DataFrame, samples, key: str = "doc_id", text: str = "text") ->
         usable = [t for t in texts if samples and has_letter(t)]
         found = iter(classify(samples, usable))
         for k, out, t in zip(keys, held, texts):
-            yield (k, out, *(next(found) if samples and has_letter(t) else (UNKNOWN, 0.0)))
+            yield (k, out, *(next(found)[:2] if samples and has_letter(t) else (UNKNOWN, 0.0)))
 
     kind = df.schema[key].dataType.simpleString()
     held = F.coalesce(remainder(key) == 2, F.lit(False))
@@ -221,14 +225,15 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return predict(df, learn(df, key, text, lang, **sample), key, text)
 
 
-def accepted(df: DataFrame, samples, text: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The rows of ``df`` whose text is in a learned language, with a score of ``min_score``."""
+def accepted(df: DataFrame, samples, text: str = "text", max_rate: float = MAX_RATE) -> DataFrame:
+    """The rows of ``df`` whose text is in a learned language: its best parse has at most
+    ``max_rate`` phrases a character, and SPARE_PHRASES more."""
     @F.pandas_udf("boolean")
     def good(texts):
         usable = [t for t in texts if samples and has_letter(t)]
-        found = iter(classify(samples, usable))
-        return texts.map(lambda t: bool(samples) and has_letter(t)
-                         and next(found)[1] >= min_score)
+        parsed = iter(phrases <= max_rate * len(folded(t)) + SPARE_PHRASES
+                      for t, (_, _, phrases) in zip(usable, classify(samples, usable)))
+        return texts.map(lambda t: bool(samples) and has_letter(t) and next(parsed))
 
     return common.bounded_batches(df).filter(good(F.col(text)))
 

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
-from text_rows import edge_docs, no_docs  # noqa: F401
+from text_rows import DOCS, edge_docs, no_docs  # noqa: F401
 from faremill.llm import bpe, common, language, line_crf, pii, toxicity, url_rules
 
 PLAIN = {  # the kinds' patterns as stated
@@ -213,6 +213,18 @@ def test_copies_do_not_fill_a_language_sample(spark):
     assert sorted(sample.split("\n")) == sorted(texts)
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs = common.documents(spark, SF)
+    samples = language.learn(docs)
+    rng = np.random.default_rng(3)
+    rows = [(1, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 3000)), None, "s", 1),
+            (2, "другой язык которого здесь нет " * 20, None, "s", 1), (3, "Xq zw!", None, "s", 1)]
+    odd = spark.createDataFrame(rows, DOCS)
+    assert [r.doc_id for r in language.accepted(odd, samples).collect()] == [3]
+    lettered = docs.filter(r"text rlike '\\p{L}'")
+    assert language.accepted(docs, samples).count() == lettered.count()
+
+
 def test_language_of_edge_rows(edge_docs, no_docs):
     got = {r.doc_id: r for r in language.identify(edge_docs).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (100, 101, 102, 106))
