@@ -45,7 +45,11 @@ class Ledger:
         spark, path = self.lake.spark, self._path(table)
         if not storage.exists(spark, path):
             return spark.createDataFrame([], _TABLES[table])
-        return spark.read.schema(_TABLES[table]).parquet(path)
+        return self._read(table, path)
+
+    def _read(self, table: str, path: str) -> DataFrame:
+        rows = self.lake.spark.read.schema(_TABLES[table]).parquet(path)
+        return rows.drop("batch")  # names the folders of check results
 
     @contextmanager
     def step(self, name: str, window: str = "all"):
@@ -69,13 +73,13 @@ class Ledger:
                                           utc_now(), _text({"rows": rows, **metadata})))
 
     def record(self, checks: DataFrame) -> DataFrame:
-        """Stores check rows and returns the stored rows, so checks are evaluated once."""
-        at = utc_now()
+        """Stores check rows and returns the stored rows, so checks are evaluated once. They have a
+        folder of their own: a gate reads no other rows, however long the ledger and its run are."""
+        folder = f"{self._path('check_results')}/batch={uuid.uuid4().hex}"
         (checks.select(F.lit(self.run_id).alias("run_id"), "*",
-                       moment(at).alias("recorded_at"))
-         .coalesce(1).write.mode("append").parquet(self._path("check_results")))
-        return self.table("check_results").filter(
-            (F.col("run_id") == self.run_id) & (F.col("recorded_at") == moment(at)))
+                       moment(utc_now()).alias("recorded_at"))
+         .coalesce(1).write.parquet(folder))
+        return self._read("check_results", folder)
 
 
 def latest(materializations: DataFrame, tie_break: str = "run_id") -> DataFrame:

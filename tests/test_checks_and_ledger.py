@@ -170,3 +170,12 @@ def test_checks_are_stored_and_alarms_list_what_failed(lake, spark):
     assert rows(report) == [
         ("run1", "2023-10", "step", "silver.load", "lost"),
         ("run1", "w", "check", "raw/taxi_trips:rows_landed_positive", '{"rows":"0"}')]
+
+
+def test_a_gate_reads_only_its_own_check_rows(lake, spark):
+    book = Ledger(lake)
+    first = book.record(checks.raw(profile(spark, "raw", rows=0)))
+    second = book.record(checks.raw(profile(spark, "raw", rows=5)))
+    assert not set(first.inputFiles()) & set(second.inputFiles())
+    assert first.columns == second.columns == book.table("check_results").columns
+    assert book.table("check_results").count() == first.count() + second.count()
