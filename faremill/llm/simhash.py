@@ -1,30 +1,42 @@
-"""SimHash near-duplicates by bit-sliced comparison.
+"""Near-duplicates: SimHash by bit-sliced comparison, and exact Jaccard similarity.
 
-A text's fingerprint has the bits that over half of its shingles' hashes have. Two fingerprints that
-differ in few bits are linked; a component is what links reach. There are two forms:
+* ``near_duplicates``: a text's fingerprint has the 64 bits that over half of its 3-word shingles'
+  hashes have. Two fingerprints that differ in up to two bits are linked; every link is found.
+* ``deduplicated``: two texts are linked if the sets of their 5-word shingles have a Jaccard
+  similarity of 0.8; every link is found, and no other is made.
 
-* ``near_duplicates``: 64 bits, 3-word shingles, links at up to two bits, every link found.
-* ``deduplicated``: 256 bits, 5-word shingles, links at an estimated Jaccard similarity of 0.8 (and
-  a standard error below it), found by 48 tables of 18 sampled bits. Two texts at 0.8 share a bucket
-  with a probability of 93 %, at 0.85 of 98 %, at 0.9 of over 99 %.
+A component is what links reach. The fingerprints:
 
 1. Distinct fingerprints only, each with its smallest id: groups of copies are one row from here on.
-2. Buckets. 64 bits: fingerprints within two bits agree on two of four bands of 16 bits, so each
-   goes into six buckets, one per pair of bands. A bucket of over ``BUCKET`` members is divided
-   again: its free bits are cut into three parts, of which two near fingerprints agree on one; so 32
-   agreed bits become about 43 and then 50, and the last buckets hold at most 2^14 fingerprints.
-   256 bits: one bucket per table; one of over ``BUCKET`` members is cut into blocks, and every two
-   blocks meet in a task of their own. Nothing is dropped in either form.
+2. Buckets. Fingerprints within two bits agree on two of four bands of 16 bits, so each goes into six
+   buckets, one per pair of bands. A bucket of over ``BUCKET`` members is divided again: its free bits
+   are cut into three parts, of which two near fingerprints agree on one; so 32 agreed bits become
+   about 43 and then 50, and the last buckets hold at most 2^14 fingerprints. Nothing is dropped.
 3. Inside a bucket the members' bits are stored as planes (bit p of every member in one long
    integer). For one member the planes are compared one by one; carry-save counters add up all
    distances at once, and a block is left as soon as every distance in it exceeds the radius.
    Buckets give a spanning forest of their links, never all pairs.
 4. Components of the forests' edges by alternating large and small stars, one stored table a round.
 
-Defined cases: null text and text without words have fingerprint zero, which links like any other;
-with fewer words than a shingle the whole sequence is the shingle; rows with a null id take part and
-get the smallest id of their component, null if it has none; repeated rows repeat their result; an
-empty table gives no rows; other columns are ignored (and kept by ``deduplicated``)."""
+The shingle sets (``jaccard_links``):
+
+1. Distinct sets of 64-bit shingle hashes only. All are brought into one order: by hash, but hashes
+   that many of a sample of the texts hold come last. The order decides the cost, not the result.
+2. Texts that share one of their first ``HUBS`` shingles are compared to the smallest of them, which
+   ties large groups of edited copies together without all their pairs.
+3. Two sets at similarity s share one of the first n - ceil(s n) + 1 shingles of each (n its size),
+   so a join of these finds all pairs; lists within one component of step 2 are left out, as are
+   pairs whose sizes or whose shared shingle's places rule the similarity out.
+4. Each pair is confirmed by its two whole sets. Components as above.
+
+``wide_links`` links fingerprints of 256 bits that share a table's sampled bits. It misses links and
+makes wrong ones, so the pipeline does not use it.
+
+Defined cases: null text and text without words have fingerprint zero, which links like any other,
+and an empty set, which links to empty sets only; with fewer words than a shingle the whole sequence
+is the shingle; rows with a null id take part and get the smallest id of their component, null if it
+has none; repeated rows repeat their result; an empty table gives no rows; other columns are ignored
+(and kept by ``deduplicated``)."""
 
 from __future__ import annotations
 
@@ -45,6 +57,8 @@ BUCKET = 4096
 BLOCK = 1024  # members compared at once
 ALL = (1 << BITS) - 1
 WIDE, TABLES, SAMPLED = 256, 48, 18
+HUBS = 4  # shingles of a text by which it meets the smallest text that has them too
+SAMPLE_TEXTS, OFTEN, MAX_OFTEN = 20_000, 8, 200_000  # texts that tell which shingles are frequent
 
 
 def shingle_hashes(text: str | None, words: int) -> list[int]:
@@ -349,13 +363,144 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
                         "component_id")
 
 
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
+def shingle_sets(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """Stored rows (key, text_hash, fp, row, shingles): fp names the set, row the row."""
+    def rows(keys, hashes, numbers, texts):
+        for k, h, n, t in zip(keys, hashes, numbers, texts):
+            raw = shingle_set(t, words).tobytes()
+            yield k, h, signed(xxhash.xxh3_64_intdigest(raw, SEED)), n, raw
+
+    kind = df.schema[key].dataType.simpleString()
+    body = F.col(text).cast("string")
+    return common.stored(common.map_texts(
+        df.select(F.col(key), F.xxhash64(body).alias("h"),
+                  F.monotonically_increasing_id().alias("number"), body), rows,
+        f"key {kind}, text_hash long, fp long, row long, shingles binary"), "shingle-sets")
+
+
+def frequent_shingles(sets: DataFrame, n_sets: int) -> np.ndarray:
+    """Sorted hashes that at least ``OFTEN`` of about ``SAMPLE_TEXTS`` texts hold."""
+    def exploded(batches):
+        for batch in batches:
+            members = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(members)], names=["h"])
+
+    share = F.shiftrightunsigned(F.xxhash64("fp"), 1) / F.lit(float(1 << 63))
+    some = sets.filter(share < SAMPLE_TEXTS / max(1, n_sets)).select("shingles")
+    found = (common.bounded_batches(some).mapInArrow(exploded, "h long").groupBy("h")
+             .agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
+             .orderBy(F.desc("n"), "h").limit(MAX_OFTEN).collect())
+    return np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
+
+
+def prefix_size(size: int, similarity: float) -> int:
+    """So many first members of a set that every set at the similarity holds one of them among its
+    own as many; a rounding error only makes it larger."""
+    return min(size, size - math.ceil(similarity * size - 1e-6) + 1)
+
+
+def prefixes(sets: DataFrame, frequent: np.ndarray, similarity: float, most: int | None = None
+             ) -> DataFrame:
+    """(h, fp, root, size, at) of the first members of sets (fp, root, shingles) in the order."""
+    def first(batches):
+        for batch in batches:
+            made, sizes = [], []
+            for raw in batch.column(2).to_pylist():
+                members = np.frombuffer(raw, np.uint64)
+                if len(frequent):
+                    spots = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
+                    late = frequent[spots] == members
+                    members = np.concatenate([members[~late], members[late]])
+                n = prefix_size(len(members), similarity)
+                made.append(members[:n if most is None else most][:n])
+                sizes.append(len(members))
+            if not made:
+                continue
+            lengths = [len(m) for m in made]
+            row = pa.array(np.repeat(np.arange(len(made)), lengths))
+            at = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(made).view(np.int64)), batch.column(0).take(row),
+                 batch.column(1).take(row), pa.array(sizes, pa.int32()).take(row), pa.array(at)],
+                names=["h", "fp", "root", "size", "at"])
+
+    return common.bounded_batches(sets.select("fp", "root", "shingles")).mapInArrow(
+        first, "h long, fp long, root long, size int, at int")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The stored pairs (a, b) whose sets have at least the Jaccard similarity."""
+    def check(batches):
+        for batch in batches:
+            good = []
+            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(),
+                                           batch.column(3).to_pylist())):
+                one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                if both / (len(one) + len(other) - both) >= similarity:
+                    good.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
+
+    pairs = common.stored(pairs, "shingle-pairs")
+    named = common.stored(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(),
+                          "shingle-paired")
+    used = sets.join(common.small_side(named), "fp", "left_semi")
+    rows = (pairs.join(used.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(used.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b")
+            .select("a", "b", "x", "y"))
+    return common.stored(common.bounded_batches(rows).mapInArrow(check, "a long, b long"),
+                         "shingle-links")
+
+
+def jaccard_links(sets: DataFrame, n_sets: int, similarity: float) -> DataFrame:
+    """Edges with the components of all links between the distinct sets (fp, shingles)."""
+    def shared(rows):
+        """The lists that more than one component is in."""
+        several = common.stored(
+            rows.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .filter("low < high").select("h", "low"), "shingle-shared")
+        return rows.join(several, "h")
+
+    frequent = frequent_shingles(sets, n_sets)
+    each = common.stored(prefixes(sets.withColumn("root", F.col("fp")), frequent, similarity, HUBS),
+                         "shingle-hubs")
+    near = confirmed(shared(each).filter("fp != low").select(F.col("low").alias("a"),
+                                                             F.col("fp").alias("b")).distinct(),
+                     sets, similarity)
+    roots = components(near)
+    tied = sets.join(roots, F.col("fp") == F.col("node"), "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    lists = common.stored(prefixes(tied, frequent, similarity), "shingle-prefixes")
+    met = common.stored(shared(lists).drop("low"), "shingle-lists")
+    one, other = met.alias("one"), met.alias("other")
+
+    def of(side, name):
+        return F.col(f"{side}.{name}")
+
+    sizes = of("one", "size") + of("other", "size")
+    left = F.least(of("one", "size") - of("one", "at"), of("other", "size") - of("other", "at"))
+    pairs = one.join(other, (of("one", "h") == of("other", "h"))
+                     & (of("one", "fp") < of("other", "fp"))
+                     & (of("one", "root") != of("other", "root"))
+                     & (left >= sizes * (similarity / (1 + similarity)) - 1e-3)).select(
+        of("one", "fp").alias("a"), of("other", "fp").alias("b")).distinct()
+    return near.unionAll(confirmed(pairs, sets, similarity))
+
+
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
-                 similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+                 similarity: float = 0.8) -> DataFrame:
     """One row of ``df`` for each component: the one with the smallest id (null last), then the
     smallest text hash; of rows equal in both, any one."""
-    radius = wide_radius(similarity)
-    found = grouped(fingerprints(df, key, text, words, WIDE),
-                    lambda nodes: wide_links(nodes, radius, bucket))
+    prints = shingle_sets(df, key, text, words)
+    ones = common.stored(prints.groupBy("fp").agg(F.min("row").alias("row")).select("row"),
+                         "shingle-rows")
+    sets = prints.join(common.small_side(ones), "row", "left_semi").select("fp", "shingles")
+    found = grouped(prints.select("key", "text_hash", "fp"),
+                    lambda nodes: jaccard_links(sets, ones.count(), similarity))
     first = found.groupBy("root").agg(F.min(F.struct(
         F.col("key").isNull().alias("none"), "key", "text_hash")).alias("kept"))
     kept = first.select(F.coalesce(F.col("kept.key").cast("string"), F.lit("null")).alias("name"),

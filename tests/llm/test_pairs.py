@@ -192,3 +192,50 @@ def test_stages_of_the_pipeline(spark, edge_docs):
 def test_pipeline_over_the_tables(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert len(rows) > 150 and {"doc_id", "n_tokens", "ids"} == set(rows[0].__fields__)
+
+
+def plain_shingles(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return frozenset(" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words \
+        else frozenset()
+
+
+def plain_kept(rows, similarity=0.8):
+    """Smallest id of each component of the pairs at the Jaccard similarity, by all pairs that share
+    a shingle."""
+    sets = sorted({plain_shingles(t) for _, t in rows}, key=lambda s: (len(s), sorted(s)))
+    parent, holders = list(range(len(sets))), {}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for j, own in enumerate(sets):
+        counts = {}
+        for shingle in own:
+            for i in holders.get(shingle, ()):
+                counts[i] = counts.get(i, 0) + 1
+            holders.setdefault(shingle, []).append(j)
+        for i, both in counts.items():
+            if both / (len(own) + len(sets[i]) - both) >= similarity:
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    place, low = {s: i for i, s in enumerate(sets)}, {}
+    for k, t in rows:
+        r = root(place[plain_shingles(t)])
+        low[r] = min(low.get(r, k), k)
+    return sorted(low.values())
+
+
+def test_a_repeated_line_does_not_make_duplicates(spark):
+    """Texts of different words that share one line 30 times are no near-duplicates."""
+    rows = []
+    for k in range(12):
+        words = [f"w{k}x{i}" for i in range(200)]
+        line = " all rights reserved by the owner of this page "
+        rows.append((k, line.join(" ".join(words[i:i + 7]) for i in range(0, 200, 7)) + line * 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.deduplicated(docs).collect()) == plain_kept(rows) \
+        == list(range(12))
