@@ -239,3 +239,34 @@ def test_a_repeated_line_does_not_make_duplicates(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.deduplicated(docs).collect()) == plain_kept(rows) \
         == list(range(12))
+
+
+def test_near_duplicates_against_brute_force(spark):
+    """The table's documents, and 60 built pairs just above and just below the similarity."""
+    docs = common.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    draw = random.Random(12)
+    for k in range(60):
+        words = [f"p{k}w{i}" for i in range(400)]
+        other = words.copy()
+        for at in draw.sample(range(5, 390, 6), 8 + k % 2):  # each changes 5 of 396 shingles
+            other[at] = f"p{k}changed{at}"
+        rows += [(10_000 + 2 * k, " ".join(words)), (10_001 + 2 * k, " ".join(other))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in simhash.deduplicated(table).collect())
+    assert got == plain_kept(rows)
+    built = [k for k in got if k >= 10_000]
+    assert len(built) == 30 + 30 * 2  # similarities of 356/436 = 0.817 and 351/441 = 0.796
+
+
+def test_prefixes_of_similar_sets_meet():
+    draw = random.Random(13)
+    for _ in range(300):
+        n = draw.randint(1, 120)
+        both = draw.sample(range(10_000), n)
+        spare = int(n / 0.8 + 1e-9) - n
+        cut = draw.randint(0, spare)
+        one = sorted(both + list(range(20_000, 20_000 + cut)))
+        other = sorted(both + list(range(-1, cut - spare - 1, -1)))
+        a, b = (set(x[:simhash.prefix_size(len(x), 0.8)]) for x in (one, other))
+        assert a & b
