@@ -9,8 +9,9 @@ decides takes the verdict of its most confident matching rule (ties: more pages,
 
 Matching uses an inverted index: each rule is listed under its rarest token only, so a very common
 token (``https``, ``com``) opens no list, and the listed rules are tested against the page's tokens.
-The rule table is bounded by ``max_rules``; what is cut are the least confident, rarest rules of the
-model, never pages.
+Redundant rules are dropped by Spark, level by level of their size, before anything is collected, and
+no other rule is dropped. Up to ``max_rules`` rules are sent to the tasks; more are matched by the
+same index as a join, with the same verdicts.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no token, no rule and
 verdict allow; repeated rows repeat their verdict; without labelled pages no rule is mined; an empty
@@ -18,6 +19,8 @@ table gives no rows; other columns are ignored."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faremill.llm import common
@@ -71,28 +74,55 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8,
-         max_rules: int = 2000) -> list[tuple[tuple[str, ...], str, float, float]]:
-    """(tokens, verdict, confidence, support) from (tokens, verdict) rows, best first."""
+def mined_rules(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8) -> DataFrame:
+    """Stored rules (tokens, verdict, confidence, support) from (tokens, verdict) rows, without those
+    of which fewer tokens give the same verdict with no less confidence."""
     from pyspark.ml.fpm import FPGrowth
 
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(MARK), "verdict")))
-                              .alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    marked = F.col("consequent")[0].startswith(MARK)
-    clean = ~F.exists("antecedent", lambda t: t.startswith(MARK))
-    best = (model.associationRules.filter(marked & clean)
-            .select(F.array_sort("antecedent").alias("tokens"),
-                    F.substring(F.col("consequent")[0], len(MARK) + 1, 100).alias("verdict"),
-                    "confidence", "support")
-            .orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), "tokens")
-            .limit(max_rules).collect())
-    kept: list = []
-    for row in sorted(best, key=lambda r: len(r.tokens)):
-        if not any(verdict == row.verdict and sure >= row.confidence and set(tokens) <= set(row.tokens)
-                   for tokens, verdict, sure, _ in kept):
-            kept.append((tuple(row.tokens), row.verdict, row.confidence, row.support))
-    return sorted(kept, key=lambda r: (-r[2], -r[3], r[1], r[0]))
+    baskets = common.stored(labelled.select(F.concat(
+        "tokens", F.array(F.concat(F.lit(MARK), "verdict"))).alias("items")), "url-baskets")
+    n_pages = max(1, baskets.count())
+    model = FPGrowth(itemsCol="items", minSupport=support).fit(baskets)
+    # the marks are not tokens, which all start with another prefix
+    marks = F.filter("items", lambda t: t.startswith(MARK))
+    tokens = F.array_sort(F.filter("items", lambda t: ~t.startswith(MARK)))
+    found = common.stored(model.freqItemsets.select(
+        tokens.alias("tokens"), F.substring(F.get(marks, F.lit(0)), len(MARK) + 1, 100).alias("verdict"), "freq")
+        .filter(F.size("tokens") > 0), "url-itemsets")
+    pages = found.filter("verdict is null").select("tokens", F.col("freq").alias("pages"))
+    sure = common.stored(found.filter("verdict is not null").join(pages, "tokens").select(
+        "tokens", "verdict", (F.col("freq") / F.col("pages")).alias("confidence"),
+        (F.col("freq") / F.lit(n_pages)).alias("support"), F.size("tokens").alias("size")),
+        "url-rules")
+    # every subset of a frequent itemset is one, so the sizes follow without a gap
+    longest = sure.agg(F.max("size")).first()[0] or 0
+    levels = [common.stored(sure.filter("size = 1").withColumn("below", F.lit(0.0)), "url-level")]
+    for size in range(2, longest + 1):
+        own = sure.filter(F.col("size") == size)
+        fewer = own.select("tokens", "verdict", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(size - 1)),
+            lambda i: F.filter("tokens", lambda t, j: j != i))).alias("part"))
+        before = levels[-1].select(F.col("tokens").alias("part"), "verdict",
+                                   F.greatest("confidence", "below").alias("best"))
+        best = (fewer.join(before, ["part", "verdict"]).groupBy("tokens", "verdict")
+                .agg(F.max("best").alias("below")))
+        levels.append(common.stored(own.join(best, ["tokens", "verdict"]).select(
+            *levels[0].columns), "url-level"))
+    return common.stored(reduce(DataFrame.unionAll, levels).filter(
+        (F.col("confidence") >= confidence) & (F.col("below") < F.col("confidence")))
+        .select("tokens", "verdict", "confidence", "support"), "url-kept")
+
+
+def ranked(rules: DataFrame) -> list[tuple[tuple[str, ...], str, float, float]]:
+    """(tokens, verdict, confidence, support), best first."""
+    return sorted(((tuple(r.tokens), r.verdict, r.confidence, r.support) for r in rules.collect()),
+                  key=lambda r: (-r[2], -r[3], r[1], r[0]))
+
+
+def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8
+         ) -> list[tuple[tuple[str, ...], str, float, float]]:
+    """All rules from (tokens, verdict) rows, best first."""
+    return ranked(mined_rules(labelled, support, confidence))
 
 
 def inverted(rules) -> dict[str, list[tuple[int, frozenset, str]]]:
@@ -115,23 +145,43 @@ def best_match(index, tokens) -> str:
     return min(hits)[1] if hits else "allow"
 
 
+def matched(tokens: DataFrame, rules: DataFrame) -> DataFrame:
+    """(tokens, mined) of the distinct token lists that a rule fits, by a join on its rarest token."""
+    parts = rules.withColumn("t", F.explode("tokens"))
+    weights = parts.groupBy("t").agg(F.max("support").alias("weight"))
+    listed = (parts.join(weights, "t").groupBy(F.col("tokens").alias("needed"), "verdict",
+                                               "confidence", "support")
+              .agg(F.min(F.struct("weight", "t"))["t"].alias("t")))
+    place = F.struct(-F.col("confidence"), -F.col("support"), "verdict", "needed")
+    return (tokens.distinct().withColumn("t", F.explode("tokens")).join(listed, "t")
+            .filter(F.size(F.array_except("needed", "tokens")) == 0)
+            .groupBy("tokens").agg(F.min(place)["verdict"].alias("mined")))
+
+
 def judge(df: DataFrame, key: str = "page_id", url: str = "url", rules=RULES,
-          **mining) -> DataFrame:
+          max_rules: int = 2000, **mining) -> DataFrame:
     """(key, host, path, rule, verdict) for every row of ``df``."""
     address = F.col(url).cast("string")
     parts = df.select(F.col(key), host_of(address).alias("host"), path_of(address).alias("path"),
                       address.alias("address"))
     decided = parts.withColumn("given", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
         "tokens", tokens_of(F.col("address"), F.col("host"), F.col("path")))
-    index = inverted(mine(decided.filter("given is not null")
-                          .select("tokens", F.col("given.verdict").alias("verdict")), **mining))
-
-    @F.pandas_udf("string")
-    def mined(tokens):
-        return tokens.map(lambda have: best_match(index, have))
-
-    return decided.select(key, "host", "path", F.col("given.rule").alias("rule"),
-                          F.coalesce("given.verdict", mined("tokens")).alias("verdict"))
+    found = mined_rules(decided.filter("given is not null")
+                        .select("tokens", F.col("given.verdict").alias("verdict")), **mining)
+    if found.count() > max_rules:
+        fits = matched(decided.filter("given is null").select("tokens"), found)
+        judged = decided.join(fits, "tokens", "left").withColumn(
+            "open", F.coalesce("mined", F.lit("allow")))
+    else:
+        index = inverted(ranked(found))
+
+        @F.pandas_udf("string")
+        def mined(tokens):
+            return tokens.map(lambda have: best_match(index, have))
+
+        judged = decided.withColumn("open", mined("tokens"))
+    return judged.select(key, "host", "path", F.col("given.rule").alias("rule"),
+                         F.coalesce("given.verdict", "open").alias("verdict"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

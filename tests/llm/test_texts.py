@@ -348,3 +348,20 @@ def test_mined_rules_against_all_itemsets(spark):
 def test_registered_queries_return_every_row(spark):
     assert entry.queries()["op9_pii"](spark, SF).count() == 200
     assert entry.queries()["op7_url_filters"](spark, SF).count() == 50
+
+
+def test_common_tokens_do_not_crowd_out_rules(spark):
+    """Eleven tokens of every allowed page make 2,047 rules, none of which may cost the other verdict
+    its rule; matching by a join gives the same verdicts."""
+    deep = "/".join("abcdef")
+    urls = [f"https://www.example.com/en/{deep}" for _ in range(80)]
+    urls += [f"http://x.net/es/kind?p{i % 4}" for i in range(4)]
+    asked = ["ftp://q.org/5/kind", f"ftp://q.org/{deep}", "ftp://q.org/no"]
+    pages = spark.createDataFrame(list(enumerate(urls + asked)), "page_id long, url string")
+    for most in (2000, 0):
+        got = {r.page_id: r.verdict for r in url_rules.judge(pages, max_rules=most).collect()}
+        assert len(got) == 87 and [got[i] for i in (84, 85, 86)] == ["block", "allow", "allow"]
+    decided = [([f"path={x}" for x in "abcdefgh"] + ["scheme=https", "host=net", "host=x"],
+                "allow")] * 80 + [(["path=kind"], "block")] * 4
+    got = url_rules.mine(spark.createDataFrame(decided, "tokens array<string>, verdict string"))
+    assert {(t, v) for t, v, _, _ in got} == {((t,), v) for ts, v in decided for t in ts}
