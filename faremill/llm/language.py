@@ -6,8 +6,8 @@ the last phrase ended. The language that needs the fewest phrases per character
 smaller name by code point); the score is 1 - fewest / second fewest. A text that needs many phrases
 even in its best language is in none of them: ``accepted`` rejects it.
 
-Text is lower-cased, letters that the samples lack become one sign, and each run of other characters
-becomes one space. The result is parsed in windows of ``WINDOW`` characters, so that numpy walks the
+Text is lower-cased and each run of other characters than letters becomes one space. Every letter of
+the samples is a symbol of its own; one that a language's sample lacks never continues a phrase there. The result is parsed in windows of ``WINDOW`` characters, so that numpy walks the
 automata over all windows of a batch in step; a phrase ends at its window's end. Every character is
 parsed.
 
@@ -24,7 +24,6 @@ columns are ignored. The number of languages is bounded by ``max_languages``, mo
 from __future__ import annotations
 
 import math
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +32,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from faremill.llm import common
 
 WINDOW = 512
-SYMBOLS = 64  # padding, unknown letter, space, and the most common letters
+# A language's most common letters have columns in its table, as many as memory allows; its other
+# letters are looked up in sorted steps, which is slower and takes less memory.
+COLUMNS, TABLE_BYTES = 64, 128 << 20
 # Text of a learned language takes 0.1 to 0.45 phrases a character, random letters and other scripts
 # 0.7 to 1; a few phrases more are allowed, as short texts tell little.
 MAX_RATE, SPARE_PHRASES = 0.6, 8
@@ -90,61 +91,97 @@ def automaton(symbols) -> list[dict[int, int]]:
     return step
 
 
-class Model:
-    """Alphabet and the automata of all languages in one table.
+class Table:
+    """The automaton of one language over the codes of the letters.
+
+    A cell is twice the next state's row start, plus 1 if the step ends a phrase: the symbol does not
+    continue the match, so a new phrase starts with it. Columns are padding, letters that the sample
+    lacks, space, common letters, and last the rare letters, whose steps are in ``keys``."""
+
+    def __init__(self, sample: np.ndarray, steps: list[dict[int, int]], symbols: int, columns: int):
+        found, counts = np.unique(sample[sample > SPACE], return_counts=True)
+        letters = found[np.lexsort((found, -counts))]
+        common = letters[:columns - 4]
+        self.width = width = 4 + len(common)
+        self.rare = width - 1
+        self.symbols = symbols
+        self.column = np.full(symbols, OTHER, np.uint8)
+        self.column[[PAD, SPACE]] = PAD, SPACE
+        self.column[letters] = self.rare
+        self.column[common] = 3 + np.arange(len(common))
+        lost = len(steps)  # after a letter that the sample lacks: a phrase of its own
+        start = np.full(symbols, lost, np.int64)
+        for c, to in steps[0].items():
+            start[c] = to
+        self.start = start * width << 1 | 1
+        cells = np.empty((lost + 1, width), np.int32)
+        cells[:] = self.start[OTHER]
+        cells[:, SPACE] = self.start[SPACE]
+        cells[:, 3:self.rare] = self.start[common]
+        cells[0] &= ~1  # only a window's first symbol leaves the start state
+        rare = []
+        for state, moves in enumerate(steps):
+            for c, to in moves.items():
+                at = self.column[c]
+                if at == self.rare:
+                    rare.append((state * symbols + c, (to * width) << 1))
+                else:
+                    cells[state, at] = (to * width) << 1
+        cells[:, PAD] = np.arange(lost + 1) * width << 1
+        self.cells = cells.ravel()
+        rare.sort()
+        self.keys = np.array([k for k, _ in rare], np.int64)
+        self.steps = np.array([to for _, to in rare], np.int32)
+
+    def phrases(self, codes: np.ndarray) -> np.ndarray:
+        """Phrases of windows whose codes are the columns."""
+        state = np.zeros(codes.shape[1], np.int32)
+        ended = np.ones(codes.shape[1], np.int32)  # the phrase that the window's end ends
+        for code in codes:
+            column = self.column.take(code)
+            moved = self.cells.take(state + column)
+            if len(self.keys):
+                at = np.flatnonzero(column == self.rare)
+                if len(at):
+                    key = state[at].astype(np.int64) // self.width * self.symbols + code[at]
+                    spot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                    moved[at] = np.where(self.keys[spot] == key, self.steps[spot],
+                                         self.start[code[at]])
+            ended += moved & 1
+            state = moved >> 1
+        return ended
+
 
-    An entry is twice the next state's row start, plus 1 if the step ends a phrase: the symbol does
-    not continue the match, so a new phrase starts with it."""
+class Model:
+    """Codes of the letters of all samples, and a table for each language."""
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.names = [name for name, _ in samples]
         texts = [folded(sample) for _, sample in samples]
-        counts: Counter = Counter()
-        for text in texts:
-            counts.update(text[text != 32].tolist())
-        common_letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
-        self.codes = np.full(0x110000, OTHER, np.uint8)
+        letters = np.setdiff1d(np.concatenate(texts), [32]) if texts else np.empty(0, np.uint32)
+        self.codes = np.full(0x110000, OTHER, np.int32)
         self.codes[32] = SPACE
-        for i, c in enumerate(common_letters[:SYMBOLS - 3]):
-            self.codes[c] = 3 + i
-        tables, starts, rows = [], [], 0
+        self.codes[letters] = 3 + np.arange(len(letters))
+        states = 2 * sum(map(len, texts)) + 1
+        columns = max(4, min(COLUMNS, TABLE_BYTES // (4 * states)))
+        self.tables = []
         for text in texts:
-            steps = automaton(self.codes[text].tolist())
-            steps.append({})  # after a symbol that the sample lacks: a phrase of its own
-            start = [steps[0].get(c, len(steps) - 1) for c in range(SYMBOLS)]
-            table = np.empty((len(steps), SYMBOLS), np.int32)
-            table[:] = [((rows + to) * SYMBOLS) << 1 | 1 for to in start]
-            table[0] &= ~1  # only a window's first symbol leaves the start state
-            for state, moves in enumerate(steps):
-                for c, to in moves.items():
-                    table[state, c] = ((rows + to) * SYMBOLS) << 1
-            table[:, PAD] = ((rows + np.arange(len(steps))) * SYMBOLS) << 1
-            tables.append(table)
-            starts.append(rows * SYMBOLS)
-            rows += len(steps)
-        self.table = np.concatenate(tables).ravel()
-        self.starts = np.array(starts, np.int32)
+            coded = self.codes[text]
+            self.tables.append(Table(coded, automaton(coded.tolist()), 3 + len(letters), columns))
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text against each language: (texts, languages)."""
         coded = [self.codes[folded(t)] for t in texts]
         windows = np.array([max(1, math.ceil(len(c) / WINDOW)) for c in coded])
-        padded = np.full((windows.sum(), WINDOW), PAD, np.uint8)
+        padded = np.full((windows.sum(), WINDOW), PAD, np.int32)
         first = np.concatenate([[0], np.cumsum(windows)])
         flat = padded.ravel()
         for c, at in zip(coded, first):
             flat[at * WINDOW:at * WINDOW + len(c)] = c
         columns = np.ascontiguousarray(padded.T)
-        made = np.empty((len(padded), len(self.starts)), np.int32)
-        for language, start in enumerate(self.starts):
-            state = np.full(len(padded), start, np.int32)
-            ended = np.ones(len(padded), np.int32)  # the phrase that the window's end ends
-            for column in columns:
-                state += column
-                moved = self.table.take(state)
-                ended += moved & 1
-                state = moved >> 1
-            made[:, language] = ended
+        made = np.empty((len(padded), len(self.tables)), np.int32)
+        for language, table in enumerate(self.tables):
+            made[:, language] = table.phrases(columns)
         return np.add.reduceat(made, first[:-1], axis=0)
 
 

@@ -365,3 +365,24 @@ def test_common_tokens_do_not_crowd_out_rules(spark):
                 "allow")] * 80 + [(["path=kind"], "block")] * 4
     got = url_rules.mine(spark.createDataFrame(decided, "tokens array<string>, verdict string"))
     assert {(t, v) for t, v, _, _ in got} == {((t,), v) for ts, v in decided for t in ts}
+
+
+def test_every_letter_of_the_samples_counts(spark, monkeypatch):
+    """A language of thousands of letters does not take texts of other scripts."""
+    rng = np.random.default_rng(4)
+    share = 1 / np.arange(1, 3001)
+    words = ["".join(map(chr, 0x4E00 + rng.choice(3000, 2, p=share / share.sum())))
+             for _ in range(3000)]
+    han = [" ".join(rng.choice(words, 300)) for _ in range(40)]
+    samples = (("en", "the river stone over light house " * 300), ("han", " ".join(han[:30])[:24_000]))
+    other = ["".join(map(chr, first + rng.integers(0, 40, 400)))
+             for first in (0x0E01, 0x0430, 0xAC00) for _ in range(3)]
+    rows = [(k, t, None, "s", 1) for k, t in enumerate(han[30:] + other)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert sorted(r.doc_id for r in language.accepted(docs, samples).collect()) == list(range(10))
+    for most in (language.TABLE_BYTES, 0):  # letters in columns, and all letters in sorted steps
+        monkeypatch.setattr(language, "TABLE_BYTES", most)
+        model = language.Model(samples)
+        for text in [*han[30:32], *other[::3], "the stone " + han[31]]:
+            want = [plain_phrases(model, text, i, s) for i, (_, s) in enumerate(samples)]
+            assert model.phrases([text])[0].tolist() == want
