@@ -19,7 +19,8 @@ driver and the tasks. Hashes are made distinct before they are ranked, so no tex
 Defined cases: null text or text without a letter is ``und`` with score 0, as is every text if there
 is nothing to learn from; with one learned language the score is 1; a row with null id is neither
 learned from nor held out; repeated rows repeat their result; an empty table gives no rows; other
-columns are ignored. The number of languages is bounded by ``max_languages``, most rows first."""
+columns are ignored. Every language is learned, and its sample does not depend on how many others
+there are; the more there are, the fewer letters have columns."""
 
 from __future__ import annotations
 
@@ -213,31 +214,27 @@ def remainder(key):
 
 
 def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-          sample_docs: int = 200, sample_chars: int = 24_000, max_languages: int = 64
-          ) -> tuple[tuple[str, str], ...]:
-    """(language, sample) by name; the sample sizes are shared if languages are many."""
+          sample_docs: int = 200, sample_chars: int = 24_000) -> tuple[tuple[str, str], ...]:
+    """(language, sample) of every language, by name."""
     known = df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")
                       & (remainder(key) != 2))
     known = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"),
                          F.substring(F.col(text), 1, 1000).alias("sample"))
-    texts = common.stored(known.groupBy("lang", "h").agg(F.count("*").alias("copies")),
-                          "language-texts")
-    top = (texts.groupBy("lang").agg(F.sum("copies").alias("docs"), F.count("*").alias("texts"))
-           .orderBy(F.desc("docs"), "lang").limit(max_languages))
+    texts = common.stored(known.select("lang", "h").distinct(), "language-texts")
+    sizes = common.stored(texts.groupBy("lang").agg(F.count("*").alias("texts")), "language-sizes")
     # hashes are uniform, so those below twice the wanted share hold the smallest, and few others
     place = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))
     best = Window.partitionBy("lang").orderBy("place", "h")
-    chosen = (texts.withColumn("place", place).join(F.broadcast(top), "lang")
+    chosen = common.stored(texts.withColumn("place", place).join(common.small_side(sizes), "lang")
               .filter(F.col("place") < 2.0 * sample_docs / F.col("texts"))
               .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= sample_docs)
-              .select("lang", "h", "at"))
-    rows = (known.join(F.broadcast(chosen), ["lang", "h"])  # at most both limits' product
+              .select("lang", "h", "at"), "language-chosen")
+    rows = (known.join(common.small_side(chosen), ["lang", "h"])
             .groupBy("lang", "at").agg(F.min("sample").alias("sample")))
     samples: dict[str, list[str]] = {}
     for row in rows.orderBy("lang", "at").collect():
         samples.setdefault(row.lang, []).append(row["sample"])
-    each = min(sample_chars, 4 * sample_chars // max(1, len(samples)))
-    return tuple((name, "\n".join(dict.fromkeys(texts))[:each])
+    return tuple((name, "\n".join(dict.fromkeys(texts))[:sample_chars])
                  for name, texts in sorted(samples.items()))
 
 

@@ -386,3 +386,18 @@ def test_every_letter_of_the_samples_counts(spark, monkeypatch):
         for text in [*han[30:32], *other[::3], "the stone " + han[31]]:
             want = [plain_phrases(model, text, i, s) for i, (_, s) in enumerate(samples)]
             assert model.phrases([text])[0].tolist() == want
+
+
+def test_every_label_is_learned_whatever_the_others(spark):
+    draw, rows = random.Random(6), []
+    for k in range(70):
+        words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40)]
+        rows += [(len(rows) + i, " ".join(draw.choice(words) for _ in range(300)), f"l{k:02}", "s", 1)
+                 for i in range(8)]
+    docs = spark.createDataFrame(rows, DOCS)
+    samples = dict(language.learn(docs))
+    assert len(samples) == 70
+    few = dict(language.learn(docs.filter("lang < 'l03'")))
+    assert all(samples[k] == few[k] for k in ("l00", "l01", "l02"))
+    got = language.identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.filter("lang != lang_pred").count() == 0
