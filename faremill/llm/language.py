@@ -12,9 +12,10 @@ automata over all windows of a batch in step; a phrase ends at its window's end.
 parsed.
 
 Learning takes rows with a remainder other than 2 of crc32(id) mod 4 and a language. Per language,
-those texts with the smallest hashes are taken up to ``sample_docs``, a text with many copies once,
-and their first characters up to ``sample_chars`` in all; these bounds are all that reaches the
-driver and the tasks. Hashes are made distinct before they are ranked, so no text is shuffled.
+those texts with the smallest hashes are taken up to ``sample_docs``, a text with many copies once.
+Each gives an equal share of ``sample_chars``, from a place in the whole text that its hash draws, or
+the whole text if that is shorter. These bounds per language are all that reaches the driver and the
+tasks. Hashes are made distinct before they are ranked, so no text is shuffled whole.
 
 Defined cases: null text or text without a letter is ``und`` with score 0, as is every text if there
 is nothing to learn from; with one learned language the score is 1; a row with null id is neither
@@ -219,7 +220,7 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     known = df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")
                       & (remainder(key) != 2))
     known = known.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"),
-                         F.substring(F.col(text), 1, 1000).alias("sample"))
+                         F.col(text).alias("body"))
     texts = common.stored(known.select("lang", "h").distinct(), "language-texts")
     sizes = common.stored(texts.groupBy("lang").agg(F.count("*").alias("texts")), "language-sizes")
     # hashes are uniform, so those below twice the wanted share hold the smallest, and few others
@@ -228,8 +229,13 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     chosen = common.stored(texts.withColumn("place", place).join(common.small_side(sizes), "lang")
               .filter(F.col("place") < 2.0 * sample_docs / F.col("texts"))
               .withColumn("at", F.row_number().over(best)).filter(F.col("at") <= sample_docs)
-              .select("lang", "h", "at"), "language-chosen")
+              .select("lang", "h", "at", F.floor(sample_chars / F.least("texts", F.lit(sample_docs)))
+                      .cast("int").alias("share")), "language-chosen")
+    places = F.greatest(F.length("body") - F.col("share") + 1, F.lit(1))
+    piece = F.substring(F.col("body"), (F.pmod(F.xxhash64("h"), places) + 1).cast("int"),
+                        F.col("share"))
     rows = (known.join(common.small_side(chosen), ["lang", "h"])
+            .select("lang", "at", piece.alias("sample"))
             .groupBy("lang", "at").agg(F.min("sample").alias("sample")))
     samples: dict[str, list[str]] = {}
     for row in rows.orderBy("lang", "at").collect():

@@ -401,3 +401,18 @@ def test_every_label_is_learned_whatever_the_others(spark):
     assert all(samples[k] == few[k] for k in ("l00", "l01", "l02"))
     got = language.identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")
     assert got.filter("lang != lang_pred").count() == 0
+
+
+def test_pieces_of_all_sampled_texts_make_the_sample(spark):
+    """Shared openings of long texts do not fill a sample."""
+    draw = random.Random(7)
+    opening = "licensed under the terms stated here " * 40
+    rows = [(k, opening + " ".join(f"k{chr(97 + k % 26)}{chr(97 + k // 26)}" for _ in range(2000)),
+             "en", "s", 1) for k in range(120)]
+    docs = spark.createDataFrame(draw.sample(rows, len(rows)), DOCS)
+    (_, sample), = language.learn(docs)
+    kinds = {w for w in sample.split() if re.fullmatch("k[a-z]{2}", w)}
+    known = docs.filter(language.remainder("doc_id") != 2).count()
+    assert len(kinds) >= 0.6 * known  # the opening is a sixth of each text
+    assert sample.count("licensed") * len("licensed under the terms stated here ") <= 0.25 * len(sample)
+    assert 0.9 * 24_000 <= len(sample) <= 24_000
