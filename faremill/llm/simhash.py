@@ -18,15 +18,17 @@ A component is what links reach. The fingerprints:
    Buckets give a spanning forest of their links, never all pairs.
 4. Components of the forests' edges by alternating large and small stars, one stored table a round.
 
-The shingle sets (``jaccard_links``):
-
-1. Distinct sets of 64-bit shingle hashes only. All are brought into one order: by hash, but hashes
-   that many of a sample of the texts hold come last. The order decides the cost, not the result.
-2. Texts that share one of their first ``HUBS`` shingles are compared to the smallest of them, which
-   ties large groups of edited copies together without all their pairs.
-3. Two sets at similarity s share one of the first n - ceil(s n) + 1 shingles of each (n its size),
-   so a join of these finds all pairs; lists within one component of step 2 are left out, as are
-   pairs whose sizes or whose shared shingle's places rule the similarity out.
+The shingle sets (``jaccard_links``), which are made again from the texts where they are needed, as
+they take more room than these:
+
+1. One text for each set of 64-bit shingle hashes. All sets are brought into one order: by hash, but
+   hashes that many of a sample of the texts hold come last. The order decides the cost, not the
+   result.
+2. Texts that share two of their ``HUBS`` smallest hashes with the smallest text that has these are
+   compared to it, which ties large groups of edited copies together without all their pairs.
+3. Two sets at similarity s share l of the first n - ceil(s n) + l shingles of each (n its size; l
+   grows with it, and is the smaller one's), so a join of these finds all pairs; lists within one
+   component of step 2 are left out, and pairs that share fewer.
 4. Each pair is confirmed by its two whole sets. Components as above.
 
 ``wide_links`` links fingerprints of 256 bits that share a table's sampled bits. It misses links and
@@ -367,147 +369,151 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, words), np.uint64))
 
 
-def shingle_sets(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Stored rows (key, text_hash, fp, row, shingles): fp names the set, row the row."""
-    def rows(keys, hashes, numbers, texts):
-        for k, h, n, t in zip(keys, hashes, numbers, texts):
-            raw = shingle_set(t, words).tobytes()
-            yield k, h, signed(xxhash.xxh3_64_intdigest(raw, SEED)), n, raw
+def named_sets(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """Stored rows (key, text_hash, fp, size, hubs): fp names the set, hubs are its first hashes."""
+    def rows(keys, hashes, texts):
+        for k, h, t in zip(keys, hashes, texts):
+            members = shingle_set(t, words)
+            yield (k, h, signed(xxhash.xxh3_64_intdigest(members.tobytes(), SEED)), len(members),
+                   members[:HUBS].view(np.int64).tolist())
 
     kind = df.schema[key].dataType.simpleString()
     body = F.col(text).cast("string")
     return common.stored(common.map_texts(
-        df.select(F.col(key), F.xxhash64(body).alias("h"),
-                  F.monotonically_increasing_id().alias("number"), body), rows,
-        f"key {kind}, text_hash long, fp long, row long, shingles binary"), "shingle-sets")
+        df.select(F.col(key), F.xxhash64(body).alias("h"), body), rows,
+        f"key {kind}, text_hash long, fp long, size int, hubs array<long>"), "shingle-sets")
 
 
-def frequent_shingles(sets: DataFrame, n_sets: int) -> np.ndarray:
+def frequent_shingles(texts: DataFrame, words: int, n_sets: int) -> np.ndarray:
     """Sorted hashes that at least ``OFTEN`` of about ``SAMPLE_TEXTS`` texts hold."""
     def exploded(batches):
         for batch in batches:
-            members = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(members)], names=["h"])
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingle_set(text, words).view(np.int64))], names=["h"])
 
     share = F.shiftrightunsigned(F.xxhash64("fp"), 1) / F.lit(float(1 << 63))
-    some = sets.filter(share < SAMPLE_TEXTS / max(1, n_sets)).select("shingles")
+    some = texts.filter(share < SAMPLE_TEXTS / max(1, n_sets)).select("body")
     found = (common.bounded_batches(some).mapInArrow(exploded, "h long").groupBy("h")
              .agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
              .orderBy(F.desc("n"), "h").limit(MAX_OFTEN).collect())
     return np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
 
 
+def least_shared(size: int) -> int:
+    return 4 + size // 50
+
+
 def prefix_size(size: int, similarity: float) -> int:
-    """So many first members of a set that every set at the similarity holds one of them among its
-    own as many; a rounding error only makes it larger."""
-    return min(size, size - math.ceil(similarity * size - 1e-6) + 1)
+    """So many first members of a set that every set at the similarity shares ``least_shared`` of them
+    (or all it shares) within its own as many; a rounding error only makes it larger."""
+    return min(size, size - math.ceil(similarity * size - 1e-6) + least_shared(size))
 
 
-def prefixes(sets: DataFrame, frequent: np.ndarray, similarity: float, most: int | None = None
-             ) -> DataFrame:
-    """(h, fp, root, size, at) of the first members of sets (fp, root, shingles) in the order."""
+def prefixes(texts: DataFrame, words: int, frequent: np.ndarray, similarity: float) -> DataFrame:
+    """(h, fp, root) of the first members of the sets of texts (fp, root, body)."""
     def first(batches):
         for batch in batches:
-            made, sizes = [], []
-            for raw in batch.column(2).to_pylist():
-                members = np.frombuffer(raw, np.uint64)
+            made = []
+            for text in batch.column(2).to_pylist():
+                members = shingle_set(text, words)
                 if len(frequent):
                     spots = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
                     late = frequent[spots] == members
                     members = np.concatenate([members[~late], members[late]])
-                n = prefix_size(len(members), similarity)
-                made.append(members[:n if most is None else most][:n])
-                sizes.append(len(members))
-            if not made:
-                continue
-            lengths = [len(m) for m in made]
-            row = pa.array(np.repeat(np.arange(len(made)), lengths))
-            at = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(made).view(np.int64)), batch.column(0).take(row),
-                 batch.column(1).take(row), pa.array(sizes, pa.int32()).take(row), pa.array(at)],
-                names=["h", "fp", "root", "size", "at"])
+                made.append(members[:prefix_size(len(members), similarity)])
+            if made:
+                row = pa.array(np.repeat(np.arange(len(made)), [len(m) for m in made]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(made).view(np.int64)), batch.column(0).take(row),
+                     batch.column(1).take(row)], names=["h", "fp", "root"])
 
-    return common.bounded_batches(sets.select("fp", "root", "shingles")).mapInArrow(
-        first, "h long, fp long, root long, size int, at int")
+    return common.bounded_batches(texts.select("fp", "root", "body")).mapInArrow(
+        first, "h long, fp long, root long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """The stored pairs (a, b) whose sets have at least the Jaccard similarity."""
     def check(batches):
+        last, one = None, np.empty(0, np.uint64)
         for batch in batches:
             good = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(),
-                                           batch.column(3).to_pylist())):
-                one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i, (a, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)))):
+                if a != last:
+                    last, one = a, shingle_set(x, words)
+                other = shingle_set(y, words)
                 both = len(np.intersect1d(one, other, assume_unique=True))
-                if both / (len(one) + len(other) - both) >= similarity:
+                if both / max(1, len(one) + len(other) - both) >= similarity:
                     good.append(i)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
     pairs = common.stored(pairs, "shingle-pairs")
-    named = common.stored(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(),
-                          "shingle-paired")
-    used = sets.join(common.small_side(named), "fp", "left_semi")
-    rows = (pairs.join(used.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(used.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b")
-            .select("a", "b", "x", "y"))
+    firsts = common.stored(pairs.select("a").distinct(), "shingle-firsts")
+    # narrow pairs come to the texts, so that only texts in pairs are shuffled
+    ones = texts.select(F.col("fp").alias("a"), F.col("body").alias("x")).join(
+        common.small_side(firsts), "a", "left_semi")
+    others = texts.select(F.col("fp").alias("b"), F.col("body").alias("y")).join(
+        common.small_side(pairs), "b")
+    rows = others.join(ones, "a").select("a", "b", "x", "y")
     return common.stored(common.bounded_batches(rows).mapInArrow(check, "a long, b long"),
                          "shingle-links")
 
 
-def jaccard_links(sets: DataFrame, n_sets: int, similarity: float) -> DataFrame:
-    """Edges with the components of all links between the distinct sets (fp, shingles)."""
-    def shared(rows):
-        """The lists that more than one component is in."""
-        several = common.stored(
-            rows.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            .filter("low < high").select("h", "low"), "shingle-shared")
-        return rows.join(several, "h")
-
-    frequent = frequent_shingles(sets, n_sets)
-    each = common.stored(prefixes(sets.withColumn("root", F.col("fp")), frequent, similarity, HUBS),
-                         "shingle-hubs")
-    near = confirmed(shared(each).filter("fp != low").select(F.col("low").alias("a"),
-                                                             F.col("fp").alias("b")).distinct(),
-                     sets, similarity)
+def jaccard_links(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Edges with the components of all links between the distinct sets of ``prints`` (fp, size,
+    hubs), whose texts are (fp, body)."""
+    sets = common.stored(prints.groupBy("fp").agg(F.first("size").alias("size"),
+                                                  F.first("hubs").alias("hubs")), "shingle-named")
+    each = common.stored(sets.select("fp", F.explode("hubs").alias("h")), "shingle-hubs")
+    lows = common.stored(each.groupBy("h").agg(F.min("fp").alias("a"), F.count("*").alias("n"))
+                         .filter("n > 1").select("h", "a"), "shingle-lows")
+    near = confirmed(each.join(lows, "h").filter("fp != a").groupBy("a", F.col("fp").alias("b"))
+                     .count().filter("count > 1").select("a", "b"), texts, words, similarity)
     roots = components(near)
-    tied = sets.join(roots, F.col("fp") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    lists = common.stored(prefixes(tied, frequent, similarity), "shingle-prefixes")
-    met = common.stored(shared(lists).drop("low"), "shingle-lists")
-    one, other = met.alias("one"), met.alias("other")
-
-    def of(side, name):
-        return F.col(f"{side}.{name}")
-
-    sizes = of("one", "size") + of("other", "size")
-    left = F.least(of("one", "size") - of("one", "at"), of("other", "size") - of("other", "at"))
-    pairs = one.join(other, (of("one", "h") == of("other", "h"))
-                     & (of("one", "fp") < of("other", "fp"))
-                     & (of("one", "root") != of("other", "root"))
-                     & (left >= sizes * (similarity / (1 + similarity)) - 1e-3)).select(
-        of("one", "fp").alias("a"), of("other", "fp").alias("b")).distinct()
-    return near.unionAll(confirmed(pairs, sets, similarity))
+    rooted = common.stored(sets.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "size", F.coalesce("root", "fp").alias("root")), "shingle-roots")
+    frequent = frequent_shingles(texts, words, sets.count())
+    lists = prefixes(texts.join(rooted, "fp"), words, frequent, similarity)
+    same = Window.partitionBy("h")
+    met = common.stored(lists.withColumn("low", F.min("root").over(same))
+                        .withColumn("high", F.max("root").over(same))
+                        .filter("low < high").select("h", "fp", "root")
+                        .join(rooted.select("fp", "size"), "fp"), "shingle-lists")
+    one, other = (met.select("h", *(F.col(c).alias(c + x) for c in ("fp", "root", "size")))
+                  for x in "12")
+    least, most = F.least("size1", "size2"), F.greatest("size1", "size2")
+    overlap = F.ceil((F.col("size1") + F.col("size2")) * (similarity / (1 + similarity)) - 1e-3)
+    pairs = (one.join(other, "h").filter((F.col("fp1") < F.col("fp2"))
+                                         & (F.col("root1") != F.col("root2"))
+                                         & (least >= most * similarity - 1e-3))
+             .groupBy(F.col("fp1").alias("a"), F.col("fp2").alias("b"))
+             .agg(F.countDistinct("h").alias("n"), F.first(
+                 F.least(F.floor(least / 50) + 4, overlap)).alias("needed"))
+             .filter("n >= needed").select("a", "b"))
+    return near.unionAll(confirmed(pairs, texts, words, similarity))
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                  similarity: float = 0.8) -> DataFrame:
     """One row of ``df`` for each component: the one with the smallest id (null last), then the
     smallest text hash; of rows equal in both, any one."""
-    prints = shingle_sets(df, key, text, words)
-    ones = common.stored(prints.groupBy("fp").agg(F.min("row").alias("row")).select("row"),
-                         "shingle-rows")
-    sets = prints.join(common.small_side(ones), "row", "left_semi").select("fp", "shingles")
-    found = grouped(prints.select("key", "text_hash", "fp"),
-                    lambda nodes: jaccard_links(sets, ones.count(), similarity))
-    first = found.groupBy("root").agg(F.min(F.struct(
-        F.col("key").isNull().alias("none"), "key", "text_hash")).alias("kept"))
-    kept = first.select(F.coalesce(F.col("kept.key").cast("string"), F.lit("null")).alias("name"),
-                        F.col("kept.text_hash").alias("text_hash"))
-    rows = df.select(F.struct(*df.columns).alias("row"),
-                     F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("name"),
-                     F.xxhash64(F.col(text).cast("string")).alias("text_hash"))
+    prints = named_sets(df, key, text, words)
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "text_hash")
+
+    def name(column):
+        return F.coalesce(column.cast("string"), F.lit("null")).alias("name")
+
+    ones = common.stored(prints.groupBy("fp").agg(F.min(order).alias("one")).select(
+        "fp", name(F.col("one.key")), F.col("one.text_hash").alias("text_hash")), "shingle-ones")
+    body = F.col(text).cast("string")
+    texts = df.select(name(F.col(key)), F.xxhash64(body).alias("text_hash"),
+                      body.alias("body")).join(common.small_side(ones), ["name", "text_hash"])
+    found = grouped(prints.select("key", "text_hash", "fp"), lambda nodes: jaccard_links(
+        prints, texts.select("fp", "body"), words, similarity))
+    first = found.groupBy("root").agg(F.min(order).alias("kept"))
+    kept = first.select(name(F.col("kept.key")), F.col("kept.text_hash").alias("text_hash"))
+    rows = df.select(F.struct(*df.columns).alias("row"), name(F.col(key)),
+                     F.xxhash64(body).alias("text_hash"))
     one = Window.partitionBy("name", "text_hash").orderBy("name")
     return (rows.join(kept, ["name", "text_hash"], "left_semi")
             .withColumn("at", F.row_number().over(one)).filter("at = 1").select("row.*"))
