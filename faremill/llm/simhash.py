@@ -506,10 +506,11 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     ones = common.stored(prints.groupBy("fp").agg(F.min(order).alias("one")).select(
         "fp", name(F.col("one.key")), F.col("one.text_hash").alias("text_hash")), "shingle-ones")
     body = F.col(text).cast("string")
-    texts = df.select(name(F.col(key)), F.xxhash64(body).alias("text_hash"),
-                      body.alias("body")).join(common.small_side(ones), ["name", "text_hash"])
+    texts = common.stored(
+        df.select(name(F.col(key)), F.xxhash64(body).alias("text_hash"), body.alias("body"))
+        .join(common.small_side(ones), ["name", "text_hash"]).select("fp", "body"), "shingle-texts")
     found = grouped(prints.select("key", "text_hash", "fp"), lambda nodes: jaccard_links(
-        prints, texts.select("fp", "body"), words, similarity))
+        prints, texts, words, similarity))
     first = found.groupBy("root").agg(F.min(order).alias("kept"))
     kept = first.select(name(F.col("kept.key")), F.col("kept.text_hash").alias("text_hash"))
     rows = df.select(F.struct(*df.columns).alias("row"), name(F.col(key)),
