@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from faremill.llm import (bpe, language, line_crf, mixing, pii, sharding, simhash, toxicity,
-                          url_rules, vector_search)
+                          turn_repair, url_rules, vector_search)
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,11 +18,13 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_pii": pii.query,
     "op10_language_id": language.query,
+    "op12_turn_repair": turn_repair.query,
 }
 ORACLE = {
     "op2_sharding": sharding.SQL,
     "op4_topk_search": vector_search.SQL,
     "op8_mixing": mixing.SQL,
+    "op12_turn_repair": turn_repair.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,257 @@
+"""Repair of conversations against an exhaustive search and DuckDB."""
+
+import hashlib
+import random
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from faremill.llm import turn_repair
+
+TURNS = "conv_id long, turn long, role string, text string"
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def plain_repair(rows):
+    """(cost, initials, lines) of the cheapest edits of ordered (role, text, fault), keeping every
+    cheapest whole sequence and all its lines."""
+    states = {"": (0, "", [])}  # role initials so far, cut to what the pattern needs to know
+    wanted = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    def offer(found, state, value):
+        if state not in found or value[:2] < found[state][:2]:
+            found[state] = value
+
+    for role, text, fault in rows:
+        after = {}
+        inserted = dict(states)
+        for state, (cost, audit, lines) in states.items():
+            for add in "ua":
+                if add in wanted[state]:
+                    name = {"u": "user", "a": "assistant"}[add]
+                    offer(inserted, add, (cost + 5, audit + "I", [*lines, name + ":"]))
+        # an edit after an Insert may be dearer in letters than one without: keep both apart
+        for source in (states, {k: v for k, v in inserted.items() if v[1].endswith("I")}):
+            for state, (cost, audit, lines) in source.items():
+                offer(after, state, (cost + 2, audit + "D", lines))
+                if fault in ("blank", "duplicate"):
+                    continue
+                more = 5 if fault == "truncated" else 0
+                if role[:1] in wanted[state] and role:
+                    offer(after, role[0], (cost + more, audit + "K", [*lines, f"{role}:{text}"]))
+                for name in ("user", "assistant"):
+                    if name[0] in wanted[state]:
+                        offer(after, name[0], (cost + 1 + more, audit + "R",
+                                               [*lines, f"{name}:{text}"]))
+        states = after
+    ends = []
+    for state, (cost, audit, lines) in states.items():
+        if state in ("", "a"):
+            ends.append((cost, audit, lines))
+        elif state == "u":
+            ends.append((cost + 5, audit + "I", [*lines, "assistant:"]))
+        else:
+            ends.append((cost + 10, audit + "II", [*lines, "user:", "assistant:"]))
+    return min(ends, key=lambda e: e[:2])
+
+
+def exhaustive(rows):
+    """The same by trying every sequence of edits (few turns only)."""
+    best = None
+
+    def legal(initials):
+        body = initials[1:] if initials[:1] == "s" else initials
+        return initials == "" or (body != "" and len(body) % 2 == 0
+                                  and body == "ua" * (len(body) // 2))
+
+    def go(i, cost, audit, lines, initials, inserts):
+        nonlocal best
+        if best is not None and cost > best[0]:
+            return
+        if i == len(rows) and legal(initials) and (best is None or (cost, audit) < best[:2]):
+            best = (cost, audit, lines)
+        if inserts < 2:
+            for name in ("user", "assistant"):
+                go(i, cost + 5, audit + "I", [*lines, name + ":"], initials + name[0], inserts + 1)
+        if i == len(rows):
+            return
+        role, text, fault = rows[i]
+        go(i + 1, cost + 2, audit + "D", lines, initials, 0)
+        if fault in ("blank", "duplicate"):
+            return
+        more = 5 if fault == "truncated" else 0
+        go(i + 1, cost + more, audit + "K", [*lines, f"{role}:{text}"], initials + role[:1], 0)
+        for name in ("user", "assistant"):
+            go(i + 1, cost + 1 + more, audit + "R", [*lines, f"{name}:{text}"],
+               initials + name[0], 0)
+
+    go(0, 0, "", [], "", 0)
+    return best
+
+
+def streamed(rows):
+    repair, out, done = turn_repair.Repair(), [], 0
+    texts, lines, most = list(rows), [], 0
+
+    def take(turns):
+        nonlocal done
+        for edits in turns:
+            role, text, _ = texts[done]
+            done += 1
+            for edit, new in edits:
+                out.append(edit)
+                if edit == "I":
+                    lines.append(f"{new}:")
+                elif edit != "D":
+                    lines.append(f"{new or role}:{text}")
+
+    for at, (role, _, fault) in enumerate(rows, 1):
+        forced = fault in ("blank", "duplicate")
+        take(repair.read(turn_repair.FORCED if forced else role[:1], fault == "truncated"))
+        most = max(most, at - done)
+    path, end = repair.finish()
+    take(path)
+    out += [e for e, _ in end]
+    lines += [f"{r}:" for _, r in end]
+    return repair.cost, "".join(out), lines, most
+
+
+def drawn(draw, n):
+    return [(draw.choice(["user", "assistant", "system", "tool", "user", "assistant"]), str(i),
+             draw.choice(["", "", "", "blank", "duplicate", "truncated"])) for i in range(n)]
+
+
+def test_streamed_edits_are_those_of_an_exhaustive_search():
+    draw = random.Random(5)
+    for _ in range(150):
+        rows = drawn(draw, draw.randint(0, 4))
+        assert streamed(rows)[:3] == exhaustive(rows), rows
+        assert plain_repair(rows) == exhaustive(rows), rows
+
+
+def test_long_conversations_against_whole_sequences():
+    draw = random.Random(6)
+    for _ in range(300):
+        rows = drawn(draw, draw.randint(5, 60))
+        assert streamed(rows)[:3] == plain_repair(rows), rows
+    for kind in ("system", "user", "tool"):  # stretches that allow no decision for long
+        rows = [(kind, str(i), "") for i in range(61)]
+        assert streamed(rows)[:3] == plain_repair(rows)
+
+
+def test_turns_held_stay_few_in_a_long_conversation():
+    draw = random.Random(7)
+    rows = [("user" if i % 2 == 0 else "assistant", str(i), "truncated" if draw.random() < .1 else "")
+            for i in range(20_000)]
+    cost, audit, lines, most = streamed(rows)
+    assert len(audit) >= 20_000 and most < 100
+
+
+def test_reference_counts_drop_dead_branches():
+    repair = turn_repair.Repair()
+    for i in range(2_000):
+        repair.read("ua"[i % 2])
+    seen, todo = 0, [repair.root]
+    while todo:
+        node = todo.pop()
+        seen += 1
+        todo += node.children
+    assert seen < 20
+
+
+def plain_reports(rows):
+    """The contract's digests in plain Python, from (conv_id, turn, role, text)."""
+    kept, every = {}, {}
+    for conv, turn, role, text in rows:
+        role, text = role if role is not None else " ", text if text is not None else " "
+        every.setdefault(conv, None)
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        luck = zlib.crc32(name.encode()) % 20
+        if luck == 1:
+            text = ""
+        if luck == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if luck == 4:
+            role = "user"
+        kept.setdefault(conv, []).extend([(turn, role, text)] * (0 if luck == 0 else
+                                                                 2 if luck == 3 else 1))
+    out = {}
+    for conv in every:
+        turns = sorted(kept.get(conv, []), key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        seen, ready = set(), []
+        for _, role, text in turns:
+            last = text.rstrip(BLANK)[-1:]
+            fault = ("blank" if not last else "duplicate" if (role, text) in seen
+                     else "truncated" if last not in ".!?" else "")
+            seen.add((role, text))
+            ready.append((role, text, fault))
+        cost, audit, lines = plain_repair(ready)
+        numbers = [t for t, _, _ in turns if t is not None]
+        faults = [f for _, _, f in ready]
+        initials = [r[:1] for r, _, _ in ready]
+        out[conv] = (max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0,
+                     faults.count("blank"), faults.count("duplicate"), faults.count("truncated"),
+                     sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+                     cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def cases():
+    draw = random.Random(8)
+    rows = [(c, t, draw.choice(["user", "assistant", "system", "tool"]),
+             draw.choice(["Yes.", "Why?", "It is so", " \n", "é! ", "End.\n"]) + str(t % 3) * (t % 2))
+            for c in range(60) for t in range(draw.randint(1, 12))]
+    rows += [(None, 0, "user", "Hi."), (None, None, "assistant", "Ho."), (None, None, None, None),
+             (100, 1, "user", "Same."), (100, 1, "user", "Same."), (100, 1, "assistant", "Else."),
+             (100, None, "user", None), (101, 5, None, "x."), (102, 0, "", "x."), (103, 9, "user", ""),
+             (104, 0, "user", "word. " * 40_000), (104, 7, "assistant", "Fine.")]
+    rows += [(105, t, "user" if t % 2 else "assistant", f"{t}.") for t in range(3_000)]
+    return rows
+
+
+def reports(spark, turns):
+    found = turn_repair.reports(turn_repair.repaired(turn_repair.damaged(turns)))
+    return {r[0]: tuple(r[1:]) for r in found.collect()}
+
+
+def test_reports_against_plain_python(spark):
+    rows = cases()
+    turns = spark.createDataFrame(rows, TURNS).repartition(3)
+    for extra in ("place", "edit", "fault", "nth", "conversation", "luck", "a.b"):
+        turns = turns.withColumn(extra, F.lit("mine"))
+    want = {k: v for k, v in plain_reports(rows).items()}
+    got = reports(spark, turns)
+    empty = (0,) * 6 + ("", hashlib.sha256().hexdigest())
+    assert set(got) <= set(want)
+    assert {k: got.get(k, empty) for k in want} == want
+
+
+def test_repaired_turns_keep_place_text_and_source(spark):
+    rows = [(1, 0, "system", "S."), (1, 1, "user", "Q?"), (1, 2, "user", "Q?"), (1, 3, "user", "A.")]
+    got = turn_repair.repaired(spark.createDataFrame(rows, TURNS)).orderBy("place").collect()
+    assert [(r.place, r.edit, r.fault, r.turn, r.found_role, r.role, r.text) for r in got] == [
+        (0, "K", None, 0, "system", "system", "S."), (1, "K", None, 1, "user", "user", "Q?"),
+        (2, "D", "duplicate", 2, "user", None, None),
+        (3, "R", None, 3, "user", "assistant", "A.")]
+
+
+def test_query_and_sql_on_built_rows(spark, tmp_path):
+    rows = [r for r in cases() if r[0] != 105]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, TURNS).coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view conversations as from '{folder}/conversations.parquet/*.parquet'")
+    found = con.sql(turn_repair.SQL)
+    got = turn_repair.query(spark, folder)
+    assert sorted(map(tuple, got.select(*found.columns).collect()), key=repr) == sorted(
+        found.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("rows", [[], [(7, 3, "user", "Gone.")]])
+def test_no_turns(spark, tmp_path, rows):
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, TURNS).write.parquet(f"{folder}/conversations.parquet")
+    assert turn_repair.query(spark, folder).count() == len(rows)
+    assert reports(spark, spark.createDataFrame([], TURNS)) == {}
