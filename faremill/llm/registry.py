@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from faremill.llm import (bpe, language, line_crf, mixing, pii, sharding, simhash, toxicity,
-                          turn_repair, url_rules, vector_search)
+                          turn_repair, url_rules, vector_search, word_runs)
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_pii": pii.query,
     "op10_language_id": language.query,
+    "op11_word_runs": word_runs.query,
     "op12_turn_repair": turn_repair.query,
 }
 ORACLE = {
