@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from faremill.llm import (bpe, language, line_crf, mixing, pii, sharding, simhash, toxicity,
-                          turn_repair, url_rules, vector_search, word_runs)
+from faremill.llm import (bpe, language, line_crf, mixing, pii, sharding, simhash, suffix_dedup,
+                          toxicity, turn_repair, url_rules, vector_search, word_runs)
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -20,6 +20,7 @@ QUERIES = {
     "op10_language_id": language.query,
     "op11_word_runs": word_runs.query,
     "op12_turn_repair": turn_repair.query,
+    "op13_suffix_dedup": suffix_dedup.query,
 }
 ORACLE = {
     "op2_sharding": sharding.SQL,
