@@ -41,6 +41,13 @@ class Filters:
             found.append(~F.col("dow_num").isin(*WEEKEND))
         return found
 
+    def columns(self) -> set[str]:
+        """Columns the conditions read."""
+        read = {"trip_date": self.start or self.end, "company": self.company,
+                "payment_type": self.payment_type, "dow_num": self.day_type}
+        return ({name for name, given in read.items() if given}
+                | ({"pickup_community_area"} if self.pickup_area is not None else set()))
+
     def pruning(self) -> list[Column]:
         """The date bounds as bounds on the partition column; they fold to constants."""
         found = []

@@ -164,25 +164,26 @@ def state_table(lake: Lake) -> DataFrame:
     return lake.table("gold", STATE)
 
 
-def refresh_state(lake: Lake, window: Window | None = None) -> None:
+def refresh_state(lake: Lake, window: Window | None = None, rows_of=None) -> None:
     """Recompute the state of the window's months, or of all months. All months also when another
     silver month has no state yet, as in a first run. State of months that silver has no more is
-    dropped."""
+    dropped. ``rows_of(lake, window)`` makes the state's rows from another source than silver."""
     state_table(lake)
     for month in lake.stored_months("gold", STATE) - lake.stored_months("silver"):
         lake.drop_month("gold", month, STATE)
     if window is not None and (lake.stored_months("silver") - set(window.months)
                                - lake.stored_months("gold", STATE)):
         window = None
-    lake.overwrite_months(state(lake.read("silver", window)), "gold", STATE, window=window,
-                          drop_missing=True)
+    rows = rows_of(lake, window) if rows_of else state(lake.read("silver", window))
+    lake.overwrite_months(rows, "gold", STATE, window=window, drop_missing=True)
 
 
-def rebuild(lake: Lake, areas: DataFrame, window: Window | None = None) -> dict[str, str]:
+def rebuild(lake: Lake, areas: DataFrame, window: Window | None = None, rows_of=None
+            ) -> dict[str, str]:
     """Stage a new version of every mart and return the locations; ``promote`` publishes them.
 
     ``window`` limits the silver scan to changed months; the other months come from the state."""
-    refresh_state(lake, window)
+    refresh_state(lake, window, rows_of)
     stored = state_table(lake)
     return {name: lake.stage(mart_from_state(stored, name, areas), name) for name in MARTS}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from faremill import storage
 from faremill.functions.trip import moment
 from faremill.lake import FILE_BYTES, STATE, TRIPS, Lake, utc_now
-from faremill.plans import gold, silver
+from faremill.plans import cube, gold, silver
 from faremill.schema import MONTH
 from faremill.session import sized_shuffles
 
@@ -21,6 +21,7 @@ MIN_SMALL_FILES = 5
 MONTHLY = {("bronze", TRIPS): ("trip_start_timestamp",),
            ("silver", TRIPS): silver.WRITE_ORDER,
            ("gold", STATE): ("mart",)}
+CUBE = {("gold", cube.table_name(name)): cube.write_order(name) for name in cube.GROUPINGS}
 SUMMARY_DDL = ("table_name string, status string, rewritten int, added int, expired int, "
                "error string")
 
@@ -64,7 +65,7 @@ def compact_months(lake: Lake, layer: str, table: str = TRIPS, target_bytes: int
     cluster = (MONTH, "trip_date") if "trip_date" in stored.columns else (MONTH,)
     with sized_shuffles(lake.spark, sum(row["bytes"] for row in chosen)):
         lake.overwrite_months(stored.filter(F.col(MONTH).isin(months)), layer, table,
-                              order=MONTHLY[(layer, table)], cluster=cluster)
+                              order=(MONTHLY | CUBE)[(layer, table)], cluster=cluster)
     lake.spark.catalog.refreshTable(lake.name(layer, table))
     after = file_stats(lake, location).filter(F.col(MONTH).isin(months)).agg(F.sum("files"))
     return sum(row["files"] for row in chosen), after.first()[0]
@@ -125,13 +126,14 @@ def run(lake: Lake, now: datetime | None = None, target_bytes: int = FILE_BYTES,
         min_small_files: int = MIN_SMALL_FILES) -> DataFrame:
     """Maintain every table; a failure is reported and the next table still runs."""
     rows = []
-    for layer, table in [*MONTHLY, *[("gold", mart) for mart in gold.MARTS]]:
+    cubes = [name for name in CUBE if lake.exists(*name)]  # a lake may do without
+    for layer, table in [*MONTHLY, *[("gold", mart) for mart in gold.MARTS], *cubes]:
         name = f"{layer}.{table}"
         if not lake.exists(layer, table):
             rows.append((name, "skipped", 0, 0, 0, None))
             continue
         try:
-            if (layer, table) in MONTHLY:
+            if (layer, table) in MONTHLY or (layer, table) in CUBE:
                 done = compact_months(lake, layer, table, target_bytes, min_small_files)
                 rows.append((name, "maintained", *done, 0, None))
             else:

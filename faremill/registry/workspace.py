@@ -10,7 +10,7 @@ from faremill import storage
 from faremill.functions.trip import month_label
 from faremill.lake import Lake
 from faremill.operators.windows import Window
-from faremill.plans import gold, silver
+from faremill.plans import cube, gold, silver
 from faremill.schema import MONTH
 from faremill.sources import feed, raw_csv
 
@@ -29,8 +29,8 @@ def typed_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 class Workspace:
-    """One lake per session and data folder: feed -> bronze -> silver, as stored tables. Raw parts
-    and marts are added when a query first needs them."""
+    """One lake per session and data folder: feed -> bronze -> silver, as stored tables. Raw parts,
+    marts and the cube are added when a query first needs them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -42,6 +42,7 @@ class Workspace:
         self.span = Window(Window.of(first).start, Window.of(last).end)
         silver.load(self.lake, self.span)
         self._landed = self._published = False
+        self._cube = None
 
     @property
     def bronze(self) -> DataFrame:
@@ -64,6 +65,12 @@ class Workspace:
             self._published = True
         return self
 
+    def cube(self) -> cube.Cube:
+        if self._cube is None:
+            cube.refresh(self.lake)
+            self._cube = cube.Cube(self.lake)
+        return self._cube
+
     def marts(self) -> dict[str, DataFrame]:
         return {name: self.published().lake.table("gold", name) for name in gold.MARTS}
 
