@@ -1,5 +1,11 @@
 import csv
+import io
+import json
 import os
+import random
+import re
+from urllib.error import HTTPError, URLError
+from urllib.parse import parse_qs, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +15,7 @@ from faremill import lake as lake_module
 from faremill.operators.windows import Window
 from faremill.plans import bronze
 from faremill.schema import TRIP_COLUMNS
-from faremill.sources import extract, raw_csv
-from faremill.sources.pages import UrlPages
+from faremill.sources import extract, pages as source, raw_csv
 
 OCT, NOV, BOTH = Window.of("2023-10"), Window.of("2023-11"), Window.of("2023-10", "2023-12")
 
@@ -165,53 +170,107 @@ def test_a_page_without_a_column_is_an_error(spark, tmp_path):
         extract.extract(spark, str(tmp_path / "raw"), OCT).collect()
 
 
-def test_offset_pages_are_read_in_runs_and_tried_again():
-    import io
-    import json
-    from urllib.error import HTTPError, URLError
-    from urllib.parse import parse_qs, urlparse
-    from faremill.sources import pages as source
+class Table:
+    """A dataset server in memory that understands the listings' parameters."""
 
-    rows_there, asked, pauses = 45, [], []
-    trouble = [HTTPError("u", 429, "busy", None, None), URLError("down"),
-               HTTPError("u", 503, "later", None, None)]
+    def __init__(self, rows, trouble=()):
+        self.rows, self.trouble, self.asked, self.late = list(rows), list(trouble), [], []
 
-    def opener(request, timeout):
-        asked.append(request)
-        if trouble:
-            raise trouble.pop()
+    def __call__(self, request, timeout):
+        self.asked.append(request)
+        if self.trouble:
+            raise self.trouble.pop()
         query = {k: v[0] for k, v in parse_qs(urlparse(request.full_url).query).items()}
+        low, high = re.match(r"trip_start_timestamp >= '(.*?)' AND trip_start_timestamp < '(.*?)'",
+                             query["$where"]).groups()
+        found = [r for r in self.rows if low <= r[1] < high]
         if "count" in query["$select"]:
-            return io.BytesIO(json.dumps([{"rows": str(rows_there)}]).encode())
+            return io.BytesIO(json.dumps([{"rows": str(len(found))}]).encode())
+        assert query["$order"] == "trip_start_timestamp,trip_id" and query["$select"]
+        with_id = "trip_id IS NOT NULL" in query["$where"]
+        found = sorted((r for r in found if (r[0] is not None) == with_id),
+                       key=lambda r: (r[1], r[0] or ""))
+        after = re.search(r"\(trip_start_timestamp > '(.*?)' OR \(trip_start_timestamp = '\1' AND "
+                          r"trip_id >= '(.*)'\)\)$", query["$where"])
+        if after:
+            found = [r for r in found if (r[1], r[0]) >= (after[1], after[2].replace("''", "'"))]
+        again = re.search(r"NULL AND trip_start_timestamp >= '(.*?)'$", query["$where"])
+        if again:
+            found = [r for r in found if r[1] >= again[1]]
         first = int(query["$offset"])
-        numbers = range(first, min(first + int(query["$limit"]), rows_there))
+        page = found[first:first + int(query["$limit"])]
+        self.rows += self.late[:1]  # a row comes after every page
+        del self.late[:1]
         return io.BytesIO(("trip_id,trip_start_timestamp\n" + "".join(
-            f"t{i},2023-10-05T00:00:00\n" for i in numbers)).encode())
+            f"{i or ''},{t}\n" for i, t in page)).encode())
 
-    def get(url, token):
-        return source.fetch(url, token, opener, pauses.append)
 
+def seeking(table, size="10", per_task="2", pauses=None):
     reader = source.PageReader(["trip_id", "trip_start_timestamp"], {
         "base": "https://example.org/trips", "start": "2023-10-01T00:00:00",
-        "end": "2023-11-01T00:00:00", "pagesize": "10", "pagespertask": "2", "apptoken": "key"})
-    reader.pages.get = get
-    planned = reader.partitions()
-    assert [(p.start, p.stop) for p in planned] == [(0, 2), (2, 4), (4, 5)] and pauses == [1, 2, 4]
-    found = [x for p in planned for batch in reader.read(p) for x in batch.column(0).to_pylist()]
-    assert found == [f"t{i}" for i in range(rows_there)]
-    assert all(r.get_header("X-app-token") == "key" for r in asked)
+        "end": "2023-11-01T00:00:00", "pagesize": size, "pagespertask": per_task, "apptoken": "key"})
+    reader.pages.dataset.get = lambda url, token: source.fetch(
+        url, token, table, (pauses if pauses is not None else []).append)
+    return reader
+
+
+def read_all(reader):
+    return [(i, t) for p in reader.partitions() for batch in reader.read(p)
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+
+
+def by_text(found):
+    return sorted(found, key=lambda r: (r[1], r[0] or "", r[0] is None))
+
+
+def test_ranges_are_halved_and_busy_servers_asked_again():
+    pauses = []
+    table = Table([(f"t{i}", f"2023-10-{1 + i % 30:02d}T00:{i % 60:02d}:00") for i in range(95)],
+                  [HTTPError("u", 429, "busy", None, None), URLError("down"),
+                   HTTPError("u", 503, "later", None, None)])
+    reader = seeking(table, pauses=pauses)
+    spans = reader.partitions()
+    assert pauses == [1, 2, 4] and len(spans) > 4
+    assert spans[0].low == "2023-10-01T00:00:00" and spans[-1].high == "2023-11-01T00:00:00"
+    assert all(a.high == b.low for a, b in zip(spans, spans[1:]))
+    assert all(sum(s.low <= t < s.high for _, t in table.rows) <= 20 for s in spans)
+    assert by_text(read_all(reader)) == by_text(table.rows)
+    assert all(r.get_header("X-app-token") == "key" for r in table.asked)
     with pytest.raises(HTTPError):
-        trouble.append(HTTPError("u", 404, "none", None, None))
-        get("https://example.org/trips", "")
-    trouble.extend(URLError("down") for _ in range(source.TRIES))
+        source.fetch("u://x", "", Table([], [HTTPError("u", 404, "none", None, None)]))
     with pytest.raises(URLError):
-        get("https://example.org/trips", "")
+        source.fetch("u://x", "", Table([], [URLError("down")] * source.TRIES), pauses.append)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_seeking_reads_every_row_once_whatever_the_ties(size):
+    draw = random.Random(size)
+    for _ in range(20):
+        rows = [(draw.choice([None, "a", "b'c", "d"]), f"2023-10-0{draw.randint(1, 3)}T00:00:00")
+                for _ in range(draw.randint(0, 40))]
+        assert by_text(read_all(seeking(Table(rows), str(size), "1"))) == by_text(rows)
+
+
+def test_rows_added_during_the_read_shift_no_page():
+    rows = [(f"t{i:03d}", "2023-10-05T00:00:00") for i in range(50)]
+    table = Table(rows)
+    table.late = [("t000a", "2023-10-05T00:00:00"), ("new", "2023-10-01T00:00:00"),
+                  ("t049a", "2023-10-05T00:00:00")]
+    found = read_all(seeking(table, "10", "100"))
+    assert sorted(found) == sorted([*rows, ("t049a", "2023-10-05T00:00:00")])
+
+
+def test_pages_cost_the_same_wherever_they_are():
+    table = Table([(f"t{i:03d}", "2023-10-05T00:00:00") for i in range(100)])
+    read_all(seeking(table, "10", "100"))
+    offsets = [int(parse_qs(urlparse(r.full_url).query).get("$offset", ["0"])[0])
+               for r in table.asked]
+    assert max(offsets) <= 1
 
 
 def test_page_urls_are_stable_and_projected():
-    pages = UrlPages("https://example.org/resource/trips", ["trip_id", "fare"],
-                     "2023-10-01T00:00:00", "2023-11-01T00:00:00", 50000)
-    url = pages.url(100000)
-    assert "%24select=trip_id%2Cfare" in url and "%24offset=100000" in url
-    assert "%24order=trip_start_timestamp%2Ctrip_id" in url and "%24limit=50000" in url
+    listing = source.Listing("2023-10-01T00:00:00", "2023-11-01T00:00:00", limit=50000)
+    url = source.Dataset("https://example.org/resource/trips", ["trip_id", "fare"]).url(listing)
+    assert "%24select=trip_id%2Cfare" in url and "%24offset=0" in url
+    assert "%24order=trip_start_timestamp%2Ctrip_id%2Cfare" in url and "%24limit=50000" in url
     assert "trip_start_timestamp+%3C+%272023-11-01T00%3A00%3A00%27" in url
