@@ -10,7 +10,7 @@ from faremill.lake import Lake
 from faremill.operators import windows
 from faremill.operators.filters import Filters
 from faremill.operators.windows import Window
-from faremill.plans import adhoc, bi, pipeline
+from faremill.plans import adhoc, bi, cube, pipeline
 from faremill.plans.ledger import Ledger
 from faremill.session import build_spark
 from faremill.sources import areas
@@ -40,6 +40,7 @@ def _arguments() -> argparse.ArgumentParser:
         "post": "gold, then maintenance",
         "freshness": "check and record when each asset was last rebuilt",
         "alarms": "show what made runs fail",
+        "failures": "show failed attempts with their last success and streak",
         "bi": "show a BI query under the given filters",
         "sql": "run ';'-separated statements and show the results",
     }
@@ -54,6 +55,11 @@ def _arguments() -> argparse.ArgumentParser:
                              help="dataset URL or folder of pages")
         if name == "backfill":
             job.add_argument("--by-month", action="store_true", help="gate each month on its own")
+            job.add_argument("--missing", action="store_true",
+                             help="only months that the ledger does not show as loaded")
+        if name == "lookback":
+            job.add_argument("--changed", action="store_true",
+                             help="only months whose source rows changed (needs --source)")
         if name in ("gold", "post", "sql", "bi"):
             job.add_argument("--areas", required=name in ("gold", "post"),
                              help="area dimension CSV")
@@ -61,12 +67,14 @@ def _arguments() -> argparse.ArgumentParser:
             job.add_argument("query", choices=sorted(BI_QUERIES))
             job.add_argument("--start", help="first day")
             job.add_argument("--end", help="last day")
+            job.add_argument("--cube", action="store_true", help="answer from the cube")
             job.add_argument("--company")
             job.add_argument("--payment-type")
             job.add_argument("--pickup-area", type=int)
             job.add_argument("--day-type", choices=("weekday", "weekend"))
         if name in ("gold", "post"):
             job.add_argument("--changed", help="only this month's silver changed")
+            job.add_argument("--cube", action="store_true", help="refresh the BI cube as well")
             job.add_argument("--check-first", action="store_true",
                              help="publish marts only after their checks")
         if name == "sql":
@@ -95,14 +103,23 @@ def main(argv: list[str] | None = None) -> None:
         if planned:
             span = Window(planned[0].start, planned[-1].end)
             source = extract(spark, args.source, span) if args.source else None
-            pipeline.backfill(lake, planned, source, limits, getattr(args, "by_month", False))
+            if getattr(args, "missing", False):
+                pipeline.unloaded(lake, planned).orderBy("first_month").show(adhoc.SHOWN_ROWS, False)
+                pipeline.backfill_missing(lake, planned, source, limits, args.by_month)
+            elif getattr(args, "changed", False):
+                if source is None:
+                    raise SystemExit("--changed needs --source")
+                pipeline.reload_changed(lake, planned, source, limits)
+            else:
+                pipeline.backfill(lake, planned, source, limits, getattr(args, "by_month", False))
     elif args.job in ("gold", "post"):
         changed = Window.of(args.changed) if args.changed else None
         dimension = areas.load(spark, args.areas)
         if args.job == "gold":
-            pipeline.rebuild_gold(lake, dimension, book, limits, changed, args.check_first)
+            pipeline.rebuild_gold(lake, dimension, book, limits, changed, args.check_first, args.cube)
         else:
-            pipeline.post(lake, dimension, limits, changed, args.check_first).show(truncate=False)
+            pipeline.post(lake, dimension, limits, changed, args.check_first, cubed=args.cube
+                          ).show(truncate=False)
     elif args.job == "maintenance":
         pipeline.maintenance(lake, Ledger(lake)).show(truncate=False)
     elif args.job == "freshness":
@@ -110,6 +127,8 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.freshness(lake, Ledger(lake), now, limits).show(truncate=False)
     elif args.job == "alarms":
         pipeline.alarms(Ledger(lake)).show(adhoc.SHOWN_ROWS, truncate=False)
+    elif args.job == "failures":
+        pipeline.failures(Ledger(lake)).orderBy("at").show(adhoc.SHOWN_ROWS, truncate=False)
     elif args.job == "bi":
         if args.query in NAMED and not args.areas:
             raise SystemExit(f"{args.query} needs --areas")
@@ -117,7 +136,8 @@ def main(argv: list[str] | None = None) -> None:
                           payment_type=args.payment_type, pickup_area=args.pickup_area,
                           day_type=args.day_type)
         dimension = [areas.load(spark, args.areas)] if args.query in NAMED else []
-        BI_QUERIES[args.query](lake.table("silver"), *dimension, filters).show(
+        trips = cube.Cube(lake) if args.cube else lake.table("silver")
+        BI_QUERIES[args.query](trips, *dimension, filters).show(
             adhoc.SHOWN_ROWS, truncate=False)
     else:
         if args.areas:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from faremill import storage
 from faremill.operators.windows import Window, in_window
+from faremill.records import Records
 from faremill.schema import BRONZE_DDL, MONTH, SILVER_DDL
 from faremill.session import SHUFFLED_PER_STORED, setting, sized_shuffles
 
@@ -159,8 +160,12 @@ class Lake:
     def versions_path(self) -> str:
         return f"{self.root}/ledger/versions"
 
+    @property
+    def version_records(self) -> Records:
+        return Records(self.spark, self.versions_path, VERSIONS_DDL)
+
     def versions(self) -> DataFrame:
-        return self.spark.read.schema(VERSIONS_DDL).parquet(self.versions_path)
+        return self.version_records.read()
 
     def current_location(self, mart: str) -> str:
         return (self.versions().filter(F.col("table_name") == mart)
@@ -182,8 +187,7 @@ class Lake:
         rows = [(mart, location.rsplit("version=", 1)[1], location, utc_now())
                 for mart, location in staged.items()]
         # recorded first: a fresh catalog then finds what another one already serves
-        (self.spark.createDataFrame(rows, VERSIONS_DDL).coalesce(1)
-         .write.mode("append").parquet(self.versions_path))
+        self.version_records.append(self.spark.createDataFrame(rows, VERSIONS_DDL))
         for mart, location in staged.items():
             self._point("gold", mart, location)
 

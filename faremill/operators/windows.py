@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from faremill.functions.trip import moment
 from faremill.schema import MONTH
@@ -85,6 +85,24 @@ def lookback(planned: list[Window], months: int = 2) -> list[Window]:
     return planned[-months:]
 
 
+def as_rows(spark: SparkSession, planned: list[Window]) -> DataFrame:
+    """Planned months as rows: month, window_start, window_end."""
+    return spark.createDataFrame(
+        [(month.label, month.start, month.end) for window in planned for month in window.split()],
+        "month string, window_start timestamp_ntz, window_end timestamp_ntz")
+
+
+def spans(months: list[Window]) -> list[Window]:
+    """Runs of months that follow each other without a gap."""
+    found: list[Window] = []
+    for month in months:
+        if found and found[-1].end == month.start:
+            found[-1] = Window(found[-1].start, month.end)
+        else:
+            found.append(month)
+    return found
+
+
 def plan_months(events: DataFrame, column: str) -> DataFrame:
     """One row per month of the span covered by ``column``: month, start, end."""
     span = events.agg(F.trunc(F.min(column).cast("date"), "month").alias("lo"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from faremill.functions import parse
 from faremill.functions.trip import month_label
 from faremill.lake import Lake
+from faremill.operators import digests
 from faremill.operators.windows import Window
 from faremill.schema import MONTH, TRIP_COLUMNS, TRIP_TYPES
 from faremill.sources import raw_csv
@@ -21,6 +22,7 @@ class BronzeLoad:
     window: Window
     raw_rows: dict[str, int] = field(default_factory=dict)  # per raw month
     kept: dict[str, int] = field(default_factory=dict)      # and what of them this load stored
+    digests: dict[str, str] = field(default_factory=dict)   # of the rows stored for each month
     kept_rows: int = 0
     missing_start: int = 0
     other_month: int = 0
@@ -29,6 +31,7 @@ class BronzeLoad:
     def add(self, counts: dict) -> None:
         self.raw_rows.update(counts["raw_rows"])
         self.kept.update(counts["kept"])
+        self.digests.update(counts["digests"])
         for name in ("kept_rows", "missing_start", "other_month"):
             setattr(self, name, getattr(self, name) + counts[name])
         for name in TYPED:
@@ -82,10 +85,12 @@ def _load(lake: Lake, window: Window, drop_empty: bool) -> dict:
         rows = rows.hint("rebalance", F.col(MONTH))
     start = F.col("trip_start_timestamp")
     inside = F.coalesce(F.col(MONTH) == F.col("month"), F.lit(False))
+    alone = len(window.months) == 1  # then its digest needs no pass of its own
     seen = Observation()  # after the shuffle, if any: only there do retried tasks count once
     rows = rows.observe(
         seen,
-        *raw_csv.per_month(window, "raw"), *raw_csv.per_month(window, "kept", inside),
+        raw_csv.per_month(window, "raw"), raw_csv.per_month(window, "kept", inside),
+        *(digests.aggregates("digest_", inside) if alone else []),
         F.count_if(inside).alias("kept_rows"),
         F.count_if(start.isNull()).alias("missing_start"),
         F.count_if(start.isNotNull() & ~inside).alias("other_month"),
@@ -93,5 +98,11 @@ def _load(lake: Lake, window: Window, drop_empty: bool) -> dict:
     lake.overwrite_months(rows.filter(inside), "bronze", window=window, cluster=(),
                           drop_missing=drop_empty)
     counts = seen.get
-    return {**counts, "raw_rows": raw_csv.of_months(window, "raw", counts),
+    if alone:  # a month without rows keeps what it has, or goes
+        found = ({window.months[0]: digests.as_text(counts, "digest_")} if counts["kept_rows"]
+                 else {})
+    else:
+        stored = lake.read_partitions("bronze", window)
+        found = {row[MONTH]: row["digest"] for row in digests.by_month(stored).collect()}
+    return {**counts, "digests": found, "raw_rows": raw_csv.of_months(window, "raw", counts),
             "kept": raw_csv.of_months(window, "kept", counts)}

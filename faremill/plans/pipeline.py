@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, functions as F
 
 from faremill import storage
 from faremill.config import Thresholds
 from faremill.lake import Lake
+from faremill.operators import digests, windows as windows_of
 from faremill.operators.windows import Window
-from faremill.plans import bronze, checks, gold, ledger as run_ledgers, maintain, silver
+from faremill.plans import bronze, checks, cube, gold, ledger as run_ledgers, maintain, silver
 from faremill.plans.ledger import Ledger
 from faremill.schema import MONTH
 from faremill.sources import raw_csv
@@ -51,7 +54,9 @@ def load_bronze(lake: Lake, window: Window, ledger: Ledger, limits: Thresholds =
         "window string, raw_rows bigint, rows bigint, null_starts bigint")
     ledger.materialized(checks.BRONZE, window.label, loaded.kept_rows,
                         raw_rows=sum(loaded.raw_rows.values()), missing_start=loaded.missing_start,
-                        other_month=loaded.other_month, bad_cells=loaded.bad_cells)
+                        other_month=loaded.other_month, bad_cells=loaded.bad_cells,
+                        **{f"{run_ledgers.DIGEST}{month}": digest
+                           for month, digest in loaded.digests.items()})
     _gate(ledger, checks.bronze(profile, limits))
     return loaded
 
@@ -87,17 +92,6 @@ def ingest(lake: Lake, window: Window, source: DataFrame | None = None,
     return ledger
 
 
-def _spans(months: list[Window]) -> list[Window]:
-    """Runs of months that follow each other without a gap."""
-    spans: list[Window] = []
-    for month in months:
-        if spans and spans[-1].end == month.start:
-            spans[-1] = Window(spans[-1].start, month.end)
-        else:
-            spans.append(month)
-    return spans
-
-
 def _tried(stage, window: Window, problems: list[Exception]) -> set[str]:
     """Runs a stage; returns the months that failed it. When a job of several months breaks, each
     of them is tried on its own."""
@@ -129,7 +123,7 @@ def backfill(lake: Lake, windows: list[Window], source: DataFrame | None = None,
         stages.insert(0, lambda w: land(lake, source, w, ledger, limits))
     for stage in stages:
         failed: set[str] = set()
-        for window in good if by_month else _spans(good):
+        for window in good if by_month else windows_of.spans(good):
             failed |= _tried(stage, window, problems)
         good = [month for month in good if month.label not in failed]
     if problems:
@@ -140,12 +134,72 @@ def backfill(lake: Lake, windows: list[Window], source: DataFrame | None = None,
     return [ledger] if months else []
 
 
+def changed_months(lake: Lake, months: list[Window], landed: str) -> list[Window]:
+    """Those of the months whose raw rows below ``landed`` are not what bronze was loaded from. A
+    month without a recorded digest counts as changed, as does one that has lost all its rows."""
+    ledger = Ledger(lake)
+    wanted = windows_of.as_rows(lake.spark, months).select(F.col("month").alias(MONTH))
+    spans = windows_of.spans(months)
+    raw = [raw_csv.scan(lake.spark, landed, span) for span in spans]
+    found = digests.by_month(bronze.build(reduce(DataFrame.unionByName, raw)))
+    known = run_ledgers.month_digests(ledger.table("materializations"), checks.BRONZE)
+    differ = digests.differing(wanted.join(found, MONTH, "left"), known).collect()
+    labels = {row[MONTH] for row in differ}
+    return [month for month in months if month.label in labels]
+
+
+def reload_changed(lake: Lake, months: list[Window], source: DataFrame,
+                   limits: Thresholds = Thresholds(), by_month: bool = False) -> list[Window]:
+    """Lookback: reads the months' source once into a staging folder and loads those months whose
+    rows differ from the loaded ones, in whatever order they come. Returns the months loaded.
+
+    A count of rows could not see a corrected amount; an equal month costs no write at all."""
+    ledger, staged = Ledger(lake), f"{lake.root}/staging/raw-{uuid.uuid4().hex}"
+    try:
+        with ledger.step("lookback.compare", windows_of.spans(months)[0].label if months else "none"
+                         ) as info:
+            for span in windows_of.spans(months):
+                raw_csv.land(source, staged, span)
+            changed = changed_months(lake, months, staged)
+            info.update(months=len(months), changed=len(changed))
+        if changed:
+            backfill(lake, changed, raw_csv.scan(lake.spark, staged), limits, by_month)
+        return changed
+    finally:
+        storage.delete(lake.spark, staged)
+
+
+def unloaded(lake: Lake, planned: list[Window]) -> DataFrame:
+    """(status, first_month, last_month, months) of planned months that silver misses, whose load
+    failed, or whose bronze is newer."""
+    ledger = Ledger(lake)
+    months = windows_of.as_rows(lake.spark, planned).select(F.col("month").alias(MONTH))
+    return run_ledgers.month_ranges(run_ledgers.month_status(
+        months, ledger.table("materializations"), ledger.table("check_results"),
+        ledger.table("step_runs"), checks.BRONZE, checks.SILVER))
+
+
+def backfill_missing(lake: Lake, planned: list[Window], source: DataFrame | None = None,
+                     limits: Thresholds = Thresholds(), by_month: bool = False) -> list[Window]:
+    """Backfill of the planned months that the ledger does not show as loaded."""
+    ranges = unloaded(lake, planned).collect()  # at most one row per planned month
+    labels = {month for row in ranges for month in Window(
+        Window.of(row["first_month"]).start, Window.of(row["last_month"]).end).months}
+    months = [month for window in planned for month in window.split() if month.label in labels]
+    backfill(lake, months, source, limits, by_month)
+    return months
+
+
 def rebuild_gold(lake: Lake, areas: DataFrame, ledger: Ledger, limits: Thresholds = Thresholds(),
-                 window: Window | None = None, check_first: bool = False) -> None:
+                 window: Window | None = None, check_first: bool = False, cubed: bool = False
+                 ) -> None:
     """New versions of all marts. Published, then checked; ``check_first`` audits the staged
-    versions and publishes them only when no blocking check fails."""
+    versions and publishes them only when no blocking check fails. With ``cubed`` silver is scanned
+    for the BI cube only, and the marts' state is rolled up from that."""
     with ledger.step("gold.rebuild"):
-        staged = gold.rebuild(lake, areas, window)
+        if cubed:
+            cube.refresh(lake, window)
+        staged = gold.rebuild(lake, areas, window, cube.state if cubed else None)
     tables = {name: lake.staged(location) for name, location in staged.items()}
     profile, found = _evaluated(checks.gold_profile(tables, lake.table("silver")))
     results = ledger.record(checks.gold(profile, limits))
@@ -165,10 +219,10 @@ def rebuild_gold(lake: Lake, areas: DataFrame, ledger: Ledger, limits: Threshold
 
 def post(lake: Lake, areas: DataFrame, limits: Thresholds = Thresholds(),
          window: Window | None = None, check_first: bool = False,
-         now: datetime | None = None) -> DataFrame:
+         now: datetime | None = None, cubed: bool = False) -> DataFrame:
     """Gold rebuild, then maintenance; returns the maintenance summary."""
     ledger = Ledger(lake)
-    rebuild_gold(lake, areas, ledger, limits, window, check_first)
+    rebuild_gold(lake, areas, ledger, limits, window, check_first, cubed)
     return maintenance(lake, ledger, now)
 
 
@@ -176,9 +230,10 @@ def maintenance(lake: Lake, ledger: Ledger, now: datetime | None = None) -> Data
     """Maintains every table and records what was done; failed tables are in the record."""
     with ledger.step("maintenance") as info:
         summary = maintain.run(lake, now)
+        folded = ledger.fold()
         found = summary.collect()  # one row per table
         failed = {row["table_name"]: row["error"] for row in found if row["status"] == "failed"}
-        info.update(tables=len(found), failed=len(failed))
+        info.update(tables=len(found), failed=len(failed), folded=sum(folded.values()))
     ledger.materialized("maintenance", "all", len(found), failed=len(failed), **{
         name: sum(row[name] for row in found) for name in ("rewritten", "added", "expired")},
         **{f"error {table}": error for table, error in failed.items()})
@@ -192,6 +247,12 @@ def freshness(lake: Lake, ledger: Ledger, now: datetime, limits: Thresholds = Th
     return ledger.record(run_ledgers.freshness(records, now, limits.stale_after_hours))
 
 
+def failures(ledger: Ledger) -> DataFrame:
+    """Every failed attempt so far, with the last success before it and the failures in a row."""
+    return run_ledgers.failure_streaks(run_ledgers.attempts(
+        ledger.table("check_results"), ledger.table("step_runs"), ledger.table("materializations")))
+
+
 def alarms(ledger: Ledger) -> DataFrame:
     """What made runs fail so far."""
     return run_ledgers.alarms(ledger.table("check_results"), ledger.table("step_runs"))

@@ -265,8 +265,17 @@ _COLUMNS = ", ".join(TRIP_COLUMNS)
 
 
 def sql() -> dict[str, str]:
+    found = queries()
+    cubes = {f"cube_{name.removeprefix('bi_')}": text for name, text in found.items()
+             if name.startswith("bi_") and name != "bi_param_sql"}
+    from faremill.registry import runs_oracle  # it builds on this module
+    return found | cubes | runs_oracle.sql()
+
+
+def queries() -> dict[str, str]:
     return {
         "src_paged_extract": on_bronze(f"select {text_columns()} from bronze"),
+        "src_folder_extract": on_bronze(f"select {text_columns()} from bronze"),
         "land_month_csv": on_bronze(f"select {text_columns()}, trip_month as month from bronze"),
         "scan_raw_csv": on_bronze(f"select {text_columns()} from bronze"),
         "raw_row_counts": on_bronze(

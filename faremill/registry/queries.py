@@ -14,15 +14,16 @@ from faremill.operators import windows
 from faremill.operators.filters import Filters
 from faremill.operators.windows import Window
 from faremill.plans import adhoc, bi, bronze, checks, gold, ledger, maintain, pipeline, silver
+from faremill.registry import runs, served
 from faremill.registry.workspace import Workspace, new_lake, workspace
 from faremill.schema import MONTH, SILVER_COLUMNS, TRIP_COLUMNS
 from faremill.sources import areas as area_source
-from faremill.sources import extract, feed, raw_csv
+from faremill.sources import extract, feed, pages, raw_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-NOW = datetime(2024, 1, 31)                      # "now" of the ledger queries
+NOW = runs.NOW                                   # "now" of the ledger queries
 WINDOW = Window.of("1996-06", "1998-06")         # the window of window_filter
 RELOADED = Window.of("1998-01", "1999-01")       # the months month_overwrite loads again
 DATES = Filters(start="1997-02-10", end="1999-08-20")
@@ -43,10 +44,26 @@ def on_workspace(query: Callable[[Workspace], DataFrame]) -> Query:
     return run
 
 
+def on_trips(query: Callable[[Workspace, bi.Trips], DataFrame]) -> Query:
+    """Registers a BI query twice: bi_* on stored trips, and cube_* on the cube."""
+    REGISTRY[query.__name__] = lambda spark, folder: query(
+        workspace(spark, folder), workspace(spark, folder).silver)
+    REGISTRY[f"cube_{query.__name__.removeprefix('bi_')}"] = lambda spark, folder: query(
+        workspace(spark, folder), workspace(spark, folder).cube())
+    return query
+
+
 # sources and sinks ---------------------------------------------------------------------------
 
 @on_workspace
 def src_paged_extract(ws):
+    """Landed rows read as a paged dataset, to which a row is added while it is read."""
+    return extract.extract(ws.spark, ws.landed().lake.raw_root, ws.span, page_rows=2_000,
+                           pages_per_task=5, source=pages.served_by(served.LandedPages))
+
+
+@on_workspace
+def src_folder_extract(ws):
     return extract.extract(ws.spark, ws.landed().lake.raw_root, ws.span)
 
 
@@ -264,94 +281,94 @@ def mart_counts(ws):
 
 # BI --------------------------------------------------------------------------------------------
 
-@on_workspace
-def bi_options_dates(ws):
-    return bi.date_range(ws.silver)
+@on_trips
+def bi_options_dates(ws, trips):
+    return bi.date_range(trips)
 
 
-@on_workspace
-def bi_options_companies(ws):
-    return bi.options(ws.silver, "company")
+@on_trips
+def bi_options_companies(ws, trips):
+    return bi.options(trips, "company")
 
 
-@on_workspace
-def bi_options_payments(ws):
-    return bi.options(ws.silver, "payment_type")
+@on_trips
+def bi_options_payments(ws, trips):
+    return bi.options(trips, "payment_type")
 
 
-@on_workspace
-def bi_options_areas(ws):
-    return bi.area_options(ws.silver, ws.areas)
+@on_trips
+def bi_options_areas(ws, trips):
+    return bi.area_options(trips, ws.areas)
 
 
-@on_workspace
-def bi_summary(ws):
-    return bi.summary(ws.silver)
+@on_trips
+def bi_summary(ws, trips):
+    return bi.summary(trips)
 
 
-@on_workspace
-def bi_filter_dates(ws):
-    return bi.trips_daily(ws.silver, DATES)
+@on_trips
+def bi_filter_dates(ws, trips):
+    return bi.trips_daily(trips, DATES)
 
 
-@on_workspace
-def bi_filter_company(ws):
-    return bi.summary(ws.silver, Filters(company="Brand#7"))
+@on_trips
+def bi_filter_company(ws, trips):
+    return bi.summary(trips, Filters(company="Brand#7"))
 
 
-@on_workspace
-def bi_filter_payment(ws):
-    return bi.trips_by_company(ws.silver, Filters(payment_type="Cash"))
+@on_trips
+def bi_filter_payment(ws, trips):
+    return bi.trips_by_company(trips, Filters(payment_type="Cash"))
 
 
-@on_workspace
-def bi_filter_area(ws):
-    return bi.trips_by_hour(ws.silver, Filters(pickup_area=76))
+@on_trips
+def bi_filter_area(ws, trips):
+    return bi.trips_by_hour(trips, Filters(pickup_area=76))
 
 
-@on_workspace
-def bi_filter_weekend(ws):
-    return bi.payment_mix(ws.silver, Filters(day_type="weekend"))
+@on_trips
+def bi_filter_weekend(ws, trips):
+    return bi.payment_mix(trips, Filters(day_type="weekend"))
 
 
-@on_workspace
-def bi_filter_weekday(ws):
-    return bi.payment_mix(ws.silver, Filters(day_type="weekday"))
+@on_trips
+def bi_filter_weekday(ws, trips):
+    return bi.payment_mix(trips, Filters(day_type="weekday"))
 
 
-@on_workspace
-def bi_trips_daily(ws):
-    return bi.trips_daily(ws.silver, COMBINED)
+@on_trips
+def bi_trips_daily(ws, trips):
+    return bi.trips_daily(trips, COMBINED)
 
 
-@on_workspace
-def bi_trips_by_hour(ws):
-    return bi.trips_by_hour(ws.silver, COMBINED)
+@on_trips
+def bi_trips_by_hour(ws, trips):
+    return bi.trips_by_hour(trips, COMBINED)
 
 
-@on_workspace
-def bi_company(ws):
-    return bi.trips_by_company(ws.silver, COMBINED)
+@on_trips
+def bi_company(ws, trips):
+    return bi.trips_by_company(trips, COMBINED)
 
 
-@on_workspace
-def bi_payment_mix(ws):
-    return bi.payment_mix(ws.silver, DATES)
+@on_trips
+def bi_payment_mix(ws, trips):
+    return bi.payment_mix(trips, DATES)
 
 
-@on_workspace
-def bi_top_routes(ws):
-    return bi.top_routes(ws.silver, ws.areas, COMBINED)
+@on_trips
+def bi_top_routes(ws, trips):
+    return bi.top_routes(trips, ws.areas, COMBINED)
 
 
-@on_workspace
-def bi_pickup_areas(ws):
-    return bi.pickup_areas(ws.silver, ws.areas, COMBINED)
+@on_trips
+def bi_pickup_areas(ws, trips):
+    return bi.pickup_areas(trips, ws.areas, COMBINED)
 
 
-@on_workspace
-def bi_heatmap(ws):
-    return bi.heatmap(ws.silver, Filters(company="Brand#7", pickup_area=30))
+@on_trips
+def bi_heatmap(ws, trips):
+    return bi.heatmap(trips, Filters(company="Brand#7", pickup_area=30))
 
 
 # ad-hoc SQL --------------------------------------------------------------------------------------
@@ -493,19 +510,25 @@ def retention_plan(spark, folder):
 
 # planning and maintenance --------------------------------------------------------------------------
 
+def _planned(ws: Workspace) -> list[Window]:
+    """What the jobs plan from the first month with trips until the month after the last."""
+    first, last = ws.bronze.agg(F.min(MONTH), F.max(MONTH)).first()
+    return windows.backfill(first, None, Window.of(last).end)
+
+
 @on_workspace
 def plan_backfill(ws):
-    return windows.plan_months(ws.bronze, "trip_start_timestamp")
+    return windows.as_rows(ws.spark, _planned(ws))
 
 
 @on_workspace
 def plan_delta(ws):
-    return windows.last_planned(windows.plan_months(ws.bronze, "trip_start_timestamp"), 1)
+    return windows.as_rows(ws.spark, windows.delta(_planned(ws)))
 
 
 @on_workspace
 def plan_lookback(ws):
-    return windows.last_planned(windows.plan_months(ws.bronze, "trip_start_timestamp"), 2)
+    return windows.as_rows(ws.spark, windows.lookback(_planned(ws)))
 
 
 @register
@@ -553,3 +576,6 @@ def maintenance_summary(spark, folder):
     counted = kept[0].unionByName(kept[1]).unionByName(kept[2])
     return summary.join(counted, "table_name", "left").select(
         "table_name", "status", (F.col("rewritten") > F.col("added")).alias("compacted"), "rows")
+
+
+REGISTRY |= runs.QUERIES

@@ -29,15 +29,22 @@ def scan(spark: SparkSession, root: str, window: Window | None = None) -> DataFr
                                                basePath=root).csv(paths))
 
 
-def per_month(window: Window, name: str, counted: Column | None = None) -> list[Column]:
-    """Observed counts of each month's rows; a window has a bounded number of months."""
-    counted = F.lit(True) if counted is None else counted
-    return [F.count_if((F.col("month") == month) & counted).alias(f"{name}_{month}")
-            for month in window.months]
+MOST_MONTHS = 7_500  # of a window; more than six centuries
+
+
+def per_month(window: Window, name: str, counted: Column | None = None) -> Column:
+    """Observed counts of each month's rows, as one aggregate: a map of counts per task, whatever
+    the number of months. Spark's top-k sketch is exact while it holds fewer items than it tracks."""
+    if len(window.months) > MOST_MONTHS:
+        raise ValueError(f"{window.label} has over {MOST_MONTHS} months")
+    month = F.col("month") if counted is None else F.when(counted, F.col("month"))
+    return F.call_function("approx_top_k", month, F.lit(len(window.months) + 1),  # null is an item
+                           F.lit(MOST_MONTHS * 4 // 3)).alias(name)
 
 
 def of_months(window: Window, name: str, seen: dict) -> dict[str, int]:
-    return {month: seen[f"{name}_{month}"] for month in window.months}
+    found = {row["item"]: row["count"] for row in seen[name] or ()}
+    return {month: found.get(month, 0) for month in window.months}
 
 
 def part_counts(raw: DataFrame) -> DataFrame:
@@ -62,7 +69,7 @@ def land(source: DataFrame, root: str, window: Window, page_rows: int = PAGE_ROW
     # observed after the last shuffle: only there do retried tasks count once
     (rows.hint("rebalance", F.col("month"))
      .sortWithinPartitions("month", "trip_start_timestamp", "trip_id")
-     .observe(landed, *per_month(window, "rows"))
+     .observe(landed, per_month(window, "rows"))
      .write.partitionBy("month").mode("overwrite")
      .options(**_QUOTING, maxRecordsPerFile=page_rows, partitionOverwriteMode="dynamic")
      .csv(root))

@@ -37,6 +37,30 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, source = _fs(spark, path)
+    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = _fs(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables under the cluster's shared ``spark.checkpoint.dir``.
 
