@@ -3,6 +3,7 @@
 1. Texts are cut where a rolling hash over 16 bytes has its 10 highest bits zero (chunks of 256 to
    8192 bytes, about 1.3 KB), so equal passages give equal chunks wherever they stand.
 2. Chunks that occur twice or more are counted by a 128-bit digest; only digests are shuffled.
+   Equal rows that follow each other, as a mixture makes them, count and are encoded as one.
 3. Every shared chunk is encoded once, and its ids are joined to the places where it occurs.
 4. A text's shared chunks bring their ids, the runs between them are encoded in place, and each join
    is repaired: the text between the last anchor before the join and the first anchor after it is
@@ -30,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -206,6 +208,21 @@ def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
         F.xxhash64(F.col(text).cast("string")).alias("print"), _body(text).alias("body"))
 
 
+def merged_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with neighbours of equal name and print as one row, and their number as ``copies``."""
+    n = batch.num_rows
+    names, prints = batch.column("name"), batch.column("print")
+    new = np.ones(n, bool)
+    if n > 1:
+        new[1:] = (np.asarray(prints)[1:] != np.asarray(prints)[:-1]) | np.asarray(
+            pc.not_equal(names[1:], names[:-1]))
+    first = np.flatnonzero(new)
+    kept = batch.take(pa.array(first))
+    copies = np.diff(np.append(first, n)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([*kept.columns, pa.array(copies)],
+                                      names=[*kept.schema.names, "copies"])
+
+
 def _batch(fields, *columns):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)],
                                       names=[n for n, _ in fields])
@@ -217,8 +234,8 @@ def shared_chunks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
               ("chunk", pa.binary()))
 
     def places(batches):
-        for batch in batches:
-            names, prints, bodies = (c.to_pylist() for c in batch.columns)
+        for batch in map(merged_rows, batches):
+            names, prints, bodies, _ = (c.to_pylist() for c in batch.columns)
             made = [(n, p, i, chunk_key(t[a:b]))
                     for n, p, t, bounds in zip(names, prints, bodies, chunk_bounds(bodies))
                     for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
@@ -248,13 +265,15 @@ def encoded_chunks(rows: DataFrame, shared: DataFrame, bitmap, path: str) -> Dat
     """(chunk, ids) of every shared chunk, each encoded once; ids as little-endian 32-bit bytes."""
     def proposed(batches):
         fields = (("chunk", pa.binary()), ("body", pa.binary()))
+        seen: set[bytes] = set()  # a task offers a chunk once; 16 bytes for about 1.3 KB read
         for batch in batches:
             bodies = batch.column(0).to_pylist()
             found = {}
             for text, bounds in zip(bodies, chunk_bounds(bodies)):
                 for a, b in zip(bounds, bounds[1:]):
                     chunk = chunk_key(text[a:b])
-                    if chunk not in found and _may_share(bitmap.value, chunk):
+                    if chunk not in seen and _may_share(bitmap.value, chunk):
+                        seen.add(chunk)
                         found[chunk] = text[a:b]
             yield _batch(fields, list(found), list(found.values()))
 
@@ -307,7 +326,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: s
                 for t, bounds in zip(bodies, chunk_bounds(bodies))]
 
     def sharing(batches):
-        for batch in batches:
+        for batch in map(merged_rows, batches):
             yield batch.filter(pa.array(may_meet(batch.column("body").to_pylist()), pa.bool_()))
 
     fields = [pa.field("key", key_type), *(pa.field(n, t) for n, t, _ in columns)]
@@ -317,30 +336,34 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: s
         model = codec(path)
         for batch in batches:
             if "known" not in batch.schema.names:
+                batch = merged_rows(batch)
                 alone = [not x for x in may_meet(batch.column("body").to_pylist())]
                 batch = batch.filter(pa.array(alone, pa.bool_()))
-            keys, bodies = (batch.column(n).to_pylist() for n in ("key", "body"))
+            keys, bodies, copies = (batch.column(n).to_pylist() for n in ("key", "body", "copies"))
             known = (batch.column("known").to_pylist() if "known" in batch.schema.names
                      else [None] * len(keys))
             made: list[list] = [[] for _ in fields]
             size = 0
-            for k, t, some in zip(keys, bodies, known):
+            for k, t, times, some in zip(keys, bodies, copies, known):
                 ready = {p["at"]: np.frombuffer(p["ids"], "<u4") for p in some or ()}
                 ids = assemble(t, chunk_bounds([t])[0] if ready else [], ready, model)
-                for column, value in zip(made, (k, *emit(ids, model))):
-                    column.append(value)
-                size += len(ids)
-                if size > 1 << 20:  # bounds what a batch of ids holds
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(made, fields)], schema=pa.schema(fields))
-                    made, size = [[] for _ in fields], 0
+                row = (k, *emit(ids, model))
+                for _ in range(times):
+                    for column, value in zip(made, row):
+                        column.append(value)
+                    size += len(ids)
+                    if size > 1 << 20:  # bounds what a batch of ids holds
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, f.type) for c, f in zip(made, fields)],
+                            schema=pa.schema(fields))
+                        made, size = [[] for _ in fields], 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(made, fields)], schema=pa.schema(fields))
 
     schema = f"key {kind}, " + ", ".join(f"{n} {t}" for n, _, t in columns)
-    alone = rows.select("key", "body").mapInArrow(finished, schema)
-    met = (rows.mapInArrow(sharing, f"key {kind}, name string, print long, body binary")
-           .join(brought, ["name", "print"], "left").select("key", "body", "known")
+    alone = rows.mapInArrow(finished, schema)
+    met = (rows.mapInArrow(sharing, f"key {kind}, name string, print long, body binary, copies int")
+           .join(brought, ["name", "print"], "left").select("key", "body", "copies", "known")
            .mapInArrow(finished, schema))
     return alone.unionAll(met).withColumnRenamed("key", key)
 

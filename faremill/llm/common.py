@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,11 +19,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_SCOPES: list[list[str]] = []  # of the driver; paths to delete at the end of each open scope
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes what ``stored`` wrote in the block when it ends. Frames that read it must have been
+    written elsewhere by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            storage.delete(spark, path)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table below the shared folder and reads it back: later plans start from files that
     survive lost executors, and read the same rows however often they run."""
     spark = df.sparkSession
     path = storage.working_folder(spark, purpose)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
