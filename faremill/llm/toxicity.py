@@ -4,7 +4,7 @@ each gets the probabilities of the categories before it as features.
 Categories, in chain order: ``insult`` and ``contempt`` (a toxic label and a word of the category's
 list in the text; their models learn from the text like the last), then ``toxic`` (the label).
 In training, earlier categories enter as out-of-fold predictions: each comes from a model that did
-not see the document's fold, so the later model learns how far real predictions can be trusted.
+not see the document's fold (by a hash of its features, so equal texts lie in one), so the later model learns how far real predictions can be trusted.
 
 Features are a text's distinct words and their first 4, 5 and 6 letters, letters only, lower case.
 Spark counts them over a bounded hash sample of labelled documents (``max_docs``, toxic ones up to
@@ -13,12 +13,13 @@ one with the best F1 of the out-of-fold predictions (of several, the middle one)
 
 Defined cases: null text or text without letters has probability 0 everywhere and is not toxic;
 labels null or other than 0 and 1 are not learned from, and an id labelled both ways counts as
-toxic; without both kinds of labels nothing is toxic; repeated rows repeat their result; an empty
-table gives no rows; other columns are ignored."""
+toxic; without both kinds of labels nothing is toxic; repeated rows repeat their result; of an id's several
+texts the smallest is learned from; an empty table gives no rows; other columns are ignored."""
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -33,7 +34,7 @@ CATEGORY_WORDS = {
 }
 CHAIN = (*CATEGORY_WORDS, "toxic")
 PREFIXES = (4, 5, 6)
-FOLDS = 3
+FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -103,11 +104,16 @@ def predict(model, rows: Rows, extra: np.ndarray) -> np.ndarray:
     return sigmoid(rows.sums(w) + np.column_stack([extra, np.ones(len(rows.sizes))]) @ v)
 
 
+def folds(lists: list[list[int]]) -> np.ndarray:
+    """Fold of each row by its features, so that no model has seen an equal row of another fold."""
+    return np.array([zlib.crc32(np.array(x, "<i8").tobytes()) % FOLDS for x in lists], int)
+
+
 def fit_chain(lists: list[list[int]], targets: np.ndarray, width: int):
     """One model a category, trained on out-of-fold predictions of the earlier ones, and the
     threshold of the last."""
     rows = Rows(lists, width)
-    fold = np.arange(len(lists)) % FOLDS
+    fold = folds(lists)
     extra = np.zeros((len(lists), 0))
     models = []
     for target in targets.T.astype(float):
@@ -142,7 +148,8 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows = common.stored(
         df.filter(F.col(text).isNotNull())
         .select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-        .join(F.broadcast(chosen), "key"), "toxic-sample")  # at most max_docs ids
+        .join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("text").alias("text")),
+        "toxic-sample")  # one row for each of at most max_docs ids, chosen before the shuffle
 
     def tallied(batches):
         import pyarrow as pa
