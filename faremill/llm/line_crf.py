@@ -3,21 +3,23 @@
 Lines are the pieces between line feeds that hold a word. Each has binary features (length, symbols,
 digits, capitals, bars, repetition inside the line and of earlier lines, end of sentence). Weights
 of features and of steps between neighbouring lines are fitted by gradient ascent of the likelihood
-on a bounded hash sample of labelled documents (``max_docs``, their first ``max_lines`` lines), with
-every line carrying its document's quality label. Viterbi decoding of a whole text gives its most
+on a bounded hash sample of labelled documents (``max_docs``; of each, a window of ``max_lines`` lines
+at a hashed place of its whole text, whose features know all lines before), with every line
+carrying its document's quality label. An id of several rows gives one of them. Viterbi decoding of a whole text gives its most
 likely labels, and a text is kept if at least ``MIN_CONTENT`` of its word characters stand in
 content lines.
 
 Before that, base rules fail texts of under 20 words and texts in which over 30 % of the words are
 in 8-word windows that occur twice or more.
 
-Defined cases: null text is empty: no words, base failed, not kept; a text that passes the base has
-at least one line; without labelled rows of both kinds, every line counts as content; texts are read
+Defined cases: null text is empty: no words, base failed, not kept; a text without lines keeps no content; without labelled rows of both kinds, every line counts as content; texts are read
 whole; repeated rows and ids repeat their result; an empty table gives no rows; other columns are
 ignored."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -194,17 +196,21 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     share = F.when(F.col("label") == 1, half * max_docs // 2 / counts[1]).otherwise(
         half * max_docs // 2 / counts[0])
     chosen = known.filter(part < share).orderBy(part, "key").limit(max_docs)  # bounds the broadcast
-    lines = F.slice(F.split(F.col(text), "\n"), 1, max_lines)
-    texts = (df.select(F.col(key).alias("key"), F.array_join(lines, "\n").alias("text"))
-             .join(F.broadcast(chosen), "key"))
+    texts = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(
+        F.broadcast(chosen), "key")
 
-    def listed(found, labels_):
-        for text_, y in zip(found, labels_):
-            yield line_features(text_ or "")[0].ravel().tolist(), y
+    def listed(keys, found, labels_):
+        for k, text_, y in zip(keys, found, labels_):
+            lines = line_features(text_ or "")[0]
+            mark = zlib.crc32(f"{k}:{len(lines)}".encode())
+            first = mark % max(1, len(lines) - max_lines + 1)
+            yield k, lines[first:first + max_lines].ravel().tolist(), y
 
-    # lines may be of any length, so only their features are collected
-    made = common.map_texts(texts.select("text", "label"), listed,
-                            "x array<double>, label int").collect()
+    # lines may be of any length, so only their features go on; one row an id is collected
+    kind = df.schema[key].dataType.simpleString()
+    made = (common.map_texts(texts.select("key", "text", "label"), listed,
+                             f"key {kind}, x array<double>, label int")
+            .groupBy("key").agg(F.min(F.struct("x", "label")).alias("row")).select("row.*").collect())
     made.sort(key=lambda row: (row.x, row.label))
     return fit([(np.array(row.x).reshape(-1, len(FEATURES)), row.label)
                 for row in made if row.x])
