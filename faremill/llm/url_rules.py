@@ -2,8 +2,11 @@
 
 Pages that a given rule decides are the labelled ones. Spark's FP-growth mines combinations of URL
 tokens (host labels, path segments, query names, scheme, with numbers folded) together with the
-verdict; rules "tokens -> verdict" are pruned by support and confidence, and a rule is dropped if
-fewer of its tokens already give the same verdict with no less confidence. A page that no given rule
+verdict, each verdict's pages on their own, so that a rare verdict gets its rules; rules "tokens ->
+verdict" are pruned by support within their verdict and by confidence over all labelled pages, and a
+rule is dropped if fewer of its tokens already give the same verdict with no less confidence. Tokens
+that stand on exactly the same labelled pages are mined as one: sets of them say the same, and k of
+them would make 2^k. A page that no given rule
 decides takes the verdict of its most confident matching rule (ties: more pages, then allow), or
 ``allow`` if none matches.
 
@@ -19,9 +22,11 @@ table gives no rows; other columns are ignored."""
 
 from __future__ import annotations
 
+import itertools
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faremill.llm import common
 
@@ -33,7 +38,6 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-MARK = "verdict="
 
 
 def host_of(url: Column) -> Column:
@@ -74,26 +78,77 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def mined_rules(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8) -> DataFrame:
-    """Stored rules (tokens, verdict, confidence, support) from (tokens, verdict) rows, without those
-    of which fewer tokens give the same verdict with no less confidence."""
+def counts_of(labelled: DataFrame) -> dict[str, int]:
+    return {row.verdict: row["count"] for row in labelled.groupBy("verdict").count().collect()}
+
+
+def token_groups(baskets: DataFrame, least: dict[str, int]) -> dict[str, str]:
+    """Token -> its group's name, for tokens on enough pages of some verdict. Tokens that stand on
+    exactly the same labelled pages are a group: rules cannot tell them apart.
+
+    A page has a bounded number of tokens and a token a least share of pages, so few are returned."""
+    page = F.xxhash64("id", "tokens", "verdict")
+    enough = F.lit(False)
+    for verdict, pages in least.items():
+        enough = enough | (F.col(f"in {verdict}") >= pages)
+    seen = (baskets.withColumn("page", page).withColumn("t", F.explode("tokens")).groupBy("t")
+            .agg(*[F.count_if(F.col("verdict") == v).alias(f"in {v}") for v in least],
+                 F.bit_xor("page").alias("mixed"),
+                 F.sum(F.col("page").cast("decimal(38,0)")).alias("sum"))
+            .filter(enough))
+    same = F.struct(*[F.col(f"in {v}") for v in least], "mixed", "sum")
+    return {row.t: row.name for row in seen.select("t", same.alias("same")).withColumn(
+        "name", F.min("t").over(Window.partitionBy("same"))).select("t", "name").collect()}
+
+
+def grouped(groups: dict[str, str]):
+    """Expression of a token list -> the sorted names of its tokens' groups."""
+    @F.pandas_udf("array<string>")
+    def names(tokens):
+        return tokens.map(lambda have: sorted({groups[t] for t in have if t in groups}))
+
+    return names
+
+
+def mined_rules(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8,
+                least_pages: int = 3) -> tuple[DataFrame, dict[str, str]]:
+    """Stored rules (tokens, verdict, confidence, support) from (tokens, verdict) rows, and the group
+    of each token: rules are over groups. A rule's pages are at least ``support`` of those of its
+    verdict, and ``least_pages``. Rules of which fewer tokens give the same verdict with no less
+    confidence are left out. ``support`` of a returned rule is its share of all labelled pages."""
     from pyspark.ml.fpm import FPGrowth
 
-    baskets = common.stored(labelled.select(F.concat(
-        "tokens", F.array(F.concat(F.lit(MARK), "verdict"))).alias("items")), "url-baskets")
-    n_pages = max(1, baskets.count())
-    model = FPGrowth(itemsCol="items", minSupport=support).fit(baskets)
-    # the marks are not tokens, which all start with another prefix
-    marks = F.filter("items", lambda t: t.startswith(MARK))
-    tokens = F.array_sort(F.filter("items", lambda t: ~t.startswith(MARK)))
-    found = common.stored(model.freqItemsets.select(
-        tokens.alias("tokens"), F.substring(F.get(marks, F.lit(0)), len(MARK) + 1, 100).alias("verdict"), "freq")
-        .filter(F.size("tokens") > 0), "url-itemsets")
-    pages = found.filter("verdict is null").select("tokens", F.col("freq").alias("pages"))
-    sure = common.stored(found.filter("verdict is not null").join(pages, "tokens").select(
+    kind = "tokens array<string>, verdict string, confidence double, support double"
+    baskets = common.stored(labelled.select("tokens", "verdict").withColumn("id", F.expr("uuid()")),
+                            "url-baskets")
+    sizes = counts_of(baskets)
+    least = {v: max(least_pages, math.ceil(support * n)) for v, n in sizes.items()}
+    groups = token_groups(baskets, least) if sizes else {}
+    if not groups:
+        return labelled.sparkSession.createDataFrame([], kind), groups
+    pages = common.stored(baskets.select(grouped(groups)("tokens").alias("tokens"), "verdict"),
+                          "url-groups")
+    sets = None
+    for verdict, n in sorted(sizes.items()):
+        model = FPGrowth(itemsCol="tokens", minSupport=(least[verdict] - 0.5) / n).fit(
+            pages.filter(F.col("verdict") == verdict).select("tokens"))
+        own = model.freqItemsets.select(F.array_sort("items").alias("tokens"),
+                                        F.lit(verdict).alias("verdict"), "freq")
+        sets = own if sets is None else sets.unionAll(own)
+    sets = common.stored(sets, "url-itemsets")
+    lists = common.stored(pages.groupBy("tokens").agg(F.count("*").alias("n")), "url-lists")
+    # pages of all verdicts that have a set's tokens, by a join on the rarest of them
+    rarity = lists.select(F.explode("tokens").alias("t"), "n").groupBy("t").agg(F.sum("n").alias("n"))
+    rarest = (sets.select("tokens").distinct().withColumn("t", F.explode("tokens"))
+              .join(rarity, "t").groupBy("tokens").agg(F.min(F.struct("n", "t"))["t"].alias("t")))
+    with_tokens = (rarest.withColumnRenamed("tokens", "needed")
+                   .join(lists.withColumn("t", F.explode("tokens")), "t")
+                   .filter(F.size(F.array_except("needed", "tokens")) == 0)
+                   .groupBy(F.col("needed").alias("tokens")).agg(F.sum("n").alias("pages")))
+    sure = common.stored(sets.join(with_tokens, "tokens").select(
         "tokens", "verdict", (F.col("freq") / F.col("pages")).alias("confidence"),
-        (F.col("freq") / F.lit(n_pages)).alias("support"), F.size("tokens").alias("size")),
-        "url-rules")
+        (F.col("freq") / F.lit(sum(sizes.values()))).alias("support"),
+        F.size("tokens").alias("size")), "url-rules")
     # every subset of a frequent itemset is one, so the sizes follow without a gap
     longest = sure.agg(F.max("size")).first()[0] or 0
     levels = [common.stored(sure.filter("size = 1").withColumn("below", F.lit(0.0)), "url-level")]
@@ -110,7 +165,7 @@ def mined_rules(labelled: DataFrame, support: float = 0.01, confidence: float =
             *levels[0].columns), "url-level"))
     return common.stored(reduce(DataFrame.unionAll, levels).filter(
         (F.col("confidence") >= confidence) & (F.col("below") < F.col("confidence")))
-        .select("tokens", "verdict", "confidence", "support"), "url-kept")
+        .select("tokens", "verdict", "confidence", "support"), "url-kept"), groups
 
 
 def ranked(rules: DataFrame) -> list[tuple[tuple[str, ...], str, float, float]]:
@@ -119,10 +174,15 @@ def ranked(rules: DataFrame) -> list[tuple[tuple[str, ...], str, float, float]]:
                   key=lambda r: (-r[2], -r[3], r[1], r[0]))
 
 
-def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8
-         ) -> list[tuple[tuple[str, ...], str, float, float]]:
-    """All rules from (tokens, verdict) rows, best first."""
-    return ranked(mined_rules(labelled, support, confidence))
+def mine(labelled: DataFrame, **mining) -> list[tuple[tuple[str, ...], str, float, float]]:
+    """All rules from (tokens, verdict) rows, best first, with every token of each group."""
+    found, groups = mined_rules(labelled, **mining)
+    members: dict[str, list[str]] = {}
+    for token, name in groups.items():
+        members.setdefault(name, []).append(token)
+    return sorted(((tuple(sorted(tokens)), *rest) for names, *rest in ranked(found)
+                   for tokens in itertools.product(*(members[n] for n in names))),
+                  key=lambda r: (-r[2], -r[3], r[1], r[0]))
 
 
 def inverted(rules) -> dict[str, list[tuple[int, frozenset, str]]]:
@@ -166,9 +226,10 @@ def judge(df: DataFrame, key: str = "page_id", url: str = "url", rules=RULES,
                       address.alias("address"))
     decided = parts.withColumn("given", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
         "tokens", tokens_of(F.col("address"), F.col("host"), F.col("path")))
-    found = mined_rules(decided.filter("given is not null")
-                        .select("tokens", F.col("given.verdict").alias("verdict")), **mining)
+    found, groups = mined_rules(decided.filter("given is not null").select(
+        "tokens", F.col("given.verdict").alias("verdict")), **mining)
     if found.count() > max_rules:
+        decided = decided.withColumn("tokens", grouped(groups)("tokens"))
         fits = matched(decided.filter("given is null").select("tokens"), found)
         judged = decided.join(fits, "tokens", "left").withColumn(
             "open", F.coalesce("mined", F.lit("allow")))
@@ -177,7 +238,8 @@ def judge(df: DataFrame, key: str = "page_id", url: str = "url", rules=RULES,
 
         @F.pandas_udf("string")
         def mined(tokens):
-            return tokens.map(lambda have: best_match(index, have))
+            return tokens.map(lambda have: best_match(
+                index, {groups[t] for t in have if t in groups}))
 
         judged = decided.withColumn("open", mined("tokens"))
     return judged.select(key, "host", "path", F.col("given.rule").alias("rule"),
