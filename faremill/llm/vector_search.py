@@ -11,8 +11,8 @@ Queries and candidates meet block by block: candidates are cut into blocks of ab
 by hash of their id, queries likewise, and each pair of blocks is one task's work; per query and
 block at most k rows leave, and a window keeps the best k of them.
 
-Defined cases: vectors that are null, empty, or hold a null or non-finite component, and rows with a
-null id, take no part; a shorter vector counts as padded with zeros; of several rows with a query's
+Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null
+id, take no part; a shorter vector, also an empty one, counts as padded with zeros; of several rows with a query's
 id the smallest vector is the query, and none of them is its candidate; other rows with equal ids
 are candidates of their own; ties go to the smaller id; an empty table gives no rows; other columns
 are ignored. Scores are exact while they fit a long."""
@@ -30,7 +30,7 @@ def integers(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     """(key, v) of the rows that take part, v an array of longs."""
     values = F.col(vector)
     good = F.forall(values, lambda x: common.finite(x.cast("double")))
-    return (df.filter(F.col(key).isNotNull() & values.isNotNull() & (F.size(values) > 0))
+    return (df.filter(F.col(key).isNotNull() & values.isNotNull())
             .filter(F.coalesce(good, F.lit(False)))
             .select(F.col(key).alias("key"), F.transform(
                 values, lambda x: F.floor(scale * x.cast("double")).cast("long")).alias("v")))
@@ -54,8 +54,8 @@ def ranges(rows: DataFrame) -> dict[int, tuple[int, int]]:
 
     found = (rows.select("v").mapInArrow(local, "d int, low long, high long")
              .groupBy("d").agg(F.min("low"), F.max("high")).collect())
-    # zero is in every range, as short vectors are padded with it
-    return {d: (min(0, low), max(0, high)) for d, low, high in found}
+    # zero is in every range, as short vectors are padded with it; empty ones have one dimension
+    return {d: (min(0, low), max(0, high)) for d, low, high in found} or {0: (0, 0)}
 
 
 class Cells:
@@ -167,8 +167,9 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding,
+  SELECT vec_id, list_resize(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)),
+    (SELECT greatest(1, max(len(embedding))) FROM embeddings), 0) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding,
     lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 ranked AS (
   SELECT q.vec_id AS query_id, c.vec_id,

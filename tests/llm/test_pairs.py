@@ -129,7 +129,7 @@ def test_one_document_of_each_group_stays(spark, edge_docs):
 def plain_search(rows, every, k):
     out = []
     good = [(i, np.floor(64 * np.array(v, float))) for i, v in rows
-            if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     width = max((len(v) for _, v in good), default=0)
     good = [(i, np.pad(v, (0, width - len(v))).astype(int)) for i, v in good]
     queries = {}
@@ -146,7 +146,7 @@ def test_search_against_all_pairs(spark):
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=8).round(2).tolist()) for i in range(300)]
     rows += [(300, None), (301, [1.0, None]), (302, [float("nan")] * 8), (303, [float("inf")] * 8),
-             (304, []), (305, [0.5, 0.5]), (None, [1.0] * 8), (20, [0.25] * 8), (41, rows[40][1]),
+             (304, []), (340, []), (305, [0.5, 0.5]), (None, [1.0] * 8), (20, [0.25] * 8), (41, rows[40][1]),
              (320, rows[40][1]), (-20, [3.0] * 8)]
     table = spark.createDataFrame([(i, v, "x", "y") for i, v in rows],
                                   "vec_id long, embedding array<double>, key string, rank string")
@@ -154,6 +154,8 @@ def test_search_against_all_pairs(spark):
         got = vector_search.search(table, k=7, **settings).collect()
         assert sorted(map(tuple, got)) == plain_search(rows, 20, 7)
     assert vector_search.search(table.limit(0)).count() == 0
+    empty = spark.createDataFrame([(20, []), (1, []), (2, [])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, vector_search.search(empty).collect())) == [(20, 1, 1, 0), (20, 2, 2, 0)]
     assert vector_search.search(table.limit(5), k=20).count() == 4
 
 

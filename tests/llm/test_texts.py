@@ -128,6 +128,41 @@ def test_training_collects_features_not_lines(spark):
     assert line_crf.content_share("| a | b |\n| c | d |", model) == 0
 
 
+def test_lines_behind_the_first_are_learned_from(spark):
+    """Good and bad texts open alike; what tells them apart stands far behind."""
+    head = "An opening line that both kinds share, of some words.\n" * 3
+    prose = "".join(f"Line {i} of good prose that ends as a sentence does.\n" for i in range(200))
+    table = "".join(f"| {i} | 7 | 8 |\n" for i in range(200))
+    docs = spark.createDataFrame(
+        [(k, head + (prose if k % 2 else table)) for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    model = line_crf.train(docs, labels, max_lines=5)
+    assert line_crf.content_share(prose, model) > 0.9 > 0.1 > line_crf.content_share(table, model)
+
+
+def test_an_id_that_comes_often_is_one_training_row(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(1, f"good words number {i}. And more of them here.") for i in range(1000)]
+        + [(k, "idiot scum | | |" if k % 2 else "kind words.") for k in range(2, 40)],
+        "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1, 0)] + [(k, k % 2, k % 2) for k in range(2, 40)],
+                                   "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(line_crf, "fit", lambda made: seen.append(len(made)))
+    line_crf.train(docs, labels)
+    plain = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda lists, *more: (
+        seen.append(len(lists)), plain(lists, *more))[1])
+    toxicity.train(docs, labels)
+    assert seen == [39, 39]
+
+
+def test_equal_rows_share_a_fold():
+    lists = [[i % 7, 7 + i % 3] for i in range(300)]
+    fold = toxicity.folds(lists)
+    assert all(fold[i] == fold[i + 21] for i in range(279)) and len(set(fold.tolist())) == toxicity.FOLDS
+
+
 def test_quality_of_edge_rows(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = line_crf.train(edge_docs, none)
@@ -163,9 +198,9 @@ class _pair:
 def test_later_models_use_earlier_predictions():
     rng = np.random.default_rng(2)
     first = rng.random(600) < 0.5
-    lists = [[0] if x else [1] for x in first]
+    lists = [[0 if x else 1, 2 + i] for i, x in enumerate(first)]
     targets = np.column_stack([first, first]).astype(int)
-    models, _ = toxicity.fit_chain(lists, targets, 2)
+    models, _ = toxicity.fit_chain(lists, targets, 602)
     assert len(models[0][1]) == 1 and len(models[1][1]) == 2 and models[1][1][0] > 0
 
 
@@ -253,6 +288,21 @@ def test_ids_and_texts_of_the_library(spark, library, edge_docs, no_docs):
     assert bpe.encode(no_docs).count() == 0
 
 
+def test_repeated_rows_are_encoded_as_one_and_share_nothing(spark, library, tmp_path):
+    """Rows repeated one to five times in a row, as a mixture makes them, in several files."""
+    docs = [r for r in common.documents(spark, SF).select("doc_id", "text").limit(60).collect()]
+    rows = [(r.doc_id, r.text) for i, r in enumerate(docs) for _ in range(1 + i % 5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(tuple(r) for r in bpe.encode(table, output="digests").collect())
+    assert got == sorted((k, *digests(library, t)) for k, t in rows)
+    own = " ".join(f"word{i}" for i in range(2_000))  # a text of many chunks, in no other row
+    alone = spark.createDataFrame([(1, own)] * 5 + [(2, "other")], "doc_id long, text string")
+    places, shared = bpe.shared_chunks(bpe._rows(alone.coalesce(1), "doc_id", "text"))
+    assert places.count() > 5 and shared.count() == 0
+    twice = spark.createDataFrame([(1, own), (2, own)], "doc_id long, text string")
+    assert bpe.shared_chunks(bpe._rows(twice, "doc_id", "text"))[1].count() > 5
+
+
 def digests(library, text):
     ids = library.encode(text, add_special_tokens=False).ids
     decoded = library.decode(ids, skip_special_tokens=False)
@@ -327,14 +377,14 @@ def test_mined_rules_against_all_itemsets(spark):
     baskets = [(["a", "b"], "block")] * 6 + [(["a", "c"], "allow")] * 5 + [(["b", "c", "d"], "block")] * 3 \
         + [(["c"], "allow")] * 4 + [(["d", "a"], "allow")]
     got = url_rules.mine(spark.createDataFrame(baskets, "tokens array<string>, verdict string"),
-                         support=0.1, confidence=0.7)
-    want = {}
+                         support=0.2, confidence=0.7, least_pages=1)
+    want, sizes = {}, {v: sum(x == v for _, x in baskets) for v in ("block", "allow")}
     for n in (1, 2, 3, 4):
         for items in combinations("abcd", n):
             have = [v for t, v in baskets if set(items) <= set(t)]
             for verdict in ("block", "allow"):
                 sure = have.count(verdict) / max(1, len(have))
-                if have.count(verdict) >= 0.1 * len(baskets) and sure >= 0.7 and not any(
+                if have.count(verdict) >= 0.2 * sizes[verdict] and sure >= 0.7 and not any(
                         set(s) < set(items) and v == verdict and c >= sure for (s, v), c in want.items()):
                     want[items, verdict] = sure
     assert {(t, v): pytest.approx(c) for t, v, c, _ in got} == want
@@ -367,6 +417,27 @@ def test_common_tokens_do_not_crowd_out_rules(spark):
     assert {(t, v) for t, v, _, _ in got} == {((t,), v) for ts, v in decided for t in ts}
 
 
+def test_a_rare_verdict_gets_its_rule(spark):
+    """Five of 1,000 labelled pages, which one token separates."""
+    urls = [f"https://www.example.com/en/a{chr(97 + i % 7)}" for i in range(995)]
+    urls += [f"https://x.net/es/kind/b{i}" for i in range(5)]
+    asked = ["https://q.org/kind", "https://q.org/aa"]
+    pages = spark.createDataFrame(list(enumerate(urls + asked)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages).collect()}
+    assert [got[1000], got[1001]] == ["block", "allow"]
+
+
+def test_tokens_common_to_all_pages_make_no_itemsets(spark):
+    """Twenty such tokens would make a million itemsets."""
+    deep = "/".join(f"p{chr(97 + i)}" for i in range(20))
+    urls = [f"https://www.example.com/en/{deep}/{'xy'[i % 2]}" for i in range(60)]
+    urls += [f"https://w.net/es/{deep}/{'yz'[i % 2]}" for i in range(40)]
+    asked = ["https://q.org/x", "https://q.org/z", "https://q.org/y", f"ftp://q.org/{deep}"]
+    pages = spark.createDataFrame(list(enumerate(urls + asked)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages).collect()}
+    assert [got[i] for i in range(100, 104)] == ["allow", "block", "allow", "allow"]
+
+
 def test_every_letter_of_the_samples_counts(spark, monkeypatch):
     """A language of thousands of letters does not take texts of other scripts."""
     rng = np.random.default_rng(4)
