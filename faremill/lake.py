@@ -16,7 +16,7 @@ from faremill import storage
 from faremill.operators.windows import Window, in_window
 from faremill.records import Records
 from faremill.schema import BRONZE_DDL, MONTH, SILVER_DDL
-from faremill.session import SHUFFLED_PER_STORED, setting, sized_shuffles
+from faremill.session import SHUFFLED_PER_STORED, setting, sized_shuffles, task_bytes
 
 TRIPS = "taxi_trips"
 STATE = "mart_state"
@@ -127,9 +127,10 @@ class Lake:
         plain = window is not None and len(window.months) == 1 and not order
         writers = setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters",
                           "2" if plain else "0")
-        # merged and split shuffle partitions, and with them files, follow the file size
+        # merged and split shuffle partitions, and with them files, follow the file size; the
+        # settings hold for the session's other jobs of this moment as well, which lose nothing by it
         sizes = setting(self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-                        str(FILE_BYTES * SHUFFLED_PER_STORED))
+                        str(task_bytes(df, FILE_BYTES * SHUFFLED_PER_STORED)))
         with writers, sizes:
             rows.write.insertInto(self.name(layer, table), overwrite=True)
         if drop_missing:

@@ -16,6 +16,7 @@ from faremill.operators.windows import Window
 from faremill.plans import bronze, checks, cube, gold, ledger as run_ledgers, maintain, silver
 from faremill.plans.ledger import Ledger
 from faremill.schema import MONTH
+from faremill.session import sized_shuffles
 from faremill.sources import raw_csv
 
 
@@ -66,9 +67,12 @@ def load_silver(lake: Lake, window: Window, ledger: Ledger, limits: Thresholds =
     with ledger.step("silver.load", window.label):
         silver.load(lake, window, drop_empty=drop_empty)
     months = lake.spark.createDataFrame([(m,) for m in window.months], f"{MONTH} string")
-    profile, found = _evaluated(checks.silver_profile(
-        months, lake.month_counts("bronze", window),
-        silver.profile(lake.read_partitions("silver", window))))
+    stored = sum(storage.size(lake.spark, f"{lake.location('silver')}/{MONTH}={month}")
+                 for month in window.months)
+    with sized_shuffles(lake.spark, stored):  # all ids of the window are shuffled
+        profile, found = _evaluated(checks.silver_profile(
+            months, lake.month_counts("bronze", window),
+            silver.profile(lake.read_partitions("silver", window))))
     rows = sum(row["rows"] for row in found)
     ledger.materialized(
         checks.SILVER, window.label, rows,

@@ -23,6 +23,7 @@ DEFAULTS = {
 
 
 SHUFFLED_PER_STORED = 4  # shuffled rows against compressed columnar files, roughly
+UNKNOWN_BYTES = 1 << 50  # sources without statistics report far more
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -34,6 +35,25 @@ def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 256 << 20) -> in
     return max(8, math.ceil(shuffled_bytes / target_bytes))
 
 
+def estimated_bytes(df) -> int | None:
+    """Bytes that the tables below a frame hold by Spark's statistics, that is by file sizes; None
+    where one of them has none. (A join's own estimate is a product, far too much.)"""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return size if size < UNKNOWN_BYTES else None
+
+
+def task_bytes(df, most: int, least: int = 4 << 20) -> int:
+    """Shuffle bytes per write task: ``most``, or for small jobs an even share of the session's
+    cores, so that a small window is not left to one of them. Jobs of more than cores x most are
+    written as before."""
+    size = estimated_bytes(df)
+    if size is None:
+        return most
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return min(most, max(least, size // cores))
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Sets a session option for the jobs of a block."""

@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from faremill import storage
 from faremill.operators.windows import Window
 from faremill.schema import RAW, TRIP_COLUMNS
+from faremill.session import setting, task_bytes
 
+TASK_BYTES = 128 << 20  # shuffled rows that a task lands
 PAGE_ROWS = 50_000  # fixed value: most rows per source page and per raw part
 
 # RFC 4180 text: doubled quotes, quoted line breaks, spaces kept. A file is then not splittable,
@@ -67,12 +69,14 @@ def land(source: DataFrame, root: str, window: Window, page_rows: int = PAGE_ROW
             .select(*TRIP_COLUMNS, F.substring(ts, 1, 7).alias("month")))
     landed = Observation()
     # observed after the last shuffle: only there do retried tasks count once
-    (rows.hint("rebalance", F.col("month"))
-     .sortWithinPartitions("month", "trip_start_timestamp", "trip_id")
-     .observe(landed, per_month(window, "rows"))
-     .write.partitionBy("month").mode("overwrite")
-     .options(**_QUOTING, maxRecordsPerFile=page_rows, partitionOverwriteMode="dynamic")
-     .csv(root))
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                 str(task_bytes(source, TASK_BYTES))):
+        (rows.hint("rebalance", F.col("month"))
+         .sortWithinPartitions("month", "trip_start_timestamp", "trip_id")
+         .observe(landed, per_month(window, "rows"))
+         .write.partitionBy("month").mode("overwrite")
+         .options(**_QUOTING, maxRecordsPerFile=page_rows, partitionOverwriteMode="dynamic")
+         .csv(root))
     found = of_months(window, "rows", landed.get)
     for month, rows in found.items():
         if not rows:

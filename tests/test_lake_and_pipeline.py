@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF, counts, rows
 from faremill import lake as lake_module
@@ -336,3 +337,21 @@ def test_shuffle_partitions_follow_the_stored_bytes(spark):
             assert spark.conf.get(key) == "16384"
             raise ValueError
     assert spark.conf.get(key) == before
+
+
+def test_small_writes_use_the_cores_and_large_ones_the_file_size(spark, lake, trips):
+    from faremill import session
+
+    most = lake_module.FILE_BYTES * session.SHUFFLED_PER_STORED
+    sized = spark.read.parquet(f"{SF}/lineitem.parquet")
+    known = session.estimated_bytes(sized)
+    assert 0 < known < 1 << 24 and session.task_bytes(sized, most) == 4 << 20
+    both = sized.alias("a").join(sized.alias("b"), "l_orderkey")
+    assert session.estimated_bytes(both) == 2 * known  # not their product
+    assert session.task_bytes(sized, most, least=1) == known // spark.sparkContext.defaultParallelism
+    assert session.task_bytes(sized, 1000) == 1000
+    unknown = spark.range(1).withColumn("x", F.lit(1)).crossJoin(spark.range(1 << 60))
+    assert session.task_bytes(unknown, most) == most
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    lake.overwrite_months(trips(trip(1, "2023-10-01T00:00:00")), "bronze")
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
