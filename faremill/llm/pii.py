@@ -2,12 +2,13 @@
 
 Candidates are e-mail addresses, IPv4 addresses, card numbers (14 to 19 digits, Luhn), phone numbers
 with a plus sign (10 to 15 digits), and bank accounts (IBAN, mod 97). These five are certain by
-themselves (score 0.7 or more). Two weaker patterns need a word beside them: a local phone number
-(8 to 12 grouped digits) and a 13 digit card number. A span counts from a score of 0.5.
+themselves (score 0.7 or more). Three weaker patterns need a word beside them: a local phone number
+(8 to 12 grouped digits), a 13 digit card number, and a secret: 12 or more letters and digits, both
+among them, that a word such as token or password assigns. A span counts from a score of 0.5.
 
 score = pattern's prior + 0.3 if a checksum holds + 0.3 if a context word of its kind stands within
 40 characters before or 20 after it. The first four kinds are kept whatever the score; spans that
-the method adds never overlap a kept one.
+the method adds never overlap a kept one. Scores are returned in the order of the spans.
 
 Defined cases: null text is empty and has no spans; positions are code points, end exclusive; texts
 are searched whole, in time proportional to their length; rows are independent, so repeated rows
@@ -38,7 +39,17 @@ _CONTEXT = {
     "phone": re.compile(r"\b(?:call|phone|tel|telephone|mobile|fax|telefon|llame|appelez)\b", re.I),
     "card": re.compile(r"\b(?:card|visa|mastercard|amex|credit|karte|carte|tarjeta)\b", re.I),
     "iban": re.compile(r"\b(?:iban|bank|account|konto|compte|cuenta)\b", re.I),
+    "email": re.compile(r"\b(?:e-?mail|mail|contact|write|kontakt|correo|courriel)\b", re.I),
+    "ip": re.compile(r"\b(?:ip|host|server|address|login|adresse)\b", re.I),
 }
+_SECRET = re.compile(
+    r"\b(?:token|secret|api[_-]?key|access[_-]?key|auth|password|passwd)[\"']?[ \t]{0,3}[:=]"
+    r"[ \t]{0,3}[\"']?([A-Za-z0-9_+/=-]{12,})", re.I | re.A)
+# by themselves, and with a checksum where the kind has one
+_PRIOR = {"email": 0.7, "ip": 0.7, "card": 0.4, "phone": 0.7, "iban": 0.4,
+          "short card": 0.1, "local phone": 0.3, "secret": 0.3}
+_CHECKED = 0.3
+_BESIDE = 0.3
 
 
 def luhn(digits: str) -> bool:
@@ -94,6 +105,12 @@ def _near(kind: str, text: str, start: int, end: int) -> bool:
                 or _CONTEXT[kind].search(text[end:end + 20]))
 
 
+def _score(kind: str, text: str, start: int, end: int, checked: bool = False,
+           prior: str | None = None) -> float:
+    return min(1.0, _PRIOR[prior or kind] + _CHECKED * checked
+               + _BESIDE * _near(kind, text, start, end))
+
+
 def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
     """The longest beginning of the match that ends with a group and passes the checksum: capitals
     that follow an account number look like another group of it."""
@@ -111,14 +128,19 @@ def added_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     for m in _IBAN.finditer(text):
         span = _account(text, *m.span())
         if span:
-            proposed.append((*span, "iban", 0.3 + 0.3 + 0.3 * _near("iban", text, *span)))
+            proposed.append((*span, "iban", _score("iban", text, *span, checked=True)))
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
         if len(digits) == 13 and luhn(digits):
-            proposed.append((*m.span(), "card", 0.1 + 0.3 + 0.3 * _near("card", text, *m.span())))
+            proposed.append((*m.span(), "card", _score("card", text, *m.span(), checked=True,
+                                                       prior="short card")))
     for m in _LOCAL_PHONE.finditer(text):
         if 8 <= len(_digits(m[0])) <= 12:
-            proposed.append((*m.span(), "phone", 0.3 + 0.3 * _near("phone", text, *m.span())))
+            proposed.append((*m.span(), "phone", _score("phone", text, *m.span(),
+                                                        prior="local phone")))
+    for m in _SECRET.finditer(text):
+        if re.search("[0-9]", m[1]) and re.search("[A-Za-z]", m[1]):  # its word is in the match
+            proposed.append((*m.span(1), "secret", _PRIOR["secret"] + _BESIDE))
     good = sorted(p for p in proposed if p[3] >= MIN_SCORE)
     taken, kept = [(s, e) for s, e, _ in base], []
     for start, end, kind, score in good:
@@ -137,14 +159,21 @@ def added_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     return merged
 
 
-def spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """The certain spans, and all spans, each by start and kind."""
+def scored(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
+    """The certain spans, and all spans with their scores, each by start and kind."""
     base = base_spans(text)
-    order = {kind: i for i, kind in enumerate((*KINDS, "iban"))}
-    every = base + [s[:3] for s in added_spans(text, base)]
+    order = {kind: i for i, kind in enumerate((*KINDS, "iban", "secret"))}
+    every = [(*s, _score(s[2], text, s[0], s[1], checked=s[2] == "card")) for s in base]
+    every += added_spans(text, base)
     return base, sorted(every, key=lambda s: (s[0], order[s[2]], s[1]))
 
 
+def spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """The certain spans, and all spans, each by start and kind."""
+    base, every = scored(text)
+    return base, [s[:3] for s in every]
+
+
 def redact(text: str) -> str:
     """The text with every span replaced by its kind; spans that overlap become one."""
     out, end, kind_before = [], 0, None
@@ -163,18 +192,19 @@ def _joined(found) -> str:
 
 def _rows(keys, texts):
     for key, text in zip(keys, texts):
-        base, every = spans(text or "")
+        base, every = scored(text or "")
         counts = [sum(s[2] == kind for s in base) for kind in KINDS]
-        yield (key, *counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every))
+        yield (key, *counts, hashlib.sha256(_joined(base).encode()).hexdigest(),
+               _joined(s[:3] for s in every), ",".join(f"{s[3]:.1f}" for s in every))
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Spans of every row's text: counts, a digest of the certain ones, and all of them."""
+    """Spans of every row's text: counts, a digest of the certain ones, all of them, their scores."""
     kind = df.schema[key].dataType.simpleString()
     return common.map_texts(
         df.select(F.col(key), F.col(text).cast("string")), _rows,
         f"key {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-        "spans string").withColumnRenamed("key", key)
+        "spans string, scores string").withColumnRenamed("key", key)
 
 
 def redacted(df: DataFrame, text: str = "text") -> DataFrame:
@@ -183,7 +213,9 @@ def redacted(df: DataFrame, text: str = "text") -> DataFrame:
     def hide(texts):
         return texts.map(lambda t: None if t is None else redact(t))
 
-    return common.bounded_batches(df).select(*(hide(F.col(c)).alias(c) if c == text else F.col(c) for c in df.columns))
+    every = {c: common.column(c) for c in df.columns}
+    return common.bounded_batches(df).select(*(
+        hide(column).alias(c) if c == text else column for c, column in every.items()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
