@@ -64,6 +64,15 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def column(name: str) -> Column:
+    """A column by its whole name, also one with dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    return F.struct(*map(column, df.columns))
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

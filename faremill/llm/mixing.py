@@ -120,7 +120,7 @@ def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     copies = (sampled(rows, seed, bucket_rows, **shares).groupBy("identity")
               .agg(F.sum("copies").alias("copies")).filter("copies > 0"))
     first = Window.partitionBy("identity").orderBy("identity")
-    return (df.select(F.struct(*df.columns).alias("row"), identity.alias("identity"))
+    return (df.select(common.whole_row(df).alias("row"), identity.alias("identity"))
             .withColumn("at", F.row_number().over(first)).filter("at = 1")
             .join(copies, "identity")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

@@ -513,7 +513,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words:
         prints, texts, words, similarity))
     first = found.groupBy("root").agg(F.min(order).alias("kept"))
     kept = first.select(name(F.col("kept.key")), F.col("kept.text_hash").alias("text_hash"))
-    rows = df.select(F.struct(*df.columns).alias("row"), name(F.col(key)),
+    rows = df.select(common.whole_row(df).alias("row"), name(F.col(key)),
                      F.xxhash64(body).alias("text_hash"))
     one = Window.partitionBy("name", "text_hash").orderBy("name")
     return (rows.join(kept, ["name", "text_hash"], "left_semi")

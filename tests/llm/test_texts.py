@@ -48,6 +48,27 @@ def test_base_spans_are_those_of_the_plain_patterns(spark):
         assert pii.base_spans(text) == plain_spans(text), text
 
 
+def test_every_span_has_a_score(spark):
+    def score(text):
+        return {k: round(x, 1) for _, _, k, x in pii.scored(text)[1]}
+
+    assert score("DE89 3704 0044 0532 0130 00") == {"iban": 0.7}
+    assert score("IBAN DE89 3704 0044 0532 0130 00") == {"iban": 1.0}
+    assert score("x 4539148803436467 y") == {"card": 0.7}
+    assert score("visa 4539148803436467") == {"card": 1.0}
+    assert score("q a@b.co") == {"email": 0.7} and score("server 10.0.0.1") == {"ip": 1.0}
+    assert score("call +1 578 555 6437") == {"phone": 1.0}
+    assert score("tel 555 123 4567") == {"phone": 0.6} and score("secret=aaaa1111bbbb") == {"secret": 0.6}
+    docs = spark.createDataFrame([(1, "visa 4539148803436467 or a@b.co"), (2, None)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.spans, r.scores) for r in pii.find(docs).collect()}
+    assert got == {1: ("card:5:21,email:25:31", "1.0,0.7"), 2: ("", "")}
+    for r in pii.find(common.documents(spark, SF)).collect():
+        scores = [float(x) for x in r.scores.split(",") if x]
+        assert len(scores) == len([x for x in r.spans.split(",") if x])
+        assert all(pii.MIN_SCORE <= x <= 1 for x in scores)
+
+
 def test_added_spans_need_checksums_and_context():
     def kinds(text):
         return [s[2] for s in pii.spans(text)[1]]
@@ -57,6 +78,9 @@ def test_added_spans_need_checksums_and_context():
     text = "GB82 WEST 1234 5698 7654 32 AND MORE"  # capitals after the number are not part of it
     assert [text[s:e] for s, e, _ in pii.spans(text)[1]] == ["GB82 WEST 1234 5698 7654 32"]
     assert kinds("call 555 123 4567 now") == ["phone"] and kinds("sum 555 123 4567 now") == []
+    assert kinds('token = "24be64aa90cc" and token = "abcdefghijkl"') == ["secret"]
+    assert pii.redact('password: "hunter2hunter2".') == 'password: "[SECRET]".'
+    assert kinds("a token of thanks: 123456789012x") == []
     assert pii.redact("mail a@b.co or +1 578 555 6437!") == "mail [EMAIL] or [PHONE]!"
     assert pii.luhn("4539148803436467") and not pii.luhn("4539148803436468")
     assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")

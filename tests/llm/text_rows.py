@@ -31,7 +31,7 @@ def edge_rows():
 def edge_docs(spark):
     """The edge rows, with further columns named like columns that operators make."""
     docs = spark.createDataFrame(edge_rows(), DOCS)
-    for name in ("key", "size", "row", "h", "n", "name", "fp", "body", "shard", "copies", "at"):
+    for name in ("key", "size", "row", "h", "n", "name", "fp", "body", "shard", "copies", "at", "a.b", "c`d"):
         docs = docs.withColumn(name, F.lit("mine"))
     return docs
 
