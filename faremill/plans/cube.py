@@ -115,9 +115,10 @@ def refresh(lake: Lake, window: Window | None = None) -> None:
     if window is not None and _missing(lake) - set(window.months):
         window = None
     scratch = f"{lake.root}/scratch/cube-{uuid.uuid4().hex}"
-    _scanned(lake, window).write.partitionBy("_grouping").parquet(scratch)
+    found = _scanned(lake, window)
+    found.write.partitionBy("_grouping").parquet(scratch)
     try:
-        scanned = lake.spark.read.parquet(scratch)
+        scanned = lake.spark.read.schema(found.schema).parquet(scratch)
         sizes: dict[str, int] = {}
         for name in GROUPINGS:
             if name in FROM_SILVER:

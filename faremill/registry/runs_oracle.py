@@ -128,7 +128,7 @@ ATTEMPTS = """attempts as (
 GAPS = f"""numbered as (
   select trip_month, {MONTH_NUMBER} as n from (select distinct trip_month from bronze)),
 timed as (
-  select *, n % 4 <> 1 and n % 29 not in (3, 4) as alone,
+  select *, n % 8 not in (1, 2, 3) and n % 29 not in (3, 4) as alone,
     exists (select 1 from numbered b where b.n = a.n - 1 and a.n % 29 = 4) as second
   from numbered a),
 records as (
