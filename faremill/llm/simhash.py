@@ -24,7 +24,8 @@ they take more room than these:
 1. One text for each set of 64-bit shingle hashes. All sets are brought into one order: by hash, but
    hashes that many of a sample of the texts hold come last. The order decides the cost, not the
    result.
-2. Texts that share two of their ``HUBS`` smallest hashes with the smallest text that has these are
+2. Sets whose texts' fingerprints are linked as above are compared along the forests of these links.
+   Texts that share two of their ``HUBS`` smallest hashes with the smallest text that has these are
    compared to it, which ties large groups of edited copies together without all their pairs.
 3. Two sets at similarity s share l of the first n - ceil(s n) + l shingles of each (n its size; l
    grows with it, and is the smaller one's), so a join of these finds all pairs; lists within one
@@ -370,18 +371,20 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def named_sets(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Stored rows (key, text_hash, fp, size, hubs): fp names the set, hubs are its first hashes."""
+    """Stored rows (key, text_hash, fp, size, hubs, print): fp names the set, hubs are its first
+    hashes, print is the text's fingerprint as in ``near_duplicates``."""
     def rows(keys, hashes, texts):
         for k, h, t in zip(keys, hashes, texts):
             members = shingle_set(t, words)
             yield (k, h, signed(xxhash.xxh3_64_intdigest(members.tobytes(), SEED)), len(members),
-                   members[:HUBS].view(np.int64).tolist())
+                   members[:HUBS].view(np.int64).tolist(), signed(fingerprint(t)))
 
     kind = df.schema[key].dataType.simpleString()
     body = F.col(text).cast("string")
     return common.stored(common.map_texts(
         df.select(F.col(key), F.xxhash64(body).alias("h"), body), rows,
-        f"key {kind}, text_hash long, fp long, size int, hubs array<long>"), "shingle-sets")
+        f"key {kind}, text_hash long, fp long, size int, hubs array<long>, print long"),
+        "shingle-sets")
 
 
 def frequent_shingles(texts: DataFrame, words: int, n_sets: int) -> np.ndarray:
@@ -459,16 +462,32 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
                          "shingle-links")
 
 
+def print_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets (fp, print) that tie all whose fingerprints SimHash links: equal ones to
+    the smallest set that has it, and these along the forests of the links within two bits."""
+    nodes = common.stored(sets.groupBy("print").agg(F.min("fp").alias("low")), "simhash-nodes")
+    equal = sets.join(nodes, "print").filter("fp != low").select(
+        F.col("low").alias("a"), F.col("fp").alias("b"))
+    edges = links(nodes.select(F.col("print").alias("fp")))
+    ends = [nodes.select(F.col("print").alias(side), F.col("low").alias(f"low_{side}"))
+            for side in "ab"]
+    linked = edges.join(ends[0], "a").join(ends[1], "b").select(
+        F.least("low_a", "low_b").alias("a"), F.greatest("low_a", "low_b").alias("b"))
+    return equal.unionAll(linked)
+
+
 def jaccard_links(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """Edges with the components of all links between the distinct sets of ``prints`` (fp, size,
-    hubs), whose texts are (fp, body)."""
+    hubs, print), whose texts are (fp, body)."""
     sets = common.stored(prints.groupBy("fp").agg(F.first("size").alias("size"),
-                                                  F.first("hubs").alias("hubs")), "shingle-named")
+                                                  F.first("hubs").alias("hubs"),
+                                                  F.min("print").alias("print")), "shingle-named")
     each = common.stored(sets.select("fp", F.explode("hubs").alias("h")), "shingle-hubs")
     lows = common.stored(each.groupBy("h").agg(F.min("fp").alias("a"), F.count("*").alias("n"))
                          .filter("n > 1").select("h", "a"), "shingle-lows")
-    near = confirmed(each.join(lows, "h").filter("fp != a").groupBy("a", F.col("fp").alias("b"))
-                     .count().filter("count > 1").select("a", "b"), texts, words, similarity)
+    hubs = (each.join(lows, "h").filter("fp != a").groupBy("a", F.col("fp").alias("b"))
+            .count().filter("count > 1").select("a", "b"))
+    near = confirmed(hubs.unionAll(print_pairs(sets)).distinct(), texts, words, similarity)
     roots = components(near)
     rooted = common.stored(sets.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "size", F.coalesce("root", "fp").alias("root")), "shingle-roots")

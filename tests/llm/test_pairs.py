@@ -261,6 +261,21 @@ def test_near_duplicates_against_brute_force(spark):
     assert len(built) == 30 + 30 * 2  # similarities of 356/436 = 0.817 and 351/441 = 0.796
 
 
+def test_sets_are_compared_along_fingerprint_links(spark):
+    """The pipeline's sets carry the texts' fingerprints; near ones are tied, far ones are not."""
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, None)],
+                                 "doc_id long, text string")
+    named = simhash.named_sets(docs, "doc_id", "text", 5).collect()
+    assert {r.key: r.print & simhash.ALL for r in named} == {
+        1: simhash.fingerprint("one two three four five six"), 2: 0}
+    draw = random.Random(14)
+    far = [draw.getrandbits(62) for _ in range(3)]
+    sets = spark.createDataFrame(
+        [(10, far[0]), (11, far[0]), (12, far[0] ^ 5), (20, far[1]), (30, far[2])],
+        "fp long, print long")
+    assert {tuple(r) for r in simhash.print_pairs(sets).collect()} == {(10, 11), (10, 12)}
+
+
 def test_prefixes_of_similar_sets_meet():
     draw = random.Random(13)
     for _ in range(300):
