@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from conftest import at, rows
+from conftest import at, plan, rows
 from faremill.config import Thresholds
 from faremill.plans import checks, gold, ledger
 from faremill.plans.checks import GateError
@@ -179,3 +179,15 @@ def test_a_gate_reads_only_its_own_check_rows(lake, spark):
     assert not set(first.inputFiles()) & set(second.inputFiles())
     assert first.columns == second.columns == book.table("check_results").columns
     assert book.table("check_results").count() == first.count() + second.count()
+
+
+def test_latest_aggregates_records_of_the_newest_time_only(spark):
+    """Null assets and times take part; ties go to the larger tie-break."""
+    found = spark.createDataFrame(
+        [("a", at("2024-01-01T00:00:00"), "r1"), ("a", at("2024-01-02T00:00:00"), "r1"),
+         ("a", at("2024-01-02T00:00:00"), "r2"), ("b", None, "r3"), ("b", None, "r4"),
+         (None, at("2024-01-01T00:00:00"), "r5"), (None, None, "r6")],
+        "asset string, finished_at timestamp_ntz, run_id string")
+    newest = ledger.latest(found)
+    assert {(r.asset, r.run_id) for r in newest.collect()} == {("a", "r2"), ("b", "r4"), (None, "r5")}
+    assert "Join" in plan(newest)
