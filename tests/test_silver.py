@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, plan, rows
+from faremill import storage
 from faremill.operators.windows import Window
 from faremill.plans import silver
 from faremill.schema import MONTH, SILVER_COLUMNS
@@ -111,3 +112,26 @@ def test_month_counts_read_no_column(lake, trips):
     lake.overwrite_months(trips({"trip_id": "a", "trip_start_timestamp": "2023-10-01T00:00:00"}),
                           "bronze")
     assert "ReadSchema: struct<>" in plan(lake.month_counts("bronze"))
+
+
+def test_only_repeated_keys_are_shuffled_whole(lake, trips):
+    """Months deduplicated apart hold what ``build`` gives, whatever the hashes are joined by."""
+    draw = random.Random(5)
+    lake.overwrite_months(trips(*[
+        {"trip_id": draw.choice([None, "hot", f"t{draw.randint(0, 40)}", f"u{i}"]),
+         "trip_start_timestamp": f"2023-{10 + i % 2}-{i % 28 + 1:02d}T00:00:00",
+         "trip_seconds": draw.choice([None, -1, 60]), "fare": draw.choice([None, 1.0, 2.0])}
+        for i in range(400)]), "bronze")
+    def keyed(table):
+        return sorted(map(repr, table.select(*SILVER_COLUMNS, MONTH).collect()))
+
+    window = Window.of("2023-10", "2023-12")
+    wanted = keyed(silver.build(lake.table("bronze")))
+    for most in (silver.MOST_BROADCAST, -1):
+        silver.MOST_BROADCAST, before = most, silver.MOST_BROADCAST
+        try:
+            silver.load(lake, window, apart=-1)
+        finally:
+            silver.MOST_BROADCAST = before
+        assert keyed(lake.table("silver")) == wanted
+    assert not storage.children(lake.spark, f"{lake.root}/scratch")
