@@ -122,3 +122,30 @@ def test_cube_of_nothing(lake):
     cube.refresh(lake)
     assert rows(bi.summary(cube.Cube(lake))) == [(0, 0.0, 0, 0.0, 0.0, 0.0)]
     assert bi.trips_daily(cube.Cube(lake), Filters(company="A")).count() == 0
+
+
+def test_groupings_with_areas_are_written_without_shuffles_of_their_own(lake, trips, monkeypatch):
+    found = [{"trip_id": str(n), "trip_start_timestamp": f"2023-0{n % 3 + 1}-"
+              f"{n % 28 + 1:02d}T0{n % 9}:30:00",
+              "fare": n / 4, "trip_total": n / 4, "company": f"C{n % 2}",
+              "pickup_community_area": n % 5 or None, "dropoff_community_area": n % 7 or None}
+             for n in range(400)]
+    lake.overwrite_months(trips(*found, *found[:3]), "bronze")
+    silver.load(lake, Window.of("2023-01", "2023-04"))
+    shuffles, whole = {}, Lake.overwrite_months
+
+    def noted(self, df, layer, table="taxi_trips", **more):
+        whole(self, df, layer, table, **more)
+        above, cached, _ = plan(df.select("*")).partition("InMemoryRelation")  # now it is filled
+        shuffles[table] = "Exchange" in above or not cached or more.get("cluster") != ()
+
+    monkeypatch.setattr(Lake, "overwrite_months", noted)
+    monkeypatch.setattr(cube, "TASK_BYTES", 2000)
+    cube.refresh(lake)
+    small = {"weekday_company", "weekday_payment", "weekday_hours", "day"}
+    assert {name for name in cube.GROUPINGS if shuffles[cube.table_name(name)]} == small
+    for name, keys in cube.GROUPINGS.items():  # whole groups, one row each
+        stored = lake.table("gold", cube.table_name(name))
+        wanted = lake.table("silver").groupBy("trip_month", *keys).agg(*cube.S.partial())
+        assert sorted(map(repr, stored.select(wanted.columns).collect())) == sorted(
+            map(repr, wanted.collect())), name
