@@ -40,6 +40,9 @@ from faremill.llm import common
 
 LEAST, MOST, WINDOW, CUT_BITS = 256, 8192, 16, 10
 FILTER_BITS = 23
+HASHED = 1 << 18              # bytes hashed at once
+BATCH_BYTES = 2 << 20         # of texts that a task takes at once; it holds several copies
+BATCH_IDS = 1 << 18           # ids that a task gives out at once
 _GEAR = np.random.default_rng(42).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -86,14 +89,18 @@ def codec(path: str) -> Codec:
 
 def _candidates(buffer: np.ndarray) -> np.ndarray:
     """Places after which the rolling hash of the last WINDOW bytes asks for a cut."""
-    h = _GEAR[buffer]
-    width = 1
-    while width < WINDOW:
-        shifted = np.zeros_like(h)
-        shifted[width:] = h[:-width] << np.uint32(width)
-        h += shifted
-        width *= 2
-    ends = np.flatnonzero(h >> np.uint32(32 - CUT_BITS) == 0) + 1
+    found = [np.empty(0, np.int64)]
+    for at in range(0, len(buffer), HASHED):  # hashes take many times the room of the bytes
+        before = max(0, at - WINDOW + 1)
+        h = _GEAR[buffer[before:at + HASHED]]
+        width = 1
+        while width < WINDOW:
+            shifted = np.zeros_like(h)
+            shifted[width:] = h[:-width] << np.uint32(width)
+            h += shifted
+            width *= 2
+        found.append(np.flatnonzero(h[at - before:] >> np.uint32(32 - CUT_BITS) == 0) + at + 1)
+    ends = np.concatenate(found)
     ends = ends[ends < len(buffer)]
     return ends[(buffer[ends] & 0xC0) != 0x80]  # never inside a character
 
@@ -203,7 +210,7 @@ def _body(text: str):
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    return common.bounded_batches(df).select(
+    return common.bounded_batches(df, BATCH_BYTES).select(
         F.col(key).alias("key"), F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("name"),
         F.xxhash64(F.col(text).cast("string")).alias("print"), _body(text).alias("body"))
 
@@ -352,7 +359,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: s
                     for column, value in zip(made, row):
                         column.append(value)
                     size += len(ids)
-                    if size > 1 << 20:  # bounds what a batch of ids holds
+                    if size > BATCH_IDS:  # bounds what a batch of ids holds
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, f.type) for c, f in zip(made, fields)],
                             schema=pa.schema(fields))

@@ -51,12 +51,12 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def bounded_batches(df: DataFrame) -> DataFrame:
+def bounded_batches(df: DataFrame, most_bytes: int = BATCH_BYTES) -> DataFrame:
     """Lowers the session's Arrow batches to a size of which a Python task holds several copies
     without harm. Rows longer than that still pass, one to a batch. Plans run after the call that
     made them, so the setting stays."""
     conf = df.sparkSession.conf
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", most_bytes)):
         key = f"spark.sql.execution.arrow.{name}"
         now = int(conf.get(key).removesuffix("b"))
         if not 0 < now <= most:

@@ -511,3 +511,25 @@ def test_pieces_of_all_sampled_texts_make_the_sample(spark):
     assert len(kinds) >= 0.6 * known  # the opening is a sixth of each text
     assert sample.count("licensed") * len("licensed under the terms stated here ") <= 0.25 * len(sample)
     assert 0.9 * 24_000 <= len(sample) <= 24_000
+
+
+def test_hashes_of_long_texts_are_made_in_blocks(monkeypatch):
+    draw = random.Random(5)
+    texts = [bytes(draw.choices(b"abcdefghij klm", k=n)) for n in (90_000, 40, 700_000, 0, 5_000)]
+    whole = np.frombuffer(b"".join(texts), np.uint8)
+    sizes, gear = [], bpe._GEAR
+
+    class Noted:
+        def __getitem__(self, some):
+            sizes.append(len(some))
+            return gear[some]
+
+    monkeypatch.setattr(bpe, "_GEAR", Noted())
+    monkeypatch.setattr(bpe, "HASHED", len(whole), raising=False)
+    wanted = bpe._candidates(whole), bpe.chunk_bounds(texts)
+    for block in (1 << 18, 4099):
+        monkeypatch.setattr(bpe, "HASHED", block)
+        sizes.clear()
+        assert (bpe._candidates(whole) == wanted[0]).all() and len(wanted[0])
+        assert bpe.chunk_bounds(texts) == wanted[1]
+        assert max(sizes) < block + bpe.WINDOW
