@@ -22,15 +22,18 @@ The shingle sets (``jaccard_links``), which are made again from the texts where
 they take more room than these:
 
 1. One text for each set of 64-bit shingle hashes. All sets are brought into one order: by hash, but
-   hashes that many of a sample of the texts hold come last. The order decides the cost, not the
-   result.
-2. Sets whose texts' fingerprints are linked as above are compared along the forests of these links.
-   Texts that share two of their ``HUBS`` smallest hashes with the smallest text that has these are
-   compared to it, which ties large groups of edited copies together without all their pairs.
-3. Two sets at similarity s share l of the first n - ceil(s n) + l shingles of each (n its size; l
-   grows with it, and is the smaller one's), so a join of these finds all pairs; lists within one
-   component of step 2 are left out, and pairs that share fewer.
-4. Each pair is confirmed by its two whole sets. Components as above.
+   hashes that several of a sample of the texts hold come last, the most frequent at the end. The
+   order decides the cost, not the result.
+2. Two sets at similarity s have one of the first n - ceil(s n) + 1 shingles of each in common (n its
+   size), so the sets that list a shingle among these are all that can be similar by it.
+3. Some pairs tie groups of edited copies together without all their pairs: along the forests of the
+   fingerprints' links as above, each text with the smallest that has two of its ``HUBS`` smallest
+   hashes, and in each list of step 2 each set with ``STARS`` of the list, the same in other lists.
+4. Pairs of a list whose sets are in different components of step 3. Two sets of sizes m and n need
+   an overlap of s (m + n) / (1 + s). The first shingle they share stands before the last places that
+   leave so many; and their sketches, the parity of the hashes that fall on each of ``SKETCH`` bits,
+   differ in no more bits than the sets may in shingles. Other pairs are left out.
+5. The pairs of steps 3 and 4 are confirmed by the two whole sets. Components as above.
 
 ``wide_links`` links fingerprints of 256 bits that share a table's sampled bits. It misses links and
 makes wrong ones, so the pipeline does not use it.
@@ -61,7 +64,9 @@ BLOCK = 1024  # members compared at once
 ALL = (1 << BITS) - 1
 WIDE, TABLES, SAMPLED = 256, 48, 18
 HUBS = 4  # shingles of a text by which it meets the smallest text that has them too
-SAMPLE_TEXTS, OFTEN, MAX_OFTEN = 20_000, 8, 200_000  # texts that tell which shingles are frequent
+STARS = 3  # sets of a list that all of it are compared to
+SKETCH = 512
+SAMPLE_TEXTS, OFTEN, MAX_OFTEN = 20_000, 2, 200_000  # texts that tell which shingles are frequent
 
 
 def shingle_hashes(text: str | None, words: int) -> list[int]:
@@ -370,25 +375,35 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, words), np.uint64))
 
 
+def sketch(members: np.ndarray) -> np.ndarray:
+    """Longs of ``SKETCH`` bits: whether an odd number of hashes falls on each. A hash that only one
+    of two sets has flips one bit, so the sketches differ in at most as many bits as the sets do."""
+    odd = np.bincount((members % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def named_sets(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Stored rows (key, text_hash, fp, size, hubs, print): fp names the set, hubs are its first
-    hashes, print is the text's fingerprint as in ``near_duplicates``."""
+    """Stored rows (key, text_hash, fp, size, hubs, print, sketch): fp names the set, hubs are its
+    first hashes, print is the text's fingerprint as in ``near_duplicates``."""
     def rows(keys, hashes, texts):
         for k, h, t in zip(keys, hashes, texts):
             members = shingle_set(t, words)
             yield (k, h, signed(xxhash.xxh3_64_intdigest(members.tobytes(), SEED)), len(members),
-                   members[:HUBS].view(np.int64).tolist(), signed(fingerprint(t)))
+                   members[:HUBS].view(np.int64).tolist(), signed(fingerprint(t)),
+                   sketch(members).tolist())
 
     kind = df.schema[key].dataType.simpleString()
     body = F.col(text).cast("string")
     return common.stored(common.map_texts(
         df.select(F.col(key), F.xxhash64(body).alias("h"), body), rows,
-        f"key {kind}, text_hash long, fp long, size int, hubs array<long>, print long"),
+        f"key {kind}, text_hash long, fp long, size int, hubs array<long>, print long, "
+        "sketch array<long>"),
         "shingle-sets")
 
 
-def frequent_shingles(texts: DataFrame, words: int, n_sets: int) -> np.ndarray:
-    """Sorted hashes that at least ``OFTEN`` of about ``SAMPLE_TEXTS`` texts hold."""
+def frequent_shingles(texts: DataFrame, words: int, n_sets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes that at least ``OFTEN`` of about ``SAMPLE_TEXTS`` texts hold, and the rank of
+    each by frequency, the rarest first."""
     def exploded(batches):
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -400,39 +415,88 @@ def frequent_shingles(texts: DataFrame, words: int, n_sets: int) -> np.ndarray:
     found = (common.bounded_batches(some).mapInArrow(exploded, "h long").groupBy("h")
              .agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN)
              .orderBy(F.desc("n"), "h").limit(MAX_OFTEN).collect())
-    return np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
-
-
-def least_shared(size: int) -> int:
-    return 4 + size // 50
+    hashes = np.array([r.h for r in found], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], (len(found) - 1 - order).astype(np.int32)
 
 
 def prefix_size(size: int, similarity: float) -> int:
-    """So many first members of a set that every set at the similarity shares ``least_shared`` of them
-    (or all it shares) within its own as many; a rounding error only makes it larger."""
-    return min(size, size - math.ceil(similarity * size - 1e-6) + least_shared(size))
+    """So many first members of a set hold one of every set at the similarity, and it is among as
+    many of that set; a rounding error only makes it larger."""
+    return min(size, size - math.ceil(similarity * size - 1e-6) + 1)
+
 
+def prefixes(texts: DataFrame, words: int, frequent: tuple[np.ndarray, np.ndarray],
+             similarity: float) -> DataFrame:
+    """(h, fp, at, size) of the first members of the sets of texts (fp, body), at from 0."""
+    hashes, ranks = frequent
 
-def prefixes(texts: DataFrame, words: int, frequent: np.ndarray, similarity: float) -> DataFrame:
-    """(h, fp, root) of the first members of the sets of texts (fp, root, body)."""
     def first(batches):
         for batch in batches:
-            made = []
-            for text in batch.column(2).to_pylist():
+            made, sizes = [], []
+            for text in batch.column(1).to_pylist():
                 members = shingle_set(text, words)
-                if len(frequent):
-                    spots = np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)
-                    late = frequent[spots] == members
-                    members = np.concatenate([members[~late], members[late]])
+                sizes.append(len(members))
+                if len(hashes):
+                    spots = np.minimum(np.searchsorted(hashes, members), len(hashes) - 1)
+                    late = hashes[spots] == members
+                    members = np.concatenate(
+                        [members[~late], members[late][np.argsort(ranks[spots[late]])]])
                 made.append(members[:prefix_size(len(members), similarity)])
             if made:
-                row = pa.array(np.repeat(np.arange(len(made)), [len(m) for m in made]))
+                counts = [len(m) for m in made]
+                row = np.repeat(np.arange(len(made)), counts)
+                at = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(made).view(np.int64)), batch.column(0).take(row),
-                     batch.column(1).take(row)], names=["h", "fp", "root"])
-
-    return common.bounded_batches(texts.select("fp", "root", "body")).mapInArrow(
-        first, "h long, fp long, root long")
+                    [pa.array(np.concatenate(made).view(np.int64)),
+                     batch.column(0).take(pa.array(row)), pa.array(at),
+                     pa.array(np.array(sizes, np.int32)[row])], names=["h", "fp", "at", "size"])
+
+    return common.bounded_batches(texts.select("fp", "body")).mapInArrow(
+        first, "h long, fp long, at int, size int")
+
+
+def may_be_similar(one, other, similarity: float):
+    """Whether sets (fp, at, size) that share the members at these places can reach the similarity if
+    they share none before."""
+    least, most = F.least(one["size"], other["size"]), F.greatest(one["size"], other["size"])
+    overlap = F.ceil((one["size"] + other["size"]) * (similarity / (1 + similarity)) - 1e-3)
+    return ((least >= most * similarity - 1e-3) & (one["at"] <= one["size"] - overlap)
+            & (other["at"] <= other["size"] - overlap))
+
+
+def star_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the lists (h, fp, at, size) with ``STARS`` sets of each list."""
+    stars = lists.groupBy("h").agg(*(F.min(F.struct(
+        F.xxhash64("fp", F.lit(k)).alias("r"), "fp", "at", "size")).alias(f"star{k}")
+        for k in range(STARS)))
+    one = F.struct("fp", "at", "size")
+    return (lists.join(stars, "h").select(
+        one.alias("one"), F.explode(F.array_distinct(F.array(
+            *(F.struct(*(f"star{k}.{c}" for c in ("fp", "at", "size"))) for k in range(STARS)))))
+        .alias("star"))
+        .filter((F.col("one.fp") != F.col("star.fp"))
+                & may_be_similar(F.col("one"), F.col("star"), similarity))
+        .select(F.least("one.fp", "star.fp").alias("a"), F.greatest("one.fp", "star.fp").alias("b")))
+
+
+def list_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the lists (h, fp, at, size, root, sketch) across roots that can reach the
+    similarity by their first common member, their sizes and their sketches."""
+    words = [f"sketch{i}" for i in range(SKETCH // 64)]
+    rows = lists.select("h", "fp", "at", "size", "root",
+                        *(F.col("sketch")[i].alias(w) for i, w in enumerate(words)))
+    one, other = (rows.select("h", *(F.col(c).alias(c + x) for c in rows.columns if c != "h"))
+                  for x in "12")
+    first, second = ({c: F.col(c + x) for c in rows.columns if c != "h"} for x in "12")
+    overlap = F.ceil((first["size"] + second["size"]) * (similarity / (1 + similarity)) - 1e-3)
+    differ = reduce(lambda a, b: a + b, (
+        F.bit_count(first[w].bitwiseXOR(second[w])) for w in words))
+    return (one.join(other, "h").filter(
+        (first["fp"] < second["fp"]) & (first["root"] != second["root"])
+        & may_be_similar(first, second, similarity)
+        & (differ <= first["size"] + second["size"] - 2 * overlap))
+        .select(F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct())
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -478,38 +542,32 @@ def print_pairs(sets: DataFrame) -> DataFrame:
 
 def jaccard_links(prints: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """Edges with the components of all links between the distinct sets of ``prints`` (fp, size,
-    hubs, print), whose texts are (fp, body)."""
-    sets = common.stored(prints.groupBy("fp").agg(F.first("size").alias("size"),
-                                                  F.first("hubs").alias("hubs"),
+    hubs, print, sketch), whose texts are (fp, body)."""
+    sets = common.stored(prints.groupBy("fp").agg(F.first("hubs").alias("hubs"),
+                                                  F.first("sketch").alias("sketch"),
                                                   F.min("print").alias("print")), "shingle-named")
     each = common.stored(sets.select("fp", F.explode("hubs").alias("h")), "shingle-hubs")
     lows = common.stored(each.groupBy("h").agg(F.min("fp").alias("a"), F.count("*").alias("n"))
                          .filter("n > 1").select("h", "a"), "shingle-lows")
     hubs = (each.join(lows, "h").filter("fp != a").groupBy("a", F.col("fp").alias("b"))
             .count().filter("count > 1").select("a", "b"))
-    near = confirmed(hubs.unionAll(print_pairs(sets)).distinct(), texts, words, similarity)
-    roots = components(near)
-    rooted = common.stored(sets.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "size", F.coalesce("root", "fp").alias("root")), "shingle-roots")
     frequent = frequent_shingles(texts, words, sets.count())
-    lists = prefixes(texts.join(rooted, "fp"), words, frequent, similarity)
     same = Window.partitionBy("h")
-    met = common.stored(lists.withColumn("low", F.min("root").over(same))
-                        .withColumn("high", F.max("root").over(same))
-                        .filter("low < high").select("h", "fp", "root")
-                        .join(rooted.select("fp", "size"), "fp"), "shingle-lists")
-    one, other = (met.select("h", *(F.col(c).alias(c + x) for c in ("fp", "root", "size")))
-                  for x in "12")
-    least, most = F.least("size1", "size2"), F.greatest("size1", "size2")
-    overlap = F.ceil((F.col("size1") + F.col("size2")) * (similarity / (1 + similarity)) - 1e-3)
-    pairs = (one.join(other, "h").filter((F.col("fp1") < F.col("fp2"))
-                                         & (F.col("root1") != F.col("root2"))
-                                         & (least >= most * similarity - 1e-3))
-             .groupBy(F.col("fp1").alias("a"), F.col("fp2").alias("b"))
-             .agg(F.countDistinct("h").alias("n"), F.first(
-                 F.least(F.floor(least / 50) + 4, overlap)).alias("needed"))
-             .filter("n >= needed").select("a", "b"))
-    return near.unionAll(confirmed(pairs, texts, words, similarity))
+    lists = common.stored(prefixes(texts, words, frequent, similarity)
+                          .withColumn("low", F.min("fp").over(same))
+                          .withColumn("high", F.max("fp").over(same))
+                          .filter("low < high").drop("low", "high"), "shingle-lists")
+    ties = hubs.unionAll(print_pairs(sets)).unionAll(star_pairs(lists, similarity))
+    roots = components(confirmed(ties.distinct(), texts, words, similarity))
+    rooted = common.stored(sets.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "sketch"), "shingle-roots")
+    open_lists = common.stored(
+        lists.join(rooted.select("fp", "root"), "fp")
+        .withColumn("low", F.min("root").over(same)).withColumn("high", F.max("root").over(same))
+        .filter("low < high").drop("low", "high"), "shingle-open")
+    pairs = list_pairs(open_lists.join(rooted.select("fp", "sketch"), "fp"), similarity)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(
+        confirmed(pairs, texts, words, similarity))
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,

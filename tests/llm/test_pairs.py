@@ -287,3 +287,34 @@ def test_prefixes_of_similar_sets_meet():
         other = sorted(both + list(range(-1, cut - spare - 1, -1)))
         a, b = (set(x[:simhash.prefix_size(len(x), 0.8)]) for x in (one, other))
         assert a & b
+
+
+def test_edited_copies_below_the_similarity_are_not_compared_in_pairs(spark, monkeypatch):
+    """Copies of one passage with three changed words each are similar at 0.55 to each other."""
+    draw, rows = random.Random(15), []
+    for k in range(200):
+        words = [f"w{i}" for i in range(100)]
+        for place in draw.sample(range(5, 95, 6), 3):
+            words[place] = f"k{k}p{place}"
+        rows.append((k, " ".join(words)))
+    compared, confirmed = [], simhash.confirmed
+
+    def counted(pairs, *rest):
+        pairs = common.stored(pairs, "t")
+        compared.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "confirmed", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.deduplicated(docs).collect()) == plain_kept(rows)
+    assert sum(compared) < 10 * len(rows)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_members():
+    draw = random.Random(16)
+    for _ in range(100):
+        both = [draw.getrandbits(64) for _ in range(draw.randint(0, 300))]
+        sets = [both + [draw.getrandbits(64) for _ in range(draw.randint(0, 60))] for _ in range(2)]
+        one, other = (simhash.sketch(np.array(s, np.uint64)).view(np.uint64).tolist() for s in sets)
+        assert len(one) * 64 == simhash.SKETCH
+        assert sum((a ^ b).bit_count() for a, b in zip(one, other)) <= sum(map(len, sets)) - 2 * len(both)
