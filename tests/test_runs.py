@@ -11,6 +11,7 @@ from faremill.operators.windows import Window
 from faremill.plans import checks, ledger, pipeline
 from faremill.plans.ledger import Ledger
 from faremill.records import HELD, Records
+from faremill.registry import runs
 from faremill.schema import MONTH
 from faremill.sources import raw_csv
 
@@ -201,6 +202,23 @@ def test_maintenance_folds_the_ledgers(lake, raw_text, spark):
     assert len(storage.children(spark, f"{lake.root}/ledger/check_results")) == 1
 
 
+def test_the_registered_ledger_folds_twice(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(
+        [(i, at(f"2024-01-{1 + i % 28:02d}"), "abc"[i % 3]) for i in range(96)],
+        "event_id bigint, ts timestamp_ntz, event_type string").write.parquet(
+            str(tmp_path / "events.parquet"))
+    fold, folded = Records.fold, []
+
+    def counted(book, *args, **more):
+        folded.append((fold(book, *args, **more), book.entries()))
+        return folded[-1][0]
+
+    monkeypatch.setattr(Records, "fold", counted)
+    found = rows(runs.ledger_fold(spark, str(tmp_path)))
+    assert folded == [(16, 0), (8, 0)]
+    assert [row[2:] for row in found] == [(96, 96, 0)] * 3
+
+
 # streaks -----------------------------------------------------------------------------------------
 
 def tried(spark, *events):
