@@ -4,14 +4,17 @@ import json
 import os
 import re
 
+from pyspark.sql import functions as F
+
 from conftest import SF, plan
 from faremill import lake as lake_module
 from faremill.lake import Lake
-from faremill.plans import silver
+from faremill.operators.windows import Window
+from faremill.plans import bronze, silver
 from faremill.registry import queries, served
 from faremill.registry.workspace import TASK_BYTES, typed_trips, workspace
 from faremill.session import small_scans
-from faremill.sources import feed, pages
+from faremill.sources import extract, feed, pages, raw_csv
 
 
 def test_landed_pages_hold_a_range_only(tmp_path):
@@ -73,3 +76,38 @@ def test_loading_tasks_sort_what_fits_and_compaction_makes_whole_files(spark, la
 
 def test_silver_of_middling_size_shuffles_hashes_only():
     assert silver.APART_BYTES <= 64 << 20 and TASK_BYTES <= 16 << 20
+
+
+def test_backfill_takes_stored_trips_without_a_shuffle(spark, monkeypatch):
+    land, seen = raw_csv.land, []
+
+    def watched(source, *args, **how):
+        seen.append(("Exchange" in plan(source), how))
+        return land(source, *args, **how)
+
+    monkeypatch.setattr(raw_csv, "land", watched)
+    queries.REGISTRY["backfill_months"](spark, SF)
+    assert all(how == {"gathered": True, "compression": "gzip"} for _, how in seen)
+
+
+def test_months_scanned_apart_share_no_task_and_load_the_same(spark, lake, raw_text, monkeypatch):
+    window = Window.of("2023-09", "2023-12")
+    raw = raw_text(*[{"trip_id": f"t{i}", "fare": "5.0", "company": 'A "B",\nC',
+                      "trip_start_timestamp": f"2023-{9 + i % 3:02d}-{1 + i % 20:02d}T10:00:00.000"}
+                     for i in range(60)])
+    raw_csv.land(raw, lake.raw_root, window, page_rows=4, compression="gzip")
+    apart = raw_csv.scan(spark, lake.raw_root, window, apart=True)
+    assert sorted(map(repr, apart.collect())) == sorted(map(repr, raw_csv.scan(
+        spark, lake.raw_root, window).collect()))
+    tasks = apart.groupBy(F.spark_partition_id()).agg(F.count_distinct("month").alias("months"))
+    assert {row.months for row in tasks.collect()} == {1}
+    assert sorted(map(repr, extract.extract(spark, lake.raw_root, window).collect())) == sorted(
+        map(repr, raw.collect()))
+    loads, hints = [], []
+    hint = type(apart).hint
+    monkeypatch.setattr(type(apart), "hint", lambda df, *a: hints.append(a) or hint(df, *a))
+    for least in (1 << 40, 0):
+        monkeypatch.setattr(raw_csv, "APART_BYTES", least)
+        loads.append((vars(bronze.load(lake, window)), sorted(map(repr, lake.table("bronze").collect())),
+                      len(hints)))
+    assert loads[0] == loads[1] and loads[0][2] == 1 and loads[0][0]["kept_rows"] == 60
