@@ -78,7 +78,7 @@ def test_silver_of_middling_size_shuffles_hashes_only():
     assert silver.APART_BYTES <= 64 << 20 and TASK_BYTES <= 16 << 20
 
 
-def test_backfill_takes_stored_trips_without_a_shuffle(spark, monkeypatch):
+def test_landing_and_backfill_take_stored_trips_without_a_shuffle(spark, monkeypatch):
     land, seen = raw_csv.land, []
 
     def watched(source, *args, **how):
@@ -86,8 +86,12 @@ def test_backfill_takes_stored_trips_without_a_shuffle(spark, monkeypatch):
         return land(source, *args, **how)
 
     monkeypatch.setattr(raw_csv, "land", watched)
+    landed = queries.REGISTRY["land_month_csv"](spark, SF).drop("month")
+    assert seen == [(False, {"gathered": True})]
+    fed = feed.as_text(feed.trips(spark, SF)).filter("trip_start_timestamp is not null")
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, fed.collect()))
     queries.REGISTRY["backfill_months"](spark, SF)
-    assert all(how == {"gathered": True, "compression": "gzip"} for _, how in seen)
+    assert all(how == {"gathered": True, "compression": "gzip"} for _, how in seen[1:])
 
 
 def test_months_scanned_apart_share_no_task_and_load_the_same(spark, lake, raw_text, monkeypatch):
